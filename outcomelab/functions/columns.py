@@ -13,6 +13,11 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def qcol(name: str) -> Column:
+    """Column by its exact name, even with dots or spaces (one-hot names)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def safe_div(num, den) -> Column:
     """Division that yields NULL for a zero or NULL denominator (ANSI mode
     raises on a plain ``/`` by zero)."""

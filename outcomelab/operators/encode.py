@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from outcomelab.functions.columns import flag_to_bool
+from outcomelab.functions.columns import flag_to_bool, qcol
 from outcomelab.operators.ordered import running_totals
 
 OTHER = "Other"
@@ -104,7 +104,7 @@ def fit_one_hot(df: DataFrame, columns: list[str], max_levels: int = 1000) -> di
 def apply_one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """Replace each encoded column by 0/1 columns ``{col}_{value}`` (all
     levels kept; a missing value is all zeros), placed after the others."""
-    keep = [F.col(c) for c in df.columns if c not in levels]
+    keep = [qcol(c) for c in df.columns if c not in levels]
     dummies = []
     for c in df.columns:
         if c in levels:
