@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from outcomelab import oracle as O  # noqa: E402
-from outcomelab.functions.columns import concat_strict, qcol  # noqa: E402
-from outcomelab.operators import encode, entity, impute as imp, profile  # noqa: E402
+from outcomelab.functions.columns import concat_strict, product_of, qcol  # noqa: E402
+from outcomelab.operators import encode, entity, evaluate, impute as imp, info, profile  # noqa: E402
 from outcomelab.operators.split import date_floor, make_split  # noqa: E402
-from outcomelab.plans import features as FT  # noqa: E402
+from outcomelab.plans import dataset as DS, features as FT, models as M, ranking as RK, sweep as SW  # noqa: E402
 from outcomelab.plans.prepare import Study, fixture_items, fixture_study  # noqa: E402
 from outcomelab.session import ensure_checkpoint_dir  # noqa: E402
 from outcomelab.sources import fixtures as fx  # noqa: E402
@@ -227,6 +227,129 @@ def q_geo_features(spark, sf):
     return _long(FT.geo_features(_study(spark, sf)))
 
 
+def _memo(spark, sf) -> dict:
+    """Shared per-session state: feature sets per label and the selection."""
+    key = ("memo", id(spark), sf)
+    if key not in _STUDIES:
+        st = _study(spark, sf)
+        _STUDIES[key] = {"cache": SW.FeatureCache(st)}
+    return _STUDIES[key]
+
+
+def _selected(spark, sf) -> list[str]:
+    m = _memo(spark, sf)
+    if "selected" not in m:
+        m["selected"] = SW.selected_features(_study(spark, sf), m["cache"], "label", 26)
+    return m["selected"]
+
+
+def _dev_scores(spark, sf):
+    """Dev rows with a deterministic score: the school's smoothed rate."""
+    st = _study(spark, sf)
+    perf = entity.overall_performance(st.items, st.split, "school", "school", "label")
+    return (st.split.rows(st.items, "dev").select("id", "label")
+            .join(perf.select("id", F.col("school_pct_exciting").alias("score")), "id"))
+
+
+def q_roc_auc(spark, sf):
+    return evaluate.roc_auc(_dev_scores(spark, sf), "score", "label").select(_r("roc_auc"))
+
+
+def q_top_fraction_precision(spark, sf):
+    out = evaluate.top_fraction_precision(_dev_scores(spark, sf), "score", "label", "id")
+    return out.select(*[_r(c) for c in out.columns])
+
+
+RAW_DISCRETE = ["city", "state", "prefix", "subject", "area", "resource"]
+RAW_CONTINUOUS = ["latitude", "longitude", "labor", "price"]
+
+
+def q_mi_discrete(spark, sf):
+    rows = profile.drop_missing(_study(spark, sf).items)
+    return info.mi_discrete(rows, RAW_DISCRETE, "label").select("feature", _r("mutual_information"))
+
+
+def q_top_features(spark, sf):
+    rows = profile.drop_missing(_study(spark, sf).items)
+    ranked = RK.top_k(info.mi_discrete(rows, RAW_DISCRETE, "label"), 5)
+    return ranked.select("feature", _r("mutual_information"), F.col("rank").cast("int").alias("rank"))
+
+
+def q_mi_continuous(spark, sf):
+    rows = profile.drop_missing(_study(spark, sf).items)
+    return info.mi_continuous(rows, RAW_CONTINUOUS, "label")
+
+
+def q_feature_ranking(spark, sf):
+    st = _study(spark, sf)
+    return RK.feature_set_ranking(st, _memo(spark, sf)["cache"].sets("label"), "label")
+
+
+def q_best_per_group(spark, sf):
+    items = _study(spark, sf).items.select("state", "id", "price")
+    return SW.best_per_group(items, "state", "price")
+
+
+def q_probability_product(spark, sf):
+    st = _study(spark, sf)
+    out = st.split.rows(st.items, "dev").select("id")
+    for lb in fx.LABELS[1:]:
+        perf = entity.overall_performance(st.items, st.split, "school", "school", lb)
+        out = out.join(perf.select("id", F.col("school_pct_exciting").alias(lb)), "id")
+    return out.select("id", F.round(product_of(*fx.LABELS[1:]), R).alias("ensemble"))
+
+
+STD_COLS = ["price", "labor", "latitude"]
+
+
+def q_standardize(spark, sf):
+    st = _study(spark, sf)
+    stats = M.standardize_fit(st.split.rows(st.items, "train"), STD_COLS)
+    dev = st.split.rows(st.items, "dev").select("id", *STD_COLS)
+    return M.standardize_apply(dev, stats, STD_COLS).select("id", *[_r(c) for c in STD_COLS])
+
+
+def q_assemble_dataset(spark, sf):
+    st = _study(spark, sf)
+    return _long(DS.assemble(st, _memo(spark, sf)["cache"].sets("label"), "train"))
+
+
+def q_split_labels(spark, sf):
+    return DS.labels(_study(spark, sf), "dev", "label")
+
+
+def _scores(spec_name):
+    def run(spark, sf):
+        st = _study(spark, sf)
+        feats = _selected(spark, sf)
+        spec = next(s for s in M.CLASSIFIERS if s.name == spec_name)
+        train, dev = DS.train_test(st, _memo(spark, sf)["cache"].sets("label"), "label", FT.ENTITIES, feats)
+        model = M.fit_pipeline(train, feats, "label", spec)
+        return M.score(model, dev, feats, "label")
+    return run
+
+
+def _ledger(spark, sf):
+    m = _memo(spark, sf)
+    if "ledger" not in m:
+        m["ledger"] = SW.sweep(_study(spark, sf), fx.LABELS, M.CLASSIFIERS, features=_selected(spark, sf),
+                               parallelism=4)
+    return m["ledger"]
+
+
+def q_label_sweep(spark, sf):
+    return _ledger(spark, sf)
+
+
+def q_best_per_label(spark, sf):
+    return SW.best_per_label(_ledger(spark, sf)).select("label", "classifier", "test_roc_auc")
+
+
+def q_label_ensemble(spark, sf):
+    preds, _ = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf))
+    return preds
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labelled_join": q_labelled_join,
     "date_floor_filter": q_date_floor_filter,
@@ -259,6 +382,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "teacher_features": q_teacher_features,
     "school_features": q_school_features,
     "geo_features": q_geo_features,
+    "roc_auc": q_roc_auc,
+    "top_fraction_precision": q_top_fraction_precision,
+    "mi_discrete": q_mi_discrete,
+    "top_features": q_top_features,
+    "mi_continuous": q_mi_continuous,
+    "feature_ranking": q_feature_ranking,
+    "best_per_group": q_best_per_group,
+    "probability_product": q_probability_product,
+    "standardize": q_standardize,
+    "assemble_dataset": q_assemble_dataset,
+    "split_labels": q_split_labels,
+    "logistic_scores": _scores("Logistic Regression"),
+    "mlp_scores": _scores("FFNN (d=3)"),
+    "rf_scores": _scores("Random Forest"),
+    "gbt_scores": _scores("Gradient Boost"),
+    "label_ensemble": q_label_ensemble,
+    "label_sweep": q_label_sweep,
+    "best_per_label": q_best_per_label,
 }
 
 
@@ -275,7 +416,46 @@ def _sql() -> dict[str, str]:
     nulls = " + ".join(f"count(*) - count({c})" for c in all_cols)
     notnull = " AND ".join(f"{c} IS NOT NULL" for c in all_cols)
     ds_all = ",\n".join(O.kept_cte(f"k_{c}", "lab", c) for c in DOWNSIZE_ALL)
-    return {
+    sc = ("sc AS (SELECT sf.id, sf.pct_exciting AS s, CAST(p.label AS INTEGER) AS y "
+          "FROM sf JOIN p USING (id) WHERE p.is_dev)")
+    rawnn = " AND ".join(f"{c} IS NOT NULL" for c in all_cols)
+    disc_long = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS x, CAST(label AS INTEGER) AS y FROM rr" for c in RAW_DISCRETE)
+    mi_ctes = (f"rr AS (SELECT * FROM lab WHERE {rawnn}), lg AS ({disc_long}), "
+               "c AS (SELECT feature, x, y, CAST(count(*) AS DOUBLE) AS nxy FROM lg GROUP BY ALL), "
+               "cx AS (SELECT feature, x, sum(nxy) AS nx FROM c GROUP BY ALL), "
+               "cy AS (SELECT feature, y, sum(nxy) AS ny FROM c GROUP BY ALL), "
+               "cn AS (SELECT feature, sum(nxy) AS n FROM c GROUP BY ALL), "
+               "mi AS (SELECT feature, greatest(sum(nxy / n * ln(n * nxy / (nx * ny))), 0) AS m "
+               "FROM c JOIN cx USING (feature, x) JOIN cy USING (feature, y) JOIN cn USING (feature) GROUP BY feature)")
+    prod_ctes = ",\n".join(O.school_overall_ctes(lb, "school", f"s{i}") for i, lb in enumerate(fx.LABELS[1:]))
+    prod_join = " ".join(f"JOIN s{i}f USING (id)" for i in range(len(fx.LABELS) - 1))
+    prod_expr = " * ".join(f"s{i}f.pct_exciting" for i in range(len(fx.LABELS) - 1))
+    std_stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STD_COLS)
+    std_sel = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, {R}) AS {c}" for c in STD_COLS)
+    extra = {
+        "roc_auc": B(O.school_overall_ctes() + ",\n" + sc + """,
+agg AS (SELECT s, sum(y) AS pos, count(*) - sum(y) AS neg FROM sc GROUP BY s),
+cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM agg)""")
+        + f" SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), {R}) AS roc_auc FROM cum",
+        "top_fraction_precision": B(O.school_overall_ctes() + ",\n" + sc +
+                                    ", r AS (SELECT y, row_number() OVER (ORDER BY s DESC, id) AS rn, count(*) OVER () AS n FROM sc)")
+        + f""" SELECT round(avg(CASE WHEN rn <= n // 10 THEN y END), {R}) AS top_10_percentile,
+ round(avg(CASE WHEN rn <= n // 5 THEN y END), {R}) AS top_20_percentile,
+ round(avg(CASE WHEN rn <= (3 * n) // 10 THEN y END), {R}) AS top_30_percentile,
+ round(avg(y), {R}) AS random FROM r""",
+        "mi_discrete": B(mi_ctes) + f" SELECT feature, round(m, {R}) AS mutual_information FROM mi",
+        "top_features": B(mi_ctes) + f""" SELECT feature, round(m, {R}) AS mutual_information,
+ CAST(row_number() OVER (ORDER BY m DESC, feature) AS INTEGER) AS rank FROM mi ORDER BY m DESC, feature LIMIT 5""",
+        "best_per_group": B() + " SELECT state, id, price FROM lab JOIN (SELECT state, max(price) AS mp FROM lab GROUP BY state) USING (state) WHERE price = mp",
+        "probability_product": B(prod_ctes) + f" SELECT id, round({prod_expr}, {R}) AS ensemble FROM p {prod_join} WHERE p.is_dev",
+        "standardize": B(f"st AS (SELECT {std_stats} FROM p WHERE is_train)") + f" SELECT id, {std_sel} FROM p, st WHERE is_dev",
+        "assemble_dataset": B(",\n".join([O.project_ctes(), O.teacher_ctes(), O.school_ctes(), O.geo_ctes()]))
+        + " SELECT id, feature, value FROM (SELECT * FROM proj_long UNION ALL SELECT * FROM teach_long "
+        "UNION ALL SELECT * FROM school_long UNION ALL SELECT * FROM geo_long) WHERE id IN (SELECT id FROM p WHERE is_train)",
+        "split_labels": B() + " SELECT id, label FROM p WHERE is_dev",
+    }
+    return extra | {
         "labelled_join": B() + " SELECT * EXCLUDE (is_dev, is_train) FROM p",
         "date_floor_filter": B() + f" SELECT id, d FROM items WHERE d >= DATE '{fx.DATE_FLOOR}'",
         "projects_by_year": B() + """, py AS (SELECT CAST(year(d) AS INTEGER) AS year, count(id) AS n FROM items GROUP BY 1)
