@@ -280,6 +280,10 @@ def q_mi_continuous(spark, sf):
     return info.mi_continuous(rows, RAW_CONTINUOUS, "label")
 
 
+def q_raw_ranking(spark, sf):
+    return RK.raw_ranking(_study(spark, sf), "label")
+
+
 def q_feature_ranking(spark, sf):
     st = _study(spark, sf)
     return RK.feature_set_ranking(st, _memo(spark, sf)["cache"].sets("label"), "label")
@@ -329,6 +333,11 @@ def _scores(spec_name):
     return run
 
 
+def q_confusion_counts(spark, sf):
+    scored = _scores("Logistic Regression")(spark, sf)
+    return evaluate.confusion_counts(scored, "label", "hard_prediction")
+
+
 def _ledger(spark, sf):
     m = _memo(spark, sf)
     if "ledger" not in m:
@@ -387,6 +396,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mi_discrete": q_mi_discrete,
     "top_features": q_top_features,
     "mi_continuous": q_mi_continuous,
+    "raw_ranking": q_raw_ranking,
     "feature_ranking": q_feature_ranking,
     "best_per_group": q_best_per_group,
     "probability_product": q_probability_product,
@@ -397,6 +407,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mlp_scores": _scores("FFNN (d=3)"),
     "rf_scores": _scores("Random Forest"),
     "gbt_scores": _scores("Gradient Boost"),
+    "confusion_counts": q_confusion_counts,
     "label_ensemble": q_label_ensemble,
     "label_sweep": q_label_sweep,
     "best_per_label": q_best_per_label,

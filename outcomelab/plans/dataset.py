@@ -16,6 +16,11 @@ from outcomelab.plans.features import ENTITIES
 from outcomelab.plans.prepare import Study
 
 
+def prefix_columns(df: DataFrame, prefix: str, exclude: list[str] = ()) -> DataFrame:
+    """Prefix every column name except ``exclude``."""
+    return df.select(*[qcol(c) if c in set(exclude) else qcol(c).alias(prefix + c) for c in df.columns])
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all shared column names."""
     shared = sorted(set(left.columns) & set(right.columns))

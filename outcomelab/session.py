@@ -64,6 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    if sc is None:
+        # Spark Connect: checkpoints are written by the server into its own
+        # configured folder; nothing can be set from the client.
+        return ""
     if not _is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; cluster jobs need a shared folder "
