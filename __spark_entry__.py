@@ -232,14 +232,23 @@ def _memo(spark, sf) -> dict:
     key = ("memo", id(spark), sf)
     if key not in _STUDIES:
         st = _study(spark, sf)
-        _STUDIES[key] = {"cache": SW.FeatureCache(st)}
+        _STUDIES[key] = {"cache": SW.FeatureCache(st, fx.LABELS)}
     return _STUDIES[key]
 
 
+def _ranking(spark, sf) -> DataFrame:
+    """Second-pass ranking against the main label, materialised once."""
+    m = _memo(spark, sf)
+    if "ranking" not in m:
+        st = _study(spark, sf)
+        m["ranking"] = RK.feature_set_ranking(st, m["cache"].sets("label"), "label").checkpoint(eager=True)
+    return m["ranking"]
+
+
 def _selected(spark, sf) -> list[str]:
     m = _memo(spark, sf)
     if "selected" not in m:
-        m["selected"] = SW.selected_features(_study(spark, sf), m["cache"], "label", 26)
+        m["selected"] = [r["feature"] for r in RK.top_k(_ranking(spark, sf), 26).collect()]
     return m["selected"]
 
 
@@ -285,8 +294,7 @@ def q_raw_ranking(spark, sf):
 
 
 def q_feature_ranking(spark, sf):
-    st = _study(spark, sf)
-    return RK.feature_set_ranking(st, _memo(spark, sf)["cache"].sets("label"), "label")
+    return _ranking(spark, sf)
 
 
 def q_best_per_group(spark, sf):
@@ -342,7 +350,7 @@ def _ledger(spark, sf):
     m = _memo(spark, sf)
     if "ledger" not in m:
         m["ledger"] = SW.sweep(_study(spark, sf), fx.LABELS, M.CLASSIFIERS, features=_selected(spark, sf),
-                               parallelism=4)
+                               parallelism=4, cache=m["cache"])
     return m["ledger"]
 
 
@@ -355,7 +363,8 @@ def q_best_per_label(spark, sf):
 
 
 def q_label_ensemble(spark, sf):
-    preds, _ = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf))
+    preds, _ = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf),
+                                 cache=_memo(spark, sf)["cache"])
     return preds
 
 

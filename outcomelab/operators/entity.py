@@ -42,53 +42,84 @@ def entity_priors(rollup: DataFrame, min_count: int | None = 3) -> DataFrame:
     return src.agg(*aggs)
 
 
+LABEL_SEP = "__"
+
+
+def _labels(label_col) -> list[str]:
+    return [label_col] if isinstance(label_col, str) else list(label_col)
+
+
 def overall_performance(items: DataFrame, split: Split, entity_col: str, entity_name: str,
-                        label_col: str, min_count: int = 3) -> DataFrame:
+                        label_col: str | list[str], min_count: int = 3) -> DataFrame:
     """Historic, smoothed performance of each row's entity over the train rows
     (O57).  One row per item: id, num_projects, pct_exciting,
-    projects_per_year, active_years (prefixed with ``entity_name``)."""
+    projects_per_year, active_years (prefixed with ``entity_name``).
+
+    With a list of labels, all label sums come from the same aggregate and
+    ``pct_exciting`` is emitted once per label as ``pct_exciting__{label}``.
+    """
+    labels = _labels(label_col)
+    multi = not isinstance(label_col, str)
     id_col = split.id_col
-    train = split.rows(items, "train").select(id_col, entity_col, split.date_col, label_col)
-    stats = entity_rollup(train, entity_col, label_col, id_col, split.date_col)
-    priors = entity_priors(stats, min_count)
+    train = split.rows(items, "train").select(id_col, entity_col, split.date_col, *labels)
+    live = train.filter(F.col(entity_col).isNotNull())
+    stats = live.groupBy(entity_col).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.col(lb).cast("long")).alias(f"_k{i}") for i, lb in enumerate(labels)],
+        years_between(F.min(split.date_col), F.max(split.date_col)).alias("_y"))
+    big = stats.filter(F.col("_n") >= min_count)
+    priors = big.agg(F.avg("_n").alias("_pn"), F.avg("_y").alias("_py"),
+                     *[F.avg(f"_k{i}").alias(f"_pk{i}") for i in range(len(labels))])
     p = entity_name + "_"
-    pn, pk, py = F.col("prior_num"), F.col("prior_exciting"), F.col("prior_years")
-    n, k, y = F.col("num_projects"), F.col("num_exciting_projects"), F.col("active_years")
+    n, y, pn, py = F.col("_n"), F.col("_y"), F.col("_pn"), F.col("_py")
     joined = (items.select(id_col, entity_col)
-              .join(stats.select(entity_col, "num_projects", "num_exciting_projects", "active_years"),
-                    entity_col, "left")
+              .join(stats, entity_col, "left")
               .crossJoin(F.broadcast(priors)))
+    rates = []
+    for i, lb in enumerate(labels):
+        name = p + "pct_exciting" + (LABEL_SEP + lb if multi else "")
+        k, pk = F.col(f"_k{i}"), F.col(f"_pk{i}")
+        rates.append(F.when(n.isNotNull(), smoothed_rate(n, k, pn, pk)).otherwise(safe_div(pk, pn)).alias(name))
     return joined.select(
         id_col,
         F.coalesce(n.cast("double"), pn).alias(p + "num_projects"),
-        F.when(n.isNotNull(), smoothed_rate(n, k, pn, pk)).otherwise(safe_div(pk, pn)).alias(p + "pct_exciting"),
+        *rates,
         F.when(n.isNotNull(), smoothed_rate(y, n, py, pn)).otherwise(safe_div(pn, py)).alias(p + "projects_per_year"),
         F.coalesce(y, py).alias(p + "active_years"),
     )
 
 
 def past_performance(items: DataFrame, split: Split, entity_col: str, entity_name: str,
-                     label_col: str) -> DataFrame:
+                     label_col: str | list[str]) -> DataFrame:
     """Performance of the entity before each train row.
 
     Train rows get the number of earlier rows of their entity in (date, id)
     order, how many of those had the label, and the smoothed rate with
     priors averaged over all train entities.  Every other row (dev, rows cut
     by the recent filter, missing entity) gets 0 in all three columns.
+    With a list of labels, one ordered pass carries every label's running
+    sum; label columns get the suffix ``__{label}``.
     """
+    labels = _labels(label_col)
+    multi = not isinstance(label_col, str)
     id_col, date_col = split.id_col, split.date_col
+    ys = [f"_y{i}" for i in range(len(labels))]
     train = (split.rows(items, "train").filter(F.col(entity_col).isNotNull())
-             .select(id_col, entity_col, date_col, F.col(label_col).cast("long").alias("_y")))
-    priors = entity_priors(entity_rollup(train, entity_col, "_y", id_col, None), None)
-    ranked = running_totals(train, order=[date_col, id_col], group_cols=[entity_col], sum_cols=["_y"])
+             .select(id_col, entity_col, date_col,
+                     *[F.col(lb).cast("long").alias(y) for lb, y in zip(labels, ys)]))
+    per_entity = train.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n"),
+                                               *[F.sum(y).alias(f"_k{i}") for i, y in enumerate(ys)])
+    priors = per_entity.agg(F.avg("_n").alias("_pn"), *[F.avg(f"_k{i}").alias(f"_pk{i}") for i in range(len(ys))])
+    ranked = running_totals(train, order=[date_col, id_col], group_cols=[entity_col], sum_cols=ys)
     p = entity_name + "_"
-    feats = ranked.crossJoin(F.broadcast(priors)).select(
-        id_col,
-        F.col("n_before").cast("double").alias(p + "num_prev_projects"),
-        F.col("before__y").alias(p + "num_prev_exciting_projects"),
-        smoothed_rate("n_before", "before__y", "prior_num", "prior_exciting").alias(p + "pct_prev_exciting"))
-    cols = [p + "num_prev_projects", p + "num_prev_exciting_projects", p + "pct_prev_exciting"]
-    return items.select(id_col).join(feats, id_col, "left").na.fill(0.0, subset=cols)
+    cols = [F.col("n_before").cast("double").alias(p + "num_prev_projects")]
+    for i, (lb, y) in enumerate(zip(labels, ys)):
+        sfx = LABEL_SEP + lb if multi else ""
+        cols.append(F.col("before_" + y).alias(p + "num_prev_exciting_projects" + sfx))
+        cols.append(smoothed_rate("n_before", "before_" + y, "_pn", f"_pk{i}").alias(p + "pct_prev_exciting" + sfx))
+    feats = ranked.crossJoin(F.broadcast(priors)).select(id_col, *cols)
+    names = [c for c in feats.columns if c != id_col]
+    return items.select(id_col).join(feats, id_col, "left").na.fill(0.0, subset=names)
 
 
 def exact_median(df: DataFrame, value_col: str, group_cols: list[str] = (), id_col: str = "id",

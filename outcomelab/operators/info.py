@@ -110,15 +110,23 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     near = near.checkpoint(eager=True)
 
     # -- m_i: points strictly inside the interval ------------------------
-    # kind orders equal values: interval high end (0) < points (1) < low end (2)
-    events = (near.select("feature", F.col("_x").alias("_v"), F.lit(1).alias("_kind"), "_id", F.lit(1).alias("_w"))
-              .unionByName(near.select("feature", F.col("_hi").alias("_v"), F.lit(0).alias("_kind"), "_id", F.lit(0).alias("_w")))
-              .unionByName(near.select("feature", F.col("_lo").alias("_v"), F.lit(2).alias("_kind"), "_id", F.lit(0).alias("_w"))))
-    counted = running_totals(events, order=["_v", "_kind", "_id"], group_cols=["feature"], sum_cols=["_w"])
-    ends = (counted.filter(F.col("_kind") != 1)
+    # kind orders equal values: an open end is placed so points equal to it
+    # are not counted (high end before points, low end after).  A zero
+    # radius (exact duplicates) counts the points equal to x, as a
+    # "distance <= nextafter(0, 0)" search does: there the ends swap sides.
+    zero = F.col("_rad") <= 0
+    pt = near.select("feature", F.col("_x").alias("_v"), F.lit(1).alias("_kind"), "_id",
+                     F.lit(1).alias("_w"), F.lit("p").alias("_end"))
+    hi = near.select("feature", F.col("_hi").alias("_v"), F.when(zero, 2).otherwise(0).alias("_kind"), "_id",
+                     F.lit(0).alias("_w"), F.lit("h").alias("_end"))
+    lo = near.select("feature", F.col("_lo").alias("_v"), F.when(zero, 0).otherwise(2).alias("_kind"), "_id",
+                     F.lit(0).alias("_w"), F.lit("l").alias("_end"))
+    events = pt.unionByName(hi).unionByName(lo)
+    counted = running_totals(events, order=["_v", "_kind", "_id", "_end"], group_cols=["feature"], sum_cols=["_w"])
+    ends = (counted.filter(F.col("_end") != "p")
             .groupBy("feature", "_id")
-            .agg(F.max(F.when(F.col("_kind") == 0, F.col("before__w"))).alias("_below_hi"),
-                 F.max(F.when(F.col("_kind") == 2, F.col("before__w"))).alias("_upto_lo")))
+            .agg(F.max(F.when(F.col("_end") == "h", F.col("before__w"))).alias("_below_hi"),
+                 F.max(F.when(F.col("_end") == "l", F.col("before__w"))).alias("_upto_lo")))
     per_point = near.join(ends, ["feature", "_id"]).withColumn("_m", F.col("_below_hi") - F.col("_upto_lo"))
     mi = per_point.groupBy("feature").agg(
         F.count(F.lit(1)).alias("_n"), F.avg(digamma("_k")).alias("_pk"),

@@ -37,7 +37,7 @@ def project_features(study: Study, share: float = 0.9, max_items: int = 5) -> Da
     return one_hot(f, exclude=[c.id])
 
 
-def teacher_features(study: Study, label: str, share: float = 0.9, max_items: int = 5) -> DataFrame:
+def teacher_features(study: Study, label: str | list[str], share: float = 0.9, max_items: int = 5) -> DataFrame:
     c = study.cols
     f = study.items.select(c.id, c.teacher, c.date, c.prefix)
     perf = past_performance(study.items, study.split, c.teacher, "teacher", label)
@@ -48,7 +48,7 @@ def teacher_features(study: Study, label: str, share: float = 0.9, max_items: in
     return one_hot(f, exclude=[c.id])
 
 
-def school_features(study: Study, label: str, share: float = 0.9, max_items: int = 5) -> DataFrame:
+def school_features(study: Study, label: str | list[str], share: float = 0.9, max_items: int = 5) -> DataFrame:
     c = study.cols
     f = study.items.select(c.id, c.metro)
     perf = overall_performance(study.items, study.split, c.school, "school", label)
@@ -78,6 +78,22 @@ def geo_features(study: Study, num_bins: int = 5, share: float = 0.9, max_items:
 ENTITIES = ("project", "teacher", "school", "geo")
 
 
+def for_label(multi: DataFrame, label: str) -> DataFrame:
+    """Columns of one label from a multi-label feature set (``x__{label}``
+    renamed to ``x``; other labels' columns dropped)."""
+    from outcomelab.functions.columns import qcol
+    from outcomelab.operators.entity import LABEL_SEP
+    out = []
+    for c in multi.columns:
+        if LABEL_SEP in c:
+            base, lb = c.rsplit(LABEL_SEP, 1)
+            if lb == label:
+                out.append(qcol(c).alias(base))
+        else:
+            out.append(qcol(c))
+    return multi.select(*out)
+
+
 def all_features(study: Study, label: str = "label") -> dict[str, DataFrame]:
     """Every feature set for one label (O63).  Only the teacher and school
     sets depend on the label."""

@@ -42,23 +42,32 @@ LEDGER_SCHEMA = T.StructType([
 
 
 class FeatureCache:
-    """Feature sets per label, sharing the label-free ones."""
+    """Feature sets for several labels, built once.
 
-    def __init__(self, study: Study):
+    The project and geo sets do not depend on the label.  The teacher and
+    school sets are built once with every label's statistics side by side
+    (one aggregate / one ordered pass carries all label sums); a label's
+    view selects its columns."""
+
+    def __init__(self, study: Study, labels: list[str]):
         self.study = study
-        self._shared = None
-        self._by_label: dict[str, dict[str, DataFrame]] = {}
+        self.labels = list(labels)
+        self._built = None
+
+    def _build(self):
+        st, lbs = self.study, self.labels
+        self._built = {"project": FT.project_features(st).checkpoint(eager=True),
+                       "geo": FT.geo_features(st).checkpoint(eager=True),
+                       "teacher": FT.teacher_features(st, lbs).checkpoint(eager=True),
+                       "school": FT.school_features(st, lbs).checkpoint(eager=True)}
 
     def sets(self, label: str) -> dict[str, DataFrame]:
-        if self._shared is None:
-            self._shared = {"project": FT.project_features(self.study).checkpoint(eager=True),
-                            "geo": FT.geo_features(self.study).checkpoint(eager=True)}
-        if label not in self._by_label:
-            self._by_label[label] = {
-                **self._shared,
-                "teacher": FT.teacher_features(self.study, label).checkpoint(eager=True),
-                "school": FT.school_features(self.study, label).checkpoint(eager=True)}
-        return self._by_label[label]
+        if label not in self.labels:
+            raise ValueError(f"label {label!r} not among {self.labels}")
+        if self._built is None:
+            self._build()
+        return {e: (FT.for_label(df, label) if e in ("teacher", "school") else df)
+                for e, df in self._built.items()}
 
 
 def selected_features(study: Study, cache: FeatureCache, main_label: str, k: int = 26) -> list[str]:
@@ -75,12 +84,12 @@ def ledger_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def sweep(study: Study, labels: list[str], classifiers: list[Spec] = CLASSIFIERS,
           entities=FT.ENTITIES, k: int = 26, parallelism: int = 4,
-          features: list[str] | None = None) -> DataFrame:
+          features: list[str] | None = None, cache: FeatureCache | None = None) -> DataFrame:
     """Every classifier on every label (O78).  Fits of one label run in a
     small thread pool (as CrossValidator's ``parallelism`` does); each fit
     is itself a distributed job."""
     spark = study.items.sparkSession
-    cache = FeatureCache(study)
+    cache = cache or FeatureCache(study, labels)
     feats = features or selected_features(study, cache, labels[0], k)
     rows = []
     for label in labels:
@@ -109,12 +118,13 @@ def best_per_label(ledger: DataFrame) -> DataFrame:
 
 def label_ensemble(study: Study, labels: list[str], main_label: str | None = None,
                    spec: Spec = CLASSIFIERS[0], entities=FT.ENTITIES, k: int = 26,
-                   features: list[str] | None = None) -> tuple[DataFrame, dict]:
+                   features: list[str] | None = None,
+                   cache: FeatureCache | None = None) -> tuple[DataFrame, dict]:
     """One model per label, scored on the dev rows; the ensemble is the
     product of the other labels' probabilities, evaluated against the main
     label (O56, O80).  Returns (per-row predictions, metrics)."""
     main_label = main_label or labels[0]
-    cache = FeatureCache(study)
+    cache = cache or FeatureCache(study, labels)
     feats = features or selected_features(study, cache, main_label, k)
     idc = study.cols.id
     preds = None

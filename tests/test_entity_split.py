@@ -86,3 +86,17 @@ def test_past_counts_equal_self_join(spark):
     bad = got.join(ref, "id").filter((F.col("t_num_prev_projects") != F.col("n")) |
                                      (F.col("t_num_prev_exciting_projects") != F.col("k")))
     assert bad.count() == 0
+
+
+def test_multi_label_view_equals_single_label(spark):
+    rows = [(i, D(2020, 1, 1) + dt.timedelta(days=i % 9), "abc"[i % 3], i % 2 == 0, i % 5 == 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, d date, e string, y boolean, z boolean")
+    s = make_split(df, dev_share=0.25)
+    from outcomelab.plans.features import for_label
+    for fn in (past_performance, overall_performance):
+        multi = fn(df, s, "e", "t", ["y", "z"])
+        for lb in ("y", "z"):
+            one = fn(df, s, "e", "t", lb)
+            view = for_label(multi, lb)
+            assert sorted(view.columns) == sorted(one.columns)
+            assert view.select(one.columns).exceptAll(one).count() == 0

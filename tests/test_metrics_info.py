@@ -60,7 +60,9 @@ def _brute_mi(x, y, k=3):
     m = np.empty(len(x))
     for i in range(len(x)):
         d = np.sort(np.abs(x[y == y[i]] - x[i]))[1:]
-        m[i] = np.sum(np.abs(x - x[i]) < d[kk[i] - 1])
+        r = d[kk[i] - 1]
+        # distance <= nextafter(r, 0): strictly closer, or equal when r = 0
+        m[i] = np.sum(np.abs(x - x[i]) < r) if r > 0 else np.sum(x == x[i])
     return max(0.0, digamma_np(len(x)) + digamma_np(kk).mean() - digamma_np(nc).mean() - digamma_np(m).mean())
 
 
@@ -94,3 +96,15 @@ def test_digamma_column(spark):
            .select(digamma("x").alias("v")).collect()]
     assert np.allclose(got, digamma_np(vals), atol=1e-12)
     _ = F  # functions module used by the column helper
+
+
+def test_mi_continuous_exact_duplicates(spark):
+    # no jitter: many exact duplicates, so some k-th neighbour distances are 0
+    rng = np.random.default_rng(5)
+    n = 400
+    y = rng.integers(0, 2, n)
+    x = rng.integers(0, 4, n).astype(float) + 0.5 * y * rng.integers(0, 2, n)
+    pts = spark.createDataFrame([("f", i, int(y[i]), float(x[i])) for i in range(n)],
+                                "feature string, _id long, _y int, _x double")
+    got = mi_from_points(pts, 3, bucket_rows=50).first()["mutual_information"]
+    assert abs(got - _brute_mi(x, y)) < 1e-9
