@@ -92,38 +92,24 @@ def running_totals(df: DataFrame, order: list, group_cols: list[str] = (),
     wcols = [f"_w{i}" for i in range(len(sum_cols))]
     ordered = sorted_checkpoint(src, [*group_cols, *order], num_partitions)
 
-    # -- pass 1: one summary row per partition ---------------------------
-    summary_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("n", T.LongType()),
-         T.StructField("first_key", T.StringType()), T.StructField("last_key", T.StringType()),
-         T.StructField("last_n", T.LongType())]
-        + [T.StructField(f"last_{w}", T.DoubleType()) for w in wcols])
-    need = [PID, *group_cols, *wcols]
-
-    def summarize(batches):
-        pid, n, first_key, key = None, 0, None, None
-        run_n, run_sums = 0, np.zeros(len(wcols))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf[PID].iloc[0])
-            run, bfirst = _runs(pdf, group_cols, key)
-            if first_key is None:
-                first_key = bfirst
-            last_mask = run == run[-1]
-            if run[-1] == 0:   # the whole batch continues the open run
-                run_n += int(last_mask.sum())
-                run_sums = run_sums + pdf.loc[last_mask, wcols].to_numpy().sum(axis=0)
-            else:
-                run_n = int(last_mask.sum())
-                run_sums = pdf.loc[last_mask, wcols].to_numpy().sum(axis=0)
-            key = _key_of(pdf[group_cols].iloc[-1].tolist()) if group_cols else "[]"
-            n += len(pdf)
-        if pid is not None:
-            yield pd.DataFrame([[pid, n, first_key, key, run_n, *run_sums.tolist()]],
-                               columns=summary_schema.fieldNames())
-
-    rows = ordered.select(*need).mapInPandas(summarize, summary_schema).collect()
+    # -- pass 1: one summary row per partition (JVM aggregate) ------------
+    # rows per (partition, group) are combined map-side; each partition then
+    # reports its first and last group key (struct order = the sort order),
+    # its row count and the count / sums of its last group.
+    per_group = ordered.groupBy(PID, *group_cols).agg(
+        F.count(F.lit(1)).alias("_gn"), *[F.sum(w).alias(f"_g{w}") for w in wcols])
+    key = F.struct(*group_cols) if group_cols else F.struct(F.lit(0).alias("_k"))
+    last = F.struct(F.col("_gn"), *[F.col(f"_g{w}") for w in wcols])
+    summary = per_group.groupBy(PID).agg(
+        F.sum("_gn").alias("n"), F.min(key).alias("first"), F.max(key).alias("lastkey"),
+        F.max_by(last, key).alias("last"))
+    rows = []
+    for r in summary.collect():
+        rows.append({"pid": r[PID], "n": r["n"],
+                     "first_key": _key_of(list(r["first"])) if group_cols else "[]",
+                     "last_key": _key_of(list(r["lastkey"])) if group_cols else "[]",
+                     "last_n": r["last"]["_gn"],
+                     **{f"last_{w}": float(r["last"][f"_g{w}"] or 0.0) for w in wcols}})
     rows = sorted(rows, key=lambda r: r["pid"])
 
     # -- driver: carry-in of the open run at the start of each partition ---

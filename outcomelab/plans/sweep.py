@@ -131,7 +131,10 @@ def label_ensemble(study: Study, labels: list[str], main_label: str | None = Non
     for label in labels:
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
         model = fit_pipeline(train, feats, label, spec, idc)
-        p = score(model, dev, feats, label, idc, out_col="_p").select(idc, F.col("_p").alias(label))
+        # materialise each label's (id, probability): the final plan then joins
+        # six small scans instead of six model + assembly plans at once
+        p = (score(model, dev, feats, label, idc, out_col="_p")
+             .select(idc, F.col("_p").alias(label)).checkpoint(eager=True))
         preds = p if preds is None else preds.join(p, idc, "inner")
     others = [lb for lb in labels if lb != main_label]
     actual = study.items.select(idc, F.col(main_label).alias("actual"))
