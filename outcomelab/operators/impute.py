@@ -2,32 +2,51 @@
 
 A recipe maps column -> {"strategy": ..., "fill_value": ...} with strategies
 ``constant``, ``most_frequent``, ``median`` and ``mean``.  ``fit`` runs one
-aggregate for all mode / mean columns plus one exact-median pass per median
-column and returns plain Python values; ``apply`` is one projection of
+small job for all mode columns (distributed value counts, top-1 each), one
+aggregate for the mean columns and one exact-median pass per median column,
+and returns plain Python values; ``apply`` is one projection of
 ``coalesce(col, literal)``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelab.operators.entity import exact_median
 
 
+def modes(df: DataFrame, columns: list[str]) -> dict:
+    """Most frequent non-missing value per column, the smallest one on a tie
+    (as the usual imputer does).  Value counts are map-side combined and the
+    top value is a distributed top-1, so no task holds a column's whole
+    value set; one small job for all columns."""
+    if not columns:
+        return {}
+    tops = [df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+            .orderBy(F.col("_n").desc(), F.col(c).asc()).limit(1)
+            .select(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v")) for c in columns]
+    out = {c: None for c in columns}
+    for r in reduce(lambda a, b: a.unionByName(b), tops).collect():
+        out[r["_col"]] = r["_v"]
+    return out
+
+
 def fit_impute(df: DataFrame, recipe: dict, id_col: str = "id") -> dict:
-    fills, aggs = {}, []
+    fills, aggs, mode_cols = {}, [], []
     for c, spec in recipe.items():
         strategy = spec.get("strategy", "mean")
         if strategy == "constant":
             fills[c] = spec.get("fill_value")
         elif strategy == "most_frequent":
-            # smallest value among equally frequent ones, like the usual imputer
-            aggs.append(F.mode(c, deterministic=True).alias(c))
+            mode_cols.append(c)
         elif strategy == "mean":
             aggs.append(F.avg(c).alias(c))
         elif strategy != "median":
             raise ValueError(f"unknown strategy {strategy!r} for {c}")
+    fills.update(modes(df, mode_cols))
     if aggs:
         row = df.agg(*aggs).first()
         fills.update(row.asDict())
@@ -38,11 +57,11 @@ def fit_impute(df: DataFrame, recipe: dict, id_col: str = "id") -> dict:
 
 
 def apply_impute(df: DataFrame, fills: dict) -> DataFrame:
+    """coalesce(col, fill) with the fill cast to the column's type."""
     exprs = []
     for c in df.columns:
         if c in fills and fills[c] is not None:
-            exprs.append(F.coalesce(F.col(c), F.lit(fills[c]).cast(df.schema[c].dataType)
-                                    if not isinstance(fills[c], str) else F.lit(fills[c])).alias(c))
+            exprs.append(F.coalesce(F.col(c), F.lit(fills[c]).cast(df.schema[c].dataType)).alias(c))
         else:
             exprs.append(F.col(c))
     return df.select(*exprs)

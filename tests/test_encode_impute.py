@@ -102,3 +102,9 @@ def test_zero_median_ratio_is_null_not_error(spark):
     filled = impute(group_median_ratio(df, "p", "g", "id").select("id", "ratio"),
                     {"ratio": {"strategy": "median"}})
     assert {r.ratio for r in filled.collect()} == {1.0}
+
+
+def test_mode_tie_is_numeric_not_text(spark):
+    df = spark.createDataFrame([(0, 10), (1, 10), (2, 9), (3, 9), (4, None)], "id long, v int")
+    out = impute(df, {"v": {"strategy": "most_frequent"}})
+    assert out.filter("id = 4").first().v == 9
