@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from outcomelab.functions.columns import any_of
 from outcomelab.operators.impute import impute
 from outcomelab.operators.split import Split, date_floor, make_split
+from outcomelab.session import materialize
 from outcomelab.sources import fixtures
 
 
@@ -62,22 +63,14 @@ class Study:
 def fixture_study(spark: SparkSession, folder: str, persist: bool = True) -> Study:
     items = fixture_items(spark, folder)
     if persist:
-        # the labelled table feeds every feature set; materialise it once
-        items = items.checkpoint(eager=True) if _has_ckpt(spark) else items.cache()
+        # the labelled table feeds every feature set; materialise it once as
+        # a table so each reader prunes columns and pushes the split filter
+        items = materialize(items, "labelled_items")
     split = make_split(items, "id", "d", fixtures.DEV_SHARE, shuffle=False,
                        recent_from=fixtures.RECENT_FROM)
     return Study(items, split)
 
 
-def _has_ckpt(spark: SparkSession) -> bool:
-    from outcomelab.session import ensure_checkpoint_dir
-    try:
-        ensure_checkpoint_dir(spark)
-        return True
-    except Exception:
-        return False
-
-
 def split_labels(study: Study) -> DataFrame:
     """id, date, split name for every labelled item."""
     s = study.split

@@ -23,6 +23,7 @@ from outcomelab.plans.dataset import train_test
 from outcomelab.plans.models import CLASSIFIERS, Spec, experiment, fit_pipeline, score
 from outcomelab.plans.prepare import Study
 from outcomelab.plans.ranking import feature_set_ranking, top_k
+from outcomelab.session import materialize
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("classifier", T.StringType()),
@@ -56,10 +57,11 @@ class FeatureCache:
 
     def _build(self):
         st, lbs = self.study, self.labels
-        self._built = {"project": FT.project_features(st).checkpoint(eager=True),
-                       "geo": FT.geo_features(st).checkpoint(eager=True),
-                       "teacher": FT.teacher_features(st, lbs).checkpoint(eager=True),
-                       "school": FT.school_features(st, lbs).checkpoint(eager=True)}
+        # tables, not RDD checkpoints: a sweep reads 26 selected columns
+        self._built = {"project": materialize(FT.project_features(st), "project_features"),
+                       "geo": materialize(FT.geo_features(st), "geo_features"),
+                       "teacher": materialize(FT.teacher_features(st, lbs), "teacher_features"),
+                       "school": materialize(FT.school_features(st, lbs), "school_features")}
 
     def sets(self, label: str) -> dict[str, DataFrame]:
         if label not in self.labels:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +76,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="outcomelab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: lineage is cut like ``checkpoint()``, and later readers get
+    column pruning and pushed-down filters, which a checkpointed RDD scan
+    cannot offer.  Falls back to ``checkpoint()`` when no folder is known
+    on the client (Spark Connect)."""
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        return df.checkpoint(eager=True)
+    path = f"{folder.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
