@@ -14,10 +14,11 @@ by their standard deviation and get a deterministic jitter of 1e-10 scale
 unseeded noise.
 
 Distributed plan (1-D): long (feature, id, label, x) rows ->
- * class ranks from an ordered pass partitioned by (feature, label);
  * the k nearest same-label points lie within ranks r-k..r+k, read with
-   lag/lead inside buckets of ``bucket_rows`` ranks (k halo rows copied to
-   each neighbouring bucket, so window partitions stay bounded);
+   lag/lead over (x, id) order; a class of at most ``bucket_rows`` points is
+   one window partition, a larger one is cut into buckets of ``bucket_rows``
+   ranks (ranks from an ordered pass, k halo rows copied to each
+   neighbouring bucket), so window partitions stay bounded;
  * m_i from one ordered pass over points and interval ends per feature.
 """
 
@@ -80,19 +81,29 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
            .withColumn("_k", F.least(F.lit(k), F.col("_nc") - 1)))
 
     # -- k-th nearest same-label neighbour ------------------------------
-    ranked = running_totals(pts, order=["_x", "_id"], group_cols=["feature", "_y"]) \
-        .withColumnRenamed("n_before", "_r")
-    b = F.floor(F.col("_r") / F.lit(bucket_rows))
-    pos = F.col("_r") - b * F.lit(bucket_rows)
-    # each row in its own bucket, plus a halo copy next door when it is
-    # within k ranks of a bucket edge (one pass over the ranked rows)
-    copies = F.filter(F.array(
-        F.struct(b.alias("b"), F.lit(False).alias("halo")),
-        F.when(pos >= bucket_rows - k, F.struct((b + 1).alias("b"), F.lit(True).alias("halo"))),
-        F.when(pos < k, F.struct((b - 1).alias("b"), F.lit(True).alias("halo")))), lambda s: s.isNotNull())
-    framed = (ranked.select("*", F.explode(copies).alias("_copy"))
-              .select("*", F.col("_copy.b").alias("_b"), F.col("_copy.halo").alias("_halo")).drop("_copy"))
-    w = W.partitionBy("feature", "_y", "_b").orderBy("_r")
+    # A class of at most ``bucket_rows`` points is one bounded window
+    # partition as it is.  Larger classes get ranks from an ordered pass and
+    # are cut into buckets of ``bucket_rows`` ranks, each with k halo rows
+    # copied from both neighbouring buckets.
+    small = (pts.filter(F.col("_nc") <= bucket_rows)
+             .withColumn("_b", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
+    framed = small
+    largest = nc.agg(F.max("_nc")).first()[0] or 0      # one row per (feature, label)
+    if largest > bucket_rows:
+        large = pts.filter(F.col("_nc") > bucket_rows)
+        ranked = running_totals(large, order=["_x", "_id"], group_cols=["feature", "_y"]) \
+            .withColumnRenamed("n_before", "_r")
+        b = F.floor(F.col("_r") / F.lit(bucket_rows))
+        pos = F.col("_r") - b * F.lit(bucket_rows)
+        copies = F.filter(F.array(
+            F.struct(b.alias("b"), F.lit(False).alias("halo")),
+            F.when(pos >= bucket_rows - k, F.struct((b + 1).alias("b"), F.lit(True).alias("halo"))),
+            F.when(pos < k, F.struct((b - 1).alias("b"), F.lit(True).alias("halo")))), lambda s: s.isNotNull())
+        framed = (ranked.select("*", F.explode(copies).alias("_copy"))
+                  .select("*", F.col("_copy.b").cast("long").alias("_b"), F.col("_copy.halo").alias("_halo"))
+                  .drop("_copy", "_r")
+                  .unionByName(small))
+    w = W.partitionBy("feature", "_y", "_b").orderBy("_x", "_id")
     cands = []
     for j in range(1, k + 1):
         lag, lead = F.lag("_x", j).over(w), F.lead("_x", j).over(w)

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from outcomelab.functions.columns import digamma_np
@@ -66,7 +67,8 @@ def _brute_mi(x, y, k=3):
     return max(0.0, digamma_np(len(x)) + digamma_np(kk).mean() - digamma_np(nc).mean() - digamma_np(m).mean())
 
 
-def test_mi_continuous_matches_brute_force_with_ties_and_halos(spark):
+@pytest.mark.parametrize("bucket_rows", [40, 100_000])   # ranked buckets with halos / one window per class
+def test_mi_continuous_matches_brute_force(spark, bucket_rows):
     rng = np.random.default_rng(7)
     n = 700
     y = rng.integers(0, 2, n)
@@ -75,7 +77,7 @@ def test_mi_continuous_matches_brute_force_with_ties_and_halos(spark):
     rows = [(i, float(a[i]), float(b[i]), int(y[i])) for i in range(n)] + [(n, 0.0, 0.0, 2)]  # label seen once
     df = spark.createDataFrame(rows, "id long, a double, b double, y int")
     pts = jittered_points(df, ["a", "b"], "y", "id").checkpoint(eager=True)
-    got = {r.feature: r.mutual_information for r in mi_from_points(pts, 3, bucket_rows=40).collect()}
+    got = {r.feature: r.mutual_information for r in mi_from_points(pts, 3, bucket_rows=bucket_rows).collect()}
     p = pts.toPandas()
     for f in ("a", "b"):
         sub = p[p.feature == f]
