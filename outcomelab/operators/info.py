@@ -19,11 +19,14 @@ Distributed plan (1-D): long (feature, id, label, x) rows ->
    one window partition, a larger one is cut into buckets of ``bucket_rows``
    ranks (ranks from an ordered pass, k halo rows copied to each
    neighbouring bucket), so window partitions stay bounded;
- * m_i from one ordered pass over points and interval ends per feature.
+ * m_i from one ordered pass over points and interval ends per feature,
+   then one grouped sum per point (high end minus low end).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -75,9 +78,15 @@ def mi_continuous(df: DataFrame, features: list[str], label_col: str, id_col: st
 
 def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> DataFrame:
     """Neighbour estimator over long (feature, _id, _y, _x) points."""
-    # class sizes; a label seen once is dropped
-    nc = pts.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("_nc"))
-    pts = (pts.join(F.broadcast(nc), ["feature", "_y"]).filter(F.col("_nc") > 1)
+    # class sizes (one row per feature and label); a label seen once is dropped
+    nc = pts.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("_nc")).collect()
+    names = sorted({r["feature"] for r in nc})
+    # integer feature codes: the ordered passes below move numbers, not text
+    sizes = pts.sparkSession.createDataFrame(
+        [(r["feature"], names.index(r["feature"]), r["_y"], r["_nc"]) for r in nc],
+        "feature string, _f int, _y int, _nc long")
+    largest = max([r["_nc"] for r in nc], default=0)
+    pts = (pts.join(F.broadcast(sizes), ["feature", "_y"]).filter(F.col("_nc") > 1)
            .withColumn("_k", F.least(F.lit(k), F.col("_nc") - 1)))
 
     # -- k-th nearest same-label neighbour ------------------------------
@@ -88,10 +97,9 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     small = (pts.filter(F.col("_nc") <= bucket_rows)
              .withColumn("_b", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
     framed = small
-    largest = nc.agg(F.max("_nc")).first()[0] or 0      # one row per (feature, label)
     if largest > bucket_rows:
         large = pts.filter(F.col("_nc") > bucket_rows)
-        ranked = running_totals(large, order=["_x", "_id"], group_cols=["feature", "_y"]) \
+        ranked = running_totals(large, order=["_x", "_id"], group_cols=["_f", "_y"]) \
             .withColumnRenamed("n_before", "_r")
         b = F.floor(F.col("_r") / F.lit(bucket_rows))
         pos = F.col("_r") - b * F.lit(bucket_rows)
@@ -104,16 +112,20 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
                   .drop("_copy", "_r")
                   .unionByName(small))
     w = W.partitionBy("feature", "_y", "_b").orderBy("_x", "_id")
-    cands = []
+    cands, missing = [], []
     for j in range(1, k + 1):
         lag, lead = F.lag("_x", j).over(w), F.lead("_x", j).over(w)
         cands.append(F.struct((F.col("_x") - lag).alias("d"), lag.alias("nb")))
         cands.append(F.struct((lead - F.col("_x")).alias("d"), lead.alias("nb")))
-    near = (framed.select("feature", "_id", "_y", "_x", "_k", "_nc", "_halo", F.array(*cands).alias("_c"))
+        missing += [lag.isNull().cast("int"), lead.isNull().cast("int")]
+    # ascending sort puts the absent neighbours (null distance) first, so the
+    # k-th nearest is at position (#absent + k): plain expressions, no lambdas
+    n_missing = reduce(lambda a, b: a + b, missing)
+    near = (framed.select("feature", "_f", "_id", "_y", "_x", "_k", "_nc", "_halo",
+                          F.sort_array(F.array(*cands)).alias("_c"), n_missing.alias("_miss"))
             .filter(~F.col("_halo"))
-            .withColumn("_c", F.array_sort(F.filter("_c", lambda s: s["d"].isNotNull())))
-            .withColumn("_kth", F.element_at("_c", F.col("_k").cast("int")))
-            .select("feature", "_id", "_x", "_k", "_nc",
+            .withColumn("_kth", F.element_at("_c", (F.col("_miss") + F.col("_k")).cast("int")))
+            .select("feature", "_f", "_id", "_x", "_k", "_nc",
                     F.col("_kth.d").alias("_rad"), F.col("_kth.nb").alias("_nb")))
     # open interval (x - r, x + r); on the neighbour's side its own value is the end
     near = (near.withColumn("_lo", F.when(F.col("_nb") < F.col("_x"), F.col("_nb")).otherwise(F.col("_x") - F.col("_rad")))
@@ -126,24 +138,28 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     # radius (exact duplicates) counts the points equal to x, as a
     # "distance <= nextafter(0, 0)" search does: there the ends swap sides.
     zero = F.col("_rad") <= 0
-    pt = near.select("feature", F.col("_x").alias("_v"), F.lit(1).alias("_kind"), "_id",
-                     F.lit(1).alias("_w"), F.lit("p").alias("_end"))
-    hi = near.select("feature", F.col("_hi").alias("_v"), F.when(zero, 2).otherwise(0).alias("_kind"), "_id",
-                     F.lit(0).alias("_w"), F.lit("h").alias("_end"))
-    lo = near.select("feature", F.col("_lo").alias("_v"), F.when(zero, 0).otherwise(2).alias("_kind"), "_id",
-                     F.lit(0).alias("_w"), F.lit("l").alias("_end"))
+    # _end: 0 point, 1 high end (carries k and the class size), 2 low end
+    none = F.lit(None).cast("long")
+    pt = near.select("_f", F.col("_x").alias("_v"), F.lit(1).alias("_kind"), "_id",
+                     F.lit(1).alias("_w"), F.lit(0).alias("_end"), none.alias("_k"), none.alias("_nc"))
+    hi = near.select("_f", F.col("_hi").alias("_v"), F.when(zero, 2).otherwise(0).alias("_kind"), "_id",
+                     F.lit(0).alias("_w"), F.lit(1).alias("_end"), "_k", "_nc")
+    lo = near.select("_f", F.col("_lo").alias("_v"), F.when(zero, 0).otherwise(2).alias("_kind"), "_id",
+                     F.lit(0).alias("_w"), F.lit(2).alias("_end"), none.alias("_k"), none.alias("_nc"))
     events = pt.unionByName(hi).unionByName(lo)
-    counted = running_totals(events, order=["_v", "_kind", "_id", "_end"], group_cols=["feature"], sum_cols=["_w"])
-    ends = (counted.filter(F.col("_end") != "p")
-            .groupBy("feature", "_id")
-            .agg(F.max(F.when(F.col("_end") == "h", F.col("before__w"))).alias("_below_hi"),
-                 F.max(F.when(F.col("_end") == "l", F.col("before__w"))).alias("_upto_lo")))
-    per_point = near.join(ends, ["feature", "_id"]).withColumn("_m", F.col("_below_hi") - F.col("_upto_lo"))
-    mi = per_point.groupBy("feature").agg(
+    counted = running_totals(events, order=["_v", "_kind", "_id", "_end"], group_cols=["_f"], sum_cols=["_w"])
+    # m = points below the high end - points up to the low end, one grouped sum
+    per_point = (counted.filter(F.col("_end") != 0)
+                 .groupBy("_f", "_id")
+                 .agg(F.sum(F.when(F.col("_end") == 1, F.col("before__w")).otherwise(-F.col("before__w"))).alias("_m"),
+                      F.max("_k").alias("_k"), F.max("_nc").alias("_nc")))
+    mi = per_point.groupBy("_f").agg(
         F.count(F.lit(1)).alias("_n"), F.avg(digamma("_k")).alias("_pk"),
         F.avg(digamma("_nc")).alias("_pn"), F.avg(digamma("_m")).alias("_pm"))
-    return mi.select("feature", F.greatest(F.lit(0.0), digamma("_n") + F.col("_pk") - F.col("_pn") - F.col("_pm"))
-                     .alias("mutual_information"))
+    codes = pts.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "feature string, _f int")
+    return (mi.join(F.broadcast(codes), "_f")
+            .select("feature", F.greatest(F.lit(0.0), digamma("_n") + F.col("_pk") - F.col("_pn") - F.col("_pm"))
+                    .alias("mutual_information")))
 
 
 def mutual_information(df: DataFrame, features: list[str], label_col: str, id_col: str = "id",

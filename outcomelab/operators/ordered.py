@@ -57,13 +57,30 @@ def _runs(pdf: pd.DataFrame, group_cols: list[str], prev_key: str | None):
         cont = prev_key == first
         run = np.zeros(n, dtype=np.int64) if cont else np.ones(n, dtype=np.int64)
         return run, first
-    keys = pdf[group_cols]
-    changed = (keys != keys.shift()).any(axis=1).to_numpy()
-    first = _key_of(keys.iloc[0].tolist())
+    changed = np.zeros(n, dtype=bool)
+    for g in group_cols:
+        a = pdf[g].to_numpy()
+        changed[1:] |= a[1:] != a[:-1]
+    first = _key_of([pdf[g].iloc[0] for g in group_cols])
     changed[0] = first != prev_key
     return np.cumsum(changed), first
 
 
+def _within_runs(run: np.ndarray, vals: list[np.ndarray]):
+    """Position of each row inside its run, and per value array the sum of
+    the earlier rows of the run (vectorised: runs are contiguous)."""
+    n = len(run)
+    pos = np.arange(n)
+    is_start = np.ones(n, dtype=bool)
+    is_start[1:] = run[1:] != run[:-1]
+    start = np.maximum.accumulate(np.where(is_start, pos, 0))
+    befores = []
+    for v in vals:
+        before_all = np.cumsum(v) - v          # sum of all earlier rows of the batch
+        befores.append(before_all - before_all[start])
+    return pos - start, befores
+
+
 def sorted_checkpoint(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort by ``order`` and checkpoint, with the partition
     index materialised as ``_pid``."""
@@ -140,15 +157,13 @@ def running_totals(df: DataFrame, order: list, group_cols: list[str] = (),
                 state_sums = np.array(sums, dtype=float)
                 started = True
             run, _ = _runs(pdf, group_cols, key)
-            grp = pd.Series(run)
-            idx = grp.groupby(run).cumcount().to_numpy()
+            vals = [pdf[w].to_numpy(dtype=float) for w in wcols]
+            idx, befores = _within_runs(run, vals)
             cont = run == 0
             pdf[count_name] = idx + np.where(cont, state_n, 0)
-            for i, (w, c) in enumerate(zip(wcols, sum_cols)):
-                vals = pdf[w].to_numpy(dtype=float)
-                before = pd.Series(vals).groupby(run).cumsum().to_numpy() - vals
-                pdf[sum_prefix + c] = before + np.where(cont, state_sums[i] if len(wcols) else 0.0, 0.0)
-            key = _key_of(pdf[group_cols].iloc[-1].tolist()) if group_cols else "[]"
+            for i, c in enumerate(sum_cols):
+                pdf[sum_prefix + c] = befores[i] + np.where(cont, state_sums[i], 0.0)
+            key = _key_of([pdf[g].iloc[-1] for g in group_cols]) if group_cols else "[]"
             state_n = int(pdf[count_name].iloc[-1]) + 1
             state_sums = np.array([pdf[sum_prefix + c].iloc[-1] + pdf[w].iloc[-1]
                                    for w, c in zip(wcols, sum_cols)], dtype=float)
