@@ -121,23 +121,29 @@ def best_per_label(ledger: DataFrame) -> DataFrame:
 def label_ensemble(study: Study, labels: list[str], main_label: str | None = None,
                    spec: Spec = CLASSIFIERS[0], entities=FT.ENTITIES, k: int = 26,
                    features: list[str] | None = None,
-                   cache: FeatureCache | None = None) -> tuple[DataFrame, dict]:
+                   cache: FeatureCache | None = None, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """One model per label, scored on the dev rows; the ensemble is the
     product of the other labels' probabilities, evaluated against the main
-    label (O56, O80).  Returns (per-row predictions, metrics)."""
+    label (O56, O80).  The labels' fits are independent distributed jobs and
+    run in a small thread pool, as the sweep's do.  Returns (per-row
+    predictions, metrics)."""
     main_label = main_label or labels[0]
     cache = cache or FeatureCache(study, labels)
     feats = features or selected_features(study, cache, main_label, k)
     idc = study.cols.id
-    preds = None
-    for label in labels:
+
+    def label_scores(label: str) -> DataFrame:
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
         model = fit_pipeline(train, feats, label, spec, idc)
         # materialise each label's (id, probability): the final plan then joins
         # six small scans instead of six model + assembly plans at once
-        p = (score(model, dev, feats, label, idc, out_col="_p")
-             .select(idc, F.col("_p").alias(label)).checkpoint(eager=True))
-        preds = p if preds is None else preds.join(p, idc, "inner")
+        return (score(model, dev, feats, label, idc, out_col="_p")
+                .select(idc, F.col("_p").alias(label)).checkpoint(eager=True))
+
+    cache.sets(main_label)                     # build the shared feature tables once, up front
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        per_label = list(pool.map(label_scores, labels))
+    preds = reduce(lambda a, b: a.join(b, idc, "inner"), per_label)
     others = [lb for lb in labels if lb != main_label]
     actual = study.items.select(idc, F.col(main_label).alias("actual"))
     out = (preds.withColumn("ensemble", product_of(*others))

@@ -52,3 +52,24 @@ def test_standardize_population_deviation(spark):
     sd = np.std([1.0, 3.0, 5.0])
     assert np.allclose([r.x for r in out], [-2 / sd, 0.0, 2 / sd])
     _ = F
+
+
+def test_label_ensemble_product_and_thread_pool(spark):
+    from conftest import SF_SMALL
+    from outcomelab.plans.prepare import fixture_study
+    from outcomelab.plans.sweep import FeatureCache, label_ensemble
+
+    st = fixture_study(spark, SF_SMALL)
+    labels = ["label", "flag_r", "flag_big"]
+    cache = FeatureCache(st, labels)
+    out, metrics = label_ensemble(st, labels, k=6, cache=cache, parallelism=3)
+    rows = out.collect()
+    n_dev = st.split.rows(st.items, "dev").count()
+    assert len(rows) == n_dev and len({r.id for r in rows}) == n_dev
+    for r in rows:        # the main label's own model is left out of the product
+        assert abs(r.ensemble - r.flag_r * r.flag_big) < 1e-12
+        assert 0.0 <= r.label <= 1.0
+    assert 0.0 <= metrics["roc_auc"] <= 1.0
+    seq, _ = label_ensemble(st, labels, k=6, cache=cache, parallelism=1)
+    by_id = {r.id: r.ensemble for r in seq.collect()}
+    assert all(abs(by_id[r.id] - r.ensemble) < 1e-9 for r in rows)
