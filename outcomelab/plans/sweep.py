@@ -57,11 +57,17 @@ class FeatureCache:
 
     def _build(self):
         st, lbs = self.study, self.labels
-        # tables, not RDD checkpoints: a sweep reads 26 selected columns
-        self._built = {"project": materialize(FT.project_features(st), "project_features"),
-                       "geo": materialize(FT.geo_features(st), "geo_features"),
-                       "teacher": materialize(FT.teacher_features(st, lbs), "teacher_features"),
-                       "school": materialize(FT.school_features(st, lbs), "school_features")}
+        builders = {"project": lambda: FT.project_features(st),
+                    "geo": lambda: FT.geo_features(st),
+                    "teacher": lambda: FT.teacher_features(st, lbs),
+                    "school": lambda: FT.school_features(st, lbs)}
+        # tables, not RDD checkpoints: a sweep reads 26 selected columns.  The
+        # four sets are independent; their fit steps are many small jobs, so
+        # they are built concurrently rather than one after another.
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            futures = {e: pool.submit(lambda e=e, b=b: materialize(b(), f"{e}_features"))
+                       for e, b in builders.items()}
+            self._built = {e: f.result() for e, f in futures.items()}
 
     def sets(self, label: str) -> dict[str, DataFrame]:
         if label not in self.labels:
