@@ -99,13 +99,16 @@ def sweep(study: Study, labels: list[str], classifiers: list[Spec] = CLASSIFIERS
     spark = study.items.sparkSession
     cache = cache or FeatureCache(study, labels)
     feats = features or selected_features(study, cache, labels[0], k)
-    rows = []
+    data = {}
     for label in labels:
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
-        train, dev = train.checkpoint(eager=True), dev.checkpoint(eager=True)
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows += list(pool.map(lambda spec: experiment(train, dev, feats, label, spec, list(entities)),
-                                  classifiers))
+        data[label] = (train.checkpoint(eager=True), dev.checkpoint(eager=True))
+    # one pool over every (label, classifier) fit: it never drains between
+    # labels, so the long fits of different labels overlap.  Row order is
+    # label-major, as submitted.
+    fits = [(label, spec) for label in labels for spec in classifiers]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(lambda f: experiment(*data[f[0]], feats, f[0], f[1], list(entities)), fits))
     return ledger_frame(spark, rows)
 
 
