@@ -34,22 +34,39 @@ class Columns:
     longitude: str = "longitude"
 
 
+def joined_items(items: DataFrame, outcomes: DataFrame, id_col: str, date_col: str,
+                 min_date: str | None) -> DataFrame:
+    """Items on/after ``min_date`` with a known outcome (inner join)."""
+    if min_date:
+        items = date_floor(items, date_col, min_date)
+    return items.join(outcomes, id_col, "inner")
+
+
+def finish_labels(joined: DataFrame, id_col: str, mode_cols: list[str], or_parts: list[str],
+                  or_name: str) -> DataFrame:
+    """Missing outcome flags imputed by their mode, and an OR-ed label: one
+    small fit job, then a projection."""
+    joined = impute(joined, {c: {"strategy": "most_frequent"} for c in mode_cols}, id_col)
+    return joined.withColumn(or_name, any_of(*or_parts))
+
+
 def label_items(items: DataFrame, outcomes: DataFrame, id_col: str, date_col: str,
                 min_date: str | None, mode_cols: list[str], or_parts: list[str],
                 or_name: str) -> DataFrame:
     """Items on/after ``min_date`` with a known outcome (inner join), missing
     outcome flags imputed by their mode, and an OR-ed label."""
-    if min_date:
-        items = date_floor(items, date_col, min_date)
-    joined = items.join(outcomes, id_col, "inner")
-    joined = impute(joined, {c: {"strategy": "most_frequent"} for c in mode_cols}, id_col)
-    return joined.withColumn(or_name, any_of(*or_parts))
+    return finish_labels(joined_items(items, outcomes, id_col, date_col, min_date),
+                         id_col, mode_cols, or_parts, or_name)
+
+
+def fixture_joined(spark: SparkSession, folder: str, min_date: str | None = fixtures.DATE_FLOOR) -> DataFrame:
+    return joined_items(fixtures.items(spark, folder), fixtures.outcomes(spark, folder), "id", "d", min_date)
 
 
 def fixture_items(spark: SparkSession, folder: str, min_date: str | None = fixtures.DATE_FLOOR) -> DataFrame:
     """Labelled items of the test tables (see :mod:`outcomelab.sources.fixtures`)."""
-    return label_items(fixtures.items(spark, folder), fixtures.outcomes(spark, folder), "id", "d",
-                       min_date, fixtures.MODE_IMPUTED, fixtures.OR_PARTS, fixtures.OR_LABEL)
+    return finish_labels(fixture_joined(spark, folder, min_date), "id",
+                         fixtures.MODE_IMPUTED, fixtures.OR_PARTS, fixtures.OR_LABEL)
 
 
 @dataclass
@@ -61,11 +78,15 @@ class Study:
 
 
 def fixture_study(spark: SparkSession, folder: str, persist: bool = True) -> Study:
-    items = fixture_items(spark, folder)
     if persist:
-        # the labelled table feeds every feature set; materialise it once as
-        # a table so each reader prunes columns and pushes the split filter
-        items = materialize(items, "labelled_items")
+        # the joined table feeds every feature set: write it once as a table,
+        # so the lineitem roll-up and the joins run once (the mode fit reads
+        # five pruned columns of the written table), and each reader prunes
+        # columns and pushes the split filter through the imputing projection
+        joined = materialize(fixture_joined(spark, folder), "labelled_items")
+        items = finish_labels(joined, "id", fixtures.MODE_IMPUTED, fixtures.OR_PARTS, fixtures.OR_LABEL)
+    else:
+        items = fixture_items(spark, folder)
     split = make_split(items, "id", "d", fixtures.DEV_SHARE, shuffle=False,
                        recent_from=fixtures.RECENT_FROM)
     return Study(items, split)
