@@ -42,6 +42,19 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
+def _by_freq():
+    return W.partitionBy("column").orderBy(F.col("count").desc(), F.col("value"))
+
+
+def top_values(counts: DataFrame, max_items: int) -> DataFrame:
+    """The ``max_items`` most frequent values per column of a value-count
+    table, with their ``_rank``.  The rank filter becomes a window group
+    limit: each map task keeps at most ``max_items`` rows per column before
+    the shuffle, so a high-cardinality column never reaches one task whole."""
+    return (counts.withColumn("_rank", F.row_number().over(_by_freq()))
+            .filter(F.col("_rank") <= max_items))
+
+
 def fit_downsize(df: DataFrame, columns: list[str], desired_share: float = 0.9,
                  max_items: int = 10) -> dict[str, list[str]]:
     """Values kept per column (O47/O48): sorted by frequency (ties by value),
@@ -51,11 +64,8 @@ def fit_downsize(df: DataFrame, columns: list[str], desired_share: float = 0.9,
         return {}
     counts = value_counts(df, columns)
     totals = counts.groupBy("column").agg(F.sum("count").alias("_total"))
-    by_freq = W.partitionBy("column").orderBy(F.col("count").desc(), F.col("value"))
-    top = (counts.withColumn("_rank", F.row_number().over(by_freq))
-           .filter(F.col("_rank") <= max_items)          # window group limit: partial top-k per task
-           .join(F.broadcast(totals), "column"))
-    cum = F.sum("count").over(by_freq.rowsBetween(W.unboundedPreceding, 0))
+    top = top_values(counts, max_items).join(F.broadcast(totals), "column")
+    cum = F.sum("count").over(_by_freq().rowsBetween(W.unboundedPreceding, 0))
     kept = (top.withColumn("_share", cum / F.col("_total"))
             .filter(F.col("_share") < desired_share)
             .select("column", "value", "_rank").collect())

@@ -108,3 +108,23 @@ def test_mode_tie_is_numeric_not_text(spark):
     df = spark.createDataFrame([(0, 10), (1, 10), (2, 9), (3, 9), (4, None)], "id long, v int")
     out = impute(df, {"v": {"strategy": "most_frequent"}})
     assert out.filter("id = 4").first().v == 9
+
+
+def test_top_values_limit_runs_before_the_shuffle(spark):
+    import contextlib
+    import io
+
+    rows = [(str(i % 97), "ab"[i % 2]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "c string, k string")
+    top = encode.top_values(encode.value_counts(df, ["c", "k"]), 3)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        top.explain()
+    plan = buf.getvalue()
+    partial = plan.find("WindowGroupLimit [column")
+    assert "Partial" in plan and partial >= 0
+    # the partial limit sits below (after, in the printed tree) the exchange on column
+    assert plan.find("Exchange hashpartitioning(column", 0) < plan.rfind(", Partial")
+    got = sorted((r.column, r.value, r._rank) for r in top.collect())
+    assert [g for g in got if g[0] == "k"] == [("k", "a", 1), ("k", "b", 2)]
+    assert len([g for g in got if g[0] == "c"]) == 3
