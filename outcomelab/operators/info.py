@@ -51,7 +51,8 @@ def mi_discrete(df: DataFrame, features: list[str], label_col: str, id_col: str
     n = nxy.groupBy("feature").agg(F.sum("nxy").alias("n"))
     cells = nxy.join(nx, ["feature", "_x"]).join(ny, ["feature", "_y"]).join(n, "feature")
     term = (F.col("nxy") / F.col("n")) * F.log(F.col("n") * F.col("nxy") / (F.col("nx") * F.col("ny")))
-    return (cells.groupBy("feature").agg(F.sum(term).alias("_mi"))
+    # exact decimal sum: the same value whatever the order cells are combined in
+    return (cells.groupBy("feature").agg(F.sum(term.cast("decimal(38,18)")).cast("double").alias("_mi"))
             .select("feature", F.greatest(F.col("_mi"), F.lit(0.0)).alias("mutual_information")))
 
 
@@ -76,6 +77,13 @@ def mi_continuous(df: DataFrame, features: list[str], label_col: str, id_col: st
     return mi_from_points(jittered_points(df, features, label_col, id_col, jitter, seed), k, bucket_rows)
 
 
+def _exact_mean(c):
+    """Mean through an exact decimal sum: the same value whatever the order
+    partitions are combined in (a recomputed partition cannot move a
+    ranking tie)."""
+    return (F.sum(c.cast("decimal(38,18)")) / F.count(F.lit(1))).cast("double")
+
+
 def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> DataFrame:
     """Neighbour estimator over long (feature, _id, _y, _x) points."""
     # class sizes (one row per feature and label); a label seen once is dropped
@@ -154,8 +162,8 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
                  .agg(F.sum(F.when(F.col("_end") == 1, F.col("before__w")).otherwise(-F.col("before__w"))).alias("_m"),
                       F.max("_k").alias("_k"), F.max("_nc").alias("_nc")))
     mi = per_point.groupBy("_f").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(digamma("_k")).alias("_pk"),
-        F.avg(digamma("_nc")).alias("_pn"), F.avg(digamma("_m")).alias("_pm"))
+        F.count(F.lit(1)).alias("_n"), _exact_mean(digamma("_k")).alias("_pk"),
+        _exact_mean(digamma("_nc")).alias("_pn"), _exact_mean(digamma("_m")).alias("_pm"))
     codes = pts.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "feature string, _f int")
     return (mi.join(F.broadcast(codes), "_f")
             .select("feature", F.greatest(F.lit(0.0), digamma("_n") + F.col("_pk") - F.col("_pn") - F.col("_pm"))

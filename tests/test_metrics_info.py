@@ -110,3 +110,22 @@ def test_mi_continuous_exact_duplicates(spark):
                                 "feature string, _id long, _y int, _x double")
     got = mi_from_points(pts, 3, bucket_rows=50).first()["mutual_information"]
     assert abs(got - _brute_mi(x, y)) < 1e-9
+
+
+def test_mi_is_exactly_the_same_whatever_the_partitioning(spark):
+    from outcomelab.operators.info import mi_continuous, mi_discrete
+
+    rng = np.random.default_rng(5)
+    n = 1500
+    a, b = rng.normal(size=n), rng.integers(0, 4, size=n)
+    y = (a + rng.normal(size=n) > 0).astype(int)
+    rows = [(i, float(a[i]), float(b[i]), str(b[i] % 3), bool(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, s string, y boolean")
+
+    def run(parts):
+        d = df.repartition(parts)
+        cont = {r.feature: r.mutual_information for r in mi_continuous(d, ["a", "b"], "y").collect()}
+        disc = {r.feature: r.mutual_information for r in mi_discrete(d, ["s"], "y").collect()}
+        return cont, disc
+
+    assert run(1) == run(7)      # exact equality, not a tolerance
