@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelab.llm import exact_dedup, packing, pii, secret_scan, sentencepiece_codec, simhash, token_rollup, toxicity
+from outcomelab.llm import (embedding_graph, exact_dedup, packing, pii, repeated_spans, secret_scan,
+                            sentencepiece_codec, simhash, token_rollup, toxicity)
 from outcomelab.llm.common import materialize
 from outcomelab.session import ensure_checkpoint_dir
 
@@ -66,12 +67,21 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_read(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_spans.remove_repeats(_read(spark, sf, "documents"))
+
+
+def op9_embedding_graph(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_graph.near_duplicates(_read(spark, sf, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_pii_offsets, op3_block_names, op4_simhash, op5_sentencepiece,
-                                   op6_secret_ledger, op7_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_pii_offsets, op3_block_names, op4_simhash, op5_sentencepiece, op6_secret_ledger, op7_packing,
+    op8_repeated_spans, op9_embedding_graph, op10_toxicity)}
 
 ORACLE_SQL = {
     "op3_block_names": """

@@ -1,23 +1,28 @@
 """Toxicity scores from class-conditional Kneser-Ney language models.
 
-Two bigram models, of toxic and of ordinary training texts, score every text;
-the mean difference of their log-likelihoods per word, through a logistic
-curve fitted on training rows that the models have not seen, is the score.
-
-Both models discount their bigrams, back off to their own continuation counts
-(in how many contexts of the class a word was seen), and these back off to
-continuation counts shared by both.  The shared counts come from a pass over
-all documents, labelled or not: 64 hashed context classes per word, united
-over the corpus with ``bit_or`` and read by linear counting.  A rare word or
-an unseen one thus gets the same probability from both models and pulls the
-score to neither side.
+Two models of the bytes of words, one of toxic and one of ordinary training
+texts, score every text.  The mean difference of their log-likelihoods per
+byte, through a logistic curve fitted on training rows that the models have
+not seen, is the score.
+
+A model gives the next byte of a word from up to ``ORDER - 1`` bytes before
+it, back to the blank before the word.  It discounts its counts and backs off,
+order by order, to its own continuation counts (after how many longer contexts
+a byte was seen), and at order ``SHARED`` to continuation counts that both
+models share.  The shared counts come from a pass over all documents, labelled
+or not.  Inflected and rare expressions so keep the evidence of their stems,
+while a string neither class has seen gets the same probability from both and
+pulls the score to neither side.
+
+Words do not depend on each other, so a task computes each distinct word's
+difference once and sums a bounded table of answers along the text.
 
 Bounds.  The models are fitted on at most ``PER_CLASS`` labelled texts per
-class (those with the smallest id hash), at most ``MAX_WORDS`` words seen
-``MIN_COUNT`` times or more, and at most ``MAX_BIGRAMS`` bigrams seen twice or
-more, so what the driver holds and the tasks receive is bounded at any input
-size.  Scoring and the shared counts read every whole text, in narrow passes;
-only counts are shuffled, at most one row per word and task.
+class (those with the smallest id hash) and keep at most ``MAX_GRAMS`` byte
+sequences (the most frequent), so what the driver holds and the tasks receive
+is bounded at any input size.  Scoring and the shared counts read every whole
+text, in narrow passes; only byte sequences are shuffled, at most one row per
+distinct sequence and task.
 
 Labels are read only from rows with crc32(id as text) mod 5 other than 0; of
 these, remainder 1 fits the curve and the rest fits the models.  Scores use
@@ -35,7 +40,7 @@ gives an empty result.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -46,11 +51,11 @@ from pyspark.sql import functions as F
 from outcomelab.llm.common import materialize, text_or_empty, worker_cache
 
 PER_CLASS = 6_000
-MIN_COUNT = 8
-MAX_WORDS = 1 << 17
-MAX_BIGRAMS = 1 << 18
+ORDER = 5
+SHARED = 2
 DISCOUNT = 0.75
-CONTEXT_CLASSES = 64
+MAX_GRAMS = 1 << 20
+CACHE_WORDS = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -60,135 +65,153 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
 
 
+def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, word number) of every byte of the words and of the blank after
+    each: the byte with up to ORDER - 1 before it, from the word's blank on,
+    packed into an integer."""
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    b = np.frombuffer(b" " + b" ".join(found) + b" ", np.uint8).astype(np.int64)
+    size = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    owner = np.repeat(np.arange(len(found)), size)
+    inside = np.arange(len(b) - 1) - np.repeat(np.cumsum(size) - size, size) + 1  # bytes since the blank
+    key = np.zeros(len(b), np.int64)
+    for i in range(ORDER):
+        key[i:] |= b[:len(b) - i] << (8 * i)
+    return key[1:] & ((np.int64(1) << (8 * np.minimum(inside + 1, ORDER))) - 1), owner
+
+
 def fold(id_col: str) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
 
+def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into sorted ``keys``, found)."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
+
+
 @dataclass
 class Model:
-    """Everything scoring needs.  Word ids start at 1; 0 is any other word."""
+    """Differences log p_toxic - log p_ordinary by order, longest first."""
     key: str
-    vocabulary: list[bytes]
-    word_diff: np.ndarray      # log p_toxic(w) - log p_ordinary(w), by word
-    context_diff: np.ndarray   # the same of the back-off weights, by context
-    bigrams: np.ndarray        # sorted context * size + word
-    bigram_diff: np.ndarray    # log p_toxic(w|v) - log p_ordinary(w|v) of those
+    tables: list[tuple[int, np.ndarray, np.ndarray]] = field(default_factory=list)  # order, sorted keys, differences
     slope: float = 1.0
     offset: float = 0.0
     constant: float | None = None
 
-    def index(self) -> dict[bytes, int]:
-        return worker_cache(f"words_{self.key}", lambda: {w: i + 1 for i, w in enumerate(self.vocabulary)})
+    def of_words(self, found: list[bytes]) -> np.ndarray:
+        """Summed difference of each word."""
+        keys, owner = grams(found)
+        diff, open_ = np.zeros(len(keys)), np.ones(len(keys), bool)
+        for order, known, value in self.tables:
+            rest = np.flatnonzero(open_)
+            at, hit = _look_up(known, keys[rest] & ((1 << (8 * order)) - 1))
+            diff[rest[hit]] = value[at[hit]]
+            open_[rest[hit]] = False
+        return np.bincount(owner, diff, minlength=len(found)) if len(found) else diff
 
     def difference(self, text: str | None) -> float:
-        """Mean log-likelihood difference per word."""
+        """Mean difference per byte."""
         found = words(text)
         if not found or self.constant is not None:
             return 0.0
-        index = self.index()
-        w = np.fromiter((index.get(x, 0) for x in found), np.int64, len(found))
-        v = np.concatenate(([0], w[:-1]))
-        diff = self.word_diff[w] + self.context_diff[v]
-        if len(self.bigrams):
-            both = np.flatnonzero((w > 0) & (v > 0))
-            k = v[both] * len(self.word_diff) + w[both]
-            at = np.searchsorted(self.bigrams, k)
-            at[at == len(self.bigrams)] = 0
-            hit = self.bigrams[at] == k
-            diff[both[hit]] = self.bigram_diff[at[hit]]
-        return float(diff.mean())
-
-    def score(self, difference: float) -> float:
-        if self.constant is not None:
-            return self.constant
-        z = np.clip(self.slope * difference + self.offset, -500, 500)
-        return float(1 / (1 + np.exp(-z)))
-
-
-def _sample(labels: DataFrame, label_id: str, label: str, per_class: int) -> DataFrame:
-    """(id, y, part): at most ``per_class`` training rows of either class."""
+        cache = worker_cache(f"toxicity_{self.key}", dict)
+        fresh = [w for w in set(found) if w not in cache]
+        if len(cache) + len(fresh) > CACHE_WORDS:
+            cache.clear()
+            fresh = list(set(found))
+        for i in range(0, len(fresh), 1 << 14):
+            part = fresh[i:i + (1 << 14)]
+            cache.update(zip(part, self.of_words(part).tolist()))
+        return sum(map(cache.__getitem__, found)) / (sum(map(len, found)) + len(found))
+
+
+def _sample(labels: DataFrame, label_id: str, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """(id, y, part) of at most ``per_class`` training rows of either class,
+    and the number of all training rows by class."""
     known = (labels.where(F.col(label_id).isNotNull() & F.col(label).isin(0, 1) & (fold(label_id) != 0))
              .groupBy(F.col(label_id).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("y")))
     known = known.withColumn("part", fold("__id"))
     order = [F.xxhash64(F.col("__id").cast("string")), F.col("__id")]
     one = [known.where(F.col("y") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
-    return one[0].unionByName(one[1])
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return one[0].unionByName(one[1]), sizes
 
 
-def _count_words(train: DataFrame) -> DataFrame:
+def _count_grams(train: DataFrame, max_grams: int) -> pd.DataFrame:
+    """(gram, n0, n1) over the training texts, at most ``max_grams`` rows."""
     def run(batches):
-        for b in batches:
-            counts: dict[bytes, int] = {}
-            for t in b.column(0):
-                for w in words(t.as_py()):
-                    counts[w] = counts.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
-                                              pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-    return train.select("text").mapInArrow(run, "word binary, n long")
-
-
-def _ids(index: dict[bytes, int], text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(word ids, hashed context class of each word)."""
-    found = words(text)
-    w = np.fromiter((index.get(x, 0) for x in found), np.int64, len(found))
-    size = np.fromiter(map(len, found), np.int64, len(found))
-    kind = (((w * 0x9E3779B1) >> 12) + size) % CONTEXT_CLASSES
-    return w, np.concatenate(([0], kind[:-1])) if len(w) else kind
-
-
-def _count_bigrams(train: DataFrame, key: str, vocabulary: list[bytes]) -> DataFrame:
-    """(y, v, w, n) over the training texts."""
-    size = len(vocabulary) + 1
-
-    def run(batches):
-        index = worker_cache(f"words_{key}", lambda: {x: i + 1 for i, x in enumerate(vocabulary)})
         for b in batches:
             y = b.column(1).to_numpy(zero_copy_only=False)
             for c in (0, 1):
                 keys = [np.zeros(0, np.int64)]
-                for i in np.flatnonzero(y == c):
-                    w, _ = _ids(index, b.column(0)[int(i)].as_py())
-                    if len(w):
-                        keys.append(np.concatenate(([0], w[:-1])) * size + w)
+                keys += [grams(words(b.column(0)[int(i)].as_py()))[0] for i in np.flatnonzero(y == c)]
                 k, n = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(k), c), pa.int32()), pa.array(k // size, pa.int64()),
-                     pa.array(k % size, pa.int64()), pa.array(n, pa.int64())], names=["y", "v", "w", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), c), pa.int32()), pa.array(k, pa.int64()),
+                                                  pa.array(n, pa.int64())], names=["y", "gram", "n"])
 
-    return (train.select("text", "y").mapInArrow(run, "y int, v long, w long, n long")
-            .groupBy("y", "v", "w").agg(F.sum("n").alias("n")))
+    by_class = [F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
+    return (train.select("text", "y").mapInArrow(run, "y int, gram long, n long").groupBy("gram").agg(*by_class)
+            .orderBy(F.desc(F.col("n0") + F.col("n1")), "gram").limit(max_grams).toPandas())
 
 
-def shared_continuations(docs: DataFrame, text_col: str, key: str, vocabulary: list[bytes]) -> np.ndarray:
-    """Estimated number of context classes of every word over all documents,
-    read from the union of the tasks' bit sets; at most one row per word and
-    task is shuffled and one per word collected."""
-    size = len(vocabulary) + 1
-
+def shared_continuations(docs: DataFrame, text_col: str) -> dict[int, int]:
+    """For every sequence of SHARED bytes, after how many longer contexts it
+    occurs in all documents.  Each task sends its distinct sequences."""
     def run(batches):
-        index = worker_cache(f"words_{key}", lambda: {x: i + 1 for i, x in enumerate(vocabulary)})
-        seen = np.zeros((size, CONTEXT_CLASSES), bool)
-        count = np.zeros(size, np.int64)
+        seen, mine = set(), np.zeros(0, np.int64)
         for b in batches:
+            fresh = set()
             for t in b.column(0):
-                w, kind = _ids(index, t.as_py())
-                seen[w, kind] = True
-                count += np.bincount(w, minlength=size) if len(w) > size // 8 else 0
-                if len(w) <= size // 8:
-                    np.add.at(count, w, 1)
-        there = np.flatnonzero(count)
-        mask = np.packbits(seen[there], axis=1, bitorder="little").view("<i8").ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(mask.astype(np.int64), pa.int64()),
-                                          pa.array(count[there], pa.int64())], names=["w", "mask", "n"])
-
-    rows = (docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "w long, mask long, n long")
-            .groupBy("w").agg(F.bit_count(F.bit_or("mask")).alias("classes"), F.sum("n").alias("n")).toPandas())
-    out = np.zeros(size)
-    # linear counting of distinct contexts, no more than there are occurrences
-    free = np.clip(CONTEXT_CLASSES - rows["classes"].to_numpy(float), 0.5, None)
-    out[rows["w"].to_numpy(np.int64)] = np.minimum(CONTEXT_CLASSES * np.log(CONTEXT_CLASSES / free),
-                                                   rows["n"].to_numpy(float))
-    return out
+                fresh.update(words(t.as_py()))
+            new = list(fresh - seen)
+            seen |= fresh
+            if len(seen) > CACHE_WORDS:
+                seen = set()
+            mine = np.union1d(mine, grams(new)[0])
+        yield pa.RecordBatch.from_arrays([pa.array(mine, pa.int64())], names=["gram"])
+
+    rows = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "gram long").distinct()
+    last = F.col("gram").bitwiseAND(F.lit((1 << (8 * SHARED)) - 1).cast("long"))
+    return {r["last"]: r["n"] for r in  # at most 256 ** SHARED rows
+            rows.groupBy(last.alias("last")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _tables(counts: pd.DataFrame, shared: dict[int, int]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """The difference tables of all orders from the two classes' counts."""
+    counts = counts.sort_values("gram")
+    every = counts["gram"].to_numpy(np.int64)
+    base = np.array(sorted(shared), np.int64)
+    seen = np.array([shared[k] for k in base.tolist()], float)
+    contexts, where = np.unique(base >> 8, return_inverse=True)
+    base_p = (seen + 0.5) / (np.bincount(where, seen) + 128)[where]
+    logs = []
+    for c in (0, 1):
+        full = every[counts[f"n{c}"].to_numpy() > 0]
+        amount = counts[f"n{c}"].to_numpy(float)[counts[f"n{c}"].to_numpy() > 0]
+        by_order, keys = {}, np.unique(every & ((1 << (8 * SHARED)) - 1))
+        at, hit = _look_up(base, keys)
+        lower = (keys, np.where(hit, base_p[at], 1 / 256))
+        for order in range(SHARED + 1, ORDER + 1):
+            mask = (1 << (8 * order)) - 1
+            own, n = (full, amount) if order == ORDER else np.unique(full & mask, return_counts=True)
+            ctx, inverse = np.unique(own >> 8, return_inverse=True)
+            total = np.bincount(inverse, n)
+            kept = np.maximum(n - DISCOUNT, 0)
+            back = (total - np.bincount(inverse, kept)) / total
+            keys = np.unique(every & mask)
+            below = lower[1][np.searchsorted(lower[0], keys & ((1 << (8 * (order - 1))) - 1))]
+            at, hit = _look_up(own, keys)
+            seen_n = np.where(hit, kept[at], 0.0)
+            at, hit = _look_up(ctx, keys >> 8)
+            p = np.where(hit, seen_n / total[at] + back[at] * below, below)
+            by_order[order] = lower = (keys, p)
+        logs.append(by_order)
+    return [(o, logs[0][o][0], np.log(logs[1][o][1]) - np.log(logs[0][o][1])) for o in range(ORDER, SHARED, -1)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -208,52 +231,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_id: str = "doc_id", label: str = "toxic", per_class: int = PER_CLASS,
-        min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, max_bigrams: int = MAX_BIGRAMS) -> Model:
+        max_grams: int = MAX_GRAMS) -> Model:
+    """The model from the labelled texts (see the module's bounds).  The curve
+    weighs the classes as they occur among all training labels."""
     key = uuid.uuid4().hex
-    sample = materialize(_sample(labels, label_id, label, per_class), "toxicity-sample")
+    sample, known = _sample(labels, label_id, label, per_class)
+    sample = materialize(sample, "toxicity-sample")
     named = docs.select(F.col(id_col).alias("__doc"), text_or_empty(text_col).alias("text"))
     train = materialize(named.join(F.broadcast(sample), F.col("__doc") == F.col("__id")).select(
         "text", "y", "part"), "toxicity-train")
     sizes = {r["y"]: r["n"] for r in train.where("part > 1").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-        return Model(key, [], np.zeros(1), np.zeros(1), np.zeros(0, np.int64), np.zeros(0), constant=float(share))
-    lm = train.where("part > 1")
-    top = (_count_words(lm).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-           .orderBy(F.desc("n"), "word").limit(max_words).collect())
-    vocabulary = [bytes(r["word"]) for r in top]
-    size = len(vocabulary) + 1
-    counts = materialize(_count_bigrams(lm, key, vocabulary), "toxicity-bigrams")
-    followers = counts.groupBy("y", "v").agg(F.sum("n").alias("n")).toPandas()
-    contexts = counts.groupBy("y", "w").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    often = (counts.where((F.col("n") > 1) & (F.col("v") > 0) & (F.col("w") > 0)).groupBy("v", "w")
-             .agg(*[F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
-             .orderBy(F.desc(F.col("n0") + F.col("n1")), "v", "w").limit(max_bigrams).toPandas())
-    shared = shared_continuations(docs, text_col, key, vocabulary) + 0.5
-    shared /= shared.sum()
-    v, w = often["v"].to_numpy(np.int64), often["w"].to_numpy(np.int64)
-    order = np.argsort(v * size + w)
-    v, w = v[order], w[order]
-    uni, weight, pair = [], [], []
-    for c in (0, 1):
-        total = np.zeros(size)
-        f = followers[followers["y"] == c]
-        total[f["v"].to_numpy(np.int64)] = f["n"].to_numpy(float)
-        cont = np.zeros(size)
-        x = contexts[contexts["y"] == c]
-        cont[x["w"].to_numpy(np.int64)] = x["n"].to_numpy(float)
-        own = np.maximum(cont - DISCOUNT, 0)
-        p = (own + (cont.sum() - own.sum()) * shared) / cont.sum()
-        kept = np.maximum(often[f"n{c}"].to_numpy(float)[order] - DISCOUNT, 0)
-        used = np.bincount(v, kept, minlength=size) if len(v) else np.zeros(size)
-        back = np.where(total > 0, 1 - used / np.maximum(total, 1), 1.0)
-        uni.append(p), weight.append(np.maximum(back, 1e-9))
-        pair.append(kept / np.maximum(total[v], 1) + weight[c][v] * p[w])
-    model = Model(key, vocabulary, np.log(uni[1]) - np.log(uni[0]), np.log(weight[1]) - np.log(weight[0]),
-                  v * size + w, np.log(pair[1]) - np.log(pair[0]))
+        return Model(key, constant=float(sizes.get(1, 0) / max(1, sum(sizes.values()))))
+    model = Model(key, _tables(_count_grams(train.where("part > 1"), max_grams), shared_continuations(docs, text_col)))
     held = with_difference(train.where("part = 1"), model, "text").select("__difference", "y").toPandas()
     if held["y"].nunique() == 2:
         model.slope, model.offset = _logistic(held["__difference"].to_numpy(float), held["y"].to_numpy(float))
+        drawn = [min(per_class, known[c]) for c in (0, 1)]  # the draw may have thinned one class
+        model.offset += float(np.log(known[1] / known[0]) - np.log(drawn[1] / drawn[0]))
     return model
 
 
