@@ -10,6 +10,7 @@ in ``tests/``.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -543,10 +544,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_entity_overall_performance(spark, SMOKE_DIR)
 
 
+# The training-data operators are an optional part: their folder and the
+# pipeline's file may be missing, and only then are their queries left out.
+if importlib.util.find_spec("outcomelab.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from outcomelab.llm import queries as llm_queries
+
+    _LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    _LLM_SQL = llm_queries.ORACLE_SQL
+else:
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     sql = _sql()
-    return {k: v for k, v in sql.items() if k in _QUERIES}
+    return {k: v for k, v in sql.items() if k in _QUERIES} | _LLM_SQL
