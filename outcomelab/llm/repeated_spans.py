@@ -26,7 +26,8 @@ windows.  The steps:
    which the transform decides window by window;
 4. the repeated windows go back to their documents.
 
-Skew.  Anchors that are frequent in a sample of documents are dealt by anchor
+Skew.  Of the copies of a content that one part of a task meets, all but the
+first are settled there and then.  Anchors that are frequent in a sample of documents are dealt by anchor
 and content instead of anchor alone; the list has at most ``HEAVY`` entries,
 and which anchors are on it changes no result.  An anchor with more than
 ``SPLIT`` contents is dealt further by two more minima of its windows, under
@@ -153,14 +154,19 @@ def _emit_chunks(length: int, gram: int):
                 doc = np.array([i for i, _, _ in group])[part]
                 pos = start - (ends - sizes)[part] + np.array([a for _, a, _ in group])[part]
                 place = (tags[doc].astype(np.int64) << (_POS_BITS + _NW_BITS)) | (pos << _NW_BITS) | windows
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (anchor, content, ids[doc], place)],
-                                                 names=["anchor", "content", "doc", "place"])
+                rows = [x.astype(np.int64) for x in (anchor, content, ids[doc], place)]
+                order = np.lexsort(rows[::-1])
+                rows = [x[order] for x in rows]
+                copy = np.zeros(len(order), bool)  # later occurrences of a content met in this very part
+                copy[1:] = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(copy)],
+                                                 names=["anchor", "content", "doc", "place", "copy"])
     return run
 
 
 def _settle(heavy: np.ndarray):
-    """Step 2 over rows sorted by (anchor, content, doc, place): kind 0 for a
-    chunk that repeats an earlier one in full, kind 1 for the first of its
+    """Step 2 over rows sorted by (anchor, content, doc, place): copies settled
+    before pass through as kind 0; of the rest, kind 0 for a chunk that repeats an earlier one in full, kind 1 for the first of its
     content under an anchor with other contents."""
     def finish(a, c, d, p, last=None):
         first = np.ones(len(a), bool)
@@ -182,7 +188,13 @@ def _settle(heavy: np.ndarray):
         hold = [np.zeros(0, np.int64)] * 4
         last = None
         for b in batches:
-            hold = [np.concatenate((x, b.column(i).to_numpy(zero_copy_only=False))) for i, x in enumerate(hold)]
+            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            copy = new[4].astype(bool)
+            if copy.any():
+                zero = np.zeros(int(copy.sum()), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (new[0][copy], new[2][copy], new[3][copy], zero, zero)],
+                                                 names=["anchor", "doc", "place", "kind", "contents"])
+            hold = [np.concatenate((x, y[~copy])) for x, y in zip(hold, new)]
             a = hold[0]
             # rows of the last anchor wait for the rest of it, unless it is heavy
             cut = len(a) if not len(a) or a[-1] in heavy else int(np.searchsorted(a, a[-1]))
@@ -396,7 +408,7 @@ def _heavy_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     """Anchors that hold more than 1/(8P) of a sample's chunks (P: shuffle
     partitions), at most HEAVY: a hint for dealing rows only."""
     sample = docs.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(SAMPLE_OF)) == 0)
-    counts = (sample.select("doc", "tag", "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW)
+    counts = (sample.select("doc", "tag", "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW).where("NOT copy")
               .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n").alias("total"))
     top = (counts.crossJoin(F.broadcast(total)).where((F.col("n") * 8 * partitions(docs) > F.col("total")) & (F.col("n") > 32))
@@ -404,7 +416,7 @@ def _heavy_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     return np.array(sorted(r["anchor"] for r in top), np.int64)
 
 
-_CHUNK_ROW = "anchor long, content long, doc long, place long"
+_CHUNK_ROW = "anchor long, content long, doc long, place long, copy boolean"
 
 
 def _bits(place: Column, skip: int, width: int) -> Column:
@@ -421,9 +433,10 @@ def remove_repeats(table: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heavy = _heavy_anchors(docs, length, gram)
     n = partitions(table)
     rows = docs.select("doc", "tag", "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW)
-    deal = F.col("anchor")
+    deal = F.when(F.col("copy"), F.xxhash64("doc", "place"))
     if len(heavy):
-        deal = F.when(F.col("anchor").isin(heavy.tolist()), F.xxhash64("anchor", "content")).otherwise(deal)
+        deal = deal.when(F.col("anchor").isin(heavy.tolist()), F.xxhash64("anchor", "content"))
+    deal = deal.otherwise(F.col("anchor"))
     settled = materialize(
         rows.withColumn("deal", deal).repartition(n, "deal").drop("deal")
         .sortWithinPartitions("anchor", "content", "doc", "place")
