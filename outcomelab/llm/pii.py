@@ -84,7 +84,7 @@ class Detector:
         self.host = re.compile(_HOST)
         self.ip, self.card, self.phone = re.compile(_IP), re.compile(_CARD), re.compile(_PHONE)
         self.glyphs = _look_alikes()
-        self.glyph = re.compile("[" + "".join(map(re.escape, map(chr, self.glyphs))) + "]")
+        self.glyph_set = frozenset(map(chr, self.glyphs))
         word = "|".join([*_DIGITS, "oh"])
         self.digit_of = {w: str(i) for i, w in enumerate(_DIGITS)} | {"oh": "0"}
         self.spelled = re.compile(rf"\b(?:plus[ -])?(?:{word})(?:[ -](?:{word}))(?:[ -](?:{word}))+\b", re.I)
@@ -92,8 +92,9 @@ class Detector:
         self.bracket = re.compile(r" ?[\[({<] ?(at|dot) ?[\])}>] ?", re.I)
         self.phrase = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++( at )[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+", re.I)
         self.phrase_dot = re.compile(r" dot ", re.I)
-        self.hint = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]| dot ", re.I)
-        self.hint_digits = re.compile(rf"\b(?:{word})[ -](?:{word})[ -](?:{word})\b", re.I)
+        # hints over lower-cased text: necessary conditions that scan fast
+        self.hint = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]").search
+        self.hint_digits = re.compile(rf"(?:{word})[ -](?:{word})[ -](?:{word})").search
 
     def emails(self, text: str) -> Iterator[tuple[int, int]]:
         done, at = 0, text.find("@")
@@ -132,14 +133,14 @@ class Detector:
 
     def edits(self, text: str) -> list[tuple[int, int, str]]:
         """Rewrites of at/dot disguises and spelled digits: (start, end, output)."""
-        out = []
-        if self.hint.search(text):
+        out, low = [], text.lower()
+        if " dot " in low or self.hint(low):
             out += [(m.start(), m.end(), "@" if m.group(1).lower() == "at" else ".")
                     for m in self.bracket.finditer(text)]
             for m in self.phrase.finditer(text):
                 out.append((*m.span(1), "@"))
                 out += [(d.start(), d.end(), ".") for d in self.phrase_dot.finditer(text, m.end(1), m.end())]
-        if self.hint_digits.search(text):
+        if self.hint_digits(low):
             for m in self.spelled.finditer(text):
                 words = self.spelled_word.findall(m.group().lower())
                 out.append((m.start(), m.end(), "".join("+" if w == "plus" else self.digit_of[w] for w in words)))
@@ -147,7 +148,7 @@ class Detector:
         return [e for i, e in enumerate(out) if i == 0 or e[0] >= max(x[1] for x in out[max(0, i - 4):i])]
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        plain = text if text.isascii() else self.glyph.sub(lambda m: self.glyphs[ord(m.group())], text)
+        plain = text if text.isascii() or self.glyph_set.isdisjoint(text) else text.translate(self.glyphs)
         edits = self.edits(plain)
         if not edits and plain is text or plain == text and not edits:
             return []
