@@ -77,11 +77,11 @@ def q_label_true_rates(spark, sf):
 
 
 def q_missing_cells(spark, sf):
-    return profile.missing_cells(_study(spark, sf).items)
+    return profile.missing_cells(_study(spark, sf).items.drop(*RK.SPARSE))
 
 
 def q_dropna_rows(spark, sf):
-    return profile.drop_missing(_study(spark, sf).items).select("id")
+    return profile.drop_missing(_study(spark, sf).items.drop(*RK.SPARSE)).select("id")
 
 
 def q_chrono_split(spark, sf):
@@ -171,6 +171,11 @@ def q_one_hot(spark, sf):
     return _long(encode.one_hot(items, exclude=["id"]))
 
 
+def q_part_name_one_hot(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("id"), "p_name")
+    return encode.one_hot_sparse(part, "id", ["p_name"])
+
+
 def q_label_encode(spark, sf):
     items = _study(spark, sf).items.select("id", "state")
     return encode.label_encode(items, "state", "state_code").select("id", "state_code")
@@ -275,18 +280,18 @@ RAW_CONTINUOUS = ["latitude", "longitude", "labor", "price"]
 
 
 def q_mi_discrete(spark, sf):
-    rows = profile.drop_missing(_study(spark, sf).items)
+    rows = profile.drop_missing(_study(spark, sf).items.drop(*RK.SPARSE))
     return info.mi_discrete(rows, RAW_DISCRETE, "label").select("feature", _r("mutual_information"))
 
 
 def q_top_features(spark, sf):
-    rows = profile.drop_missing(_study(spark, sf).items)
+    rows = profile.drop_missing(_study(spark, sf).items.drop(*RK.SPARSE))
     ranked = RK.top_k(info.mi_discrete(rows, RAW_DISCRETE, "label"), 5)
     return ranked.select("feature", _r("mutual_information"), F.col("rank").cast("int").alias("rank"))
 
 
 def q_mi_continuous(spark, sf):
-    rows = profile.drop_missing(_study(spark, sf).items)
+    rows = profile.drop_missing(_study(spark, sf).items.drop(*RK.SPARSE))
     return info.mi_continuous(rows, RAW_CONTINUOUS, "label")
 
 
@@ -343,7 +348,7 @@ def _scores(spec_name):
 
 
 def q_confusion_counts(spark, sf):
-    scored = _scores("Logistic Regression")(spark, sf)
+    scored = _dev_scores(spark, sf).withColumn("hard_prediction", (F.round("score", R) >= 0.5).cast("int"))
     return evaluate.confusion_counts(scored, "label", "hard_prediction")
 
 
@@ -359,6 +364,11 @@ def q_label_sweep(spark, sf):
     return _ledger(spark, sf)
 
 
+def q_sweep_status(spark, sf):
+    """Which of the sweep's fits succeeded: all of them should."""
+    return _ledger(spark, sf).select("label", "classifier", F.col("error").isNull().alias("fitted"))
+
+
 def q_best_per_label(spark, sf):
     return SW.best_per_label(_ledger(spark, sf)).select("label", "classifier", "test_roc_auc")
 
@@ -369,6 +379,22 @@ def q_label_ensemble(spark, sf):
     return preds
 
 
+def q_ensemble_metrics(spark, sf):
+    """AUC and top-fraction precision of the label ensemble, one row."""
+    _, metrics = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf),
+                                   cache=_memo(spark, sf)["cache"])
+    return spark.range(1).select(*[F.round(F.lit(v).cast("double"), R).alias(k) for k, v in metrics.items()])
+
+
+def q_append_ledger(spark, sf):
+    """Two ledgers appended, columns united: the label rates and, without a
+    rate, the per-label row counts."""
+    st = _study(spark, sf)
+    rates = profile.true_rates(st.items, fx.LABELS).select("requirement", _r("true_proportion"))
+    n = st.items.agg(*[F.count(c).alias(c) for c in fx.LABELS]).unpivot([], fx.LABELS, "requirement", "n")
+    return SW.union_all([rates, n])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labelled_join": q_labelled_join,
     "date_floor_filter": q_date_floor_filter,
@@ -391,6 +417,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "downsize_categorical": q_downsize_categorical,
     "downsize_all": q_downsize_all,
     "one_hot": q_one_hot,
+    "part_name_one_hot": q_part_name_one_hot,
     "label_encode": q_label_encode,
     "equal_width_bins": q_equal_width_bins,
     "flag_replace": q_flag_replace,
@@ -419,7 +446,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_scores": _scores("Gradient Boost"),
     "confusion_counts": q_confusion_counts,
     "label_ensemble": q_label_ensemble,
+    "ensemble_metrics": q_ensemble_metrics,
+    "append_ledger": q_append_ledger,
     "label_sweep": q_label_sweep,
+    "sweep_status": q_sweep_status,
     "best_per_label": q_best_per_label,
 }
 
@@ -430,7 +460,8 @@ def _sql() -> dict[str, str]:
     B = O.base
     item_cols = [e.rsplit(" AS ", 1)[1] for e in fx.ITEM_EXPRS]
     out_cols = [e.rsplit(" AS ", 1)[1] for e in fx.OUTCOME_EXPRS]
-    all_cols = item_cols + [c for c in out_cols if c != "id"] + [fx.OR_LABEL]
+    # the reference drops its sparse columns before it counts or drops missing values
+    all_cols = [c for c in item_cols if c != "metro"] + [c for c in out_cols if c != "id"] + [fx.OR_LABEL]
     rates = " UNION ALL ".join(
         f"SELECT '{c}' AS requirement, round(avg(CAST({c} AS DOUBLE)), {R}) AS true_proportion FROM lab"
         for c in fx.LABELS)
@@ -454,7 +485,12 @@ def _sql() -> dict[str, str]:
     prod_expr = " * ".join(f"s{i}f.pct_exciting" for i in range(len(fx.LABELS) - 1))
     std_stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STD_COLS)
     std_sel = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, {R}) AS {c}" for c in STD_COLS)
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS requirement, CAST(NULL AS DOUBLE) AS true_proportion, "
+                                f"count({c}) AS n FROM lab" for c in fx.LABELS)
     extra = {
+        "append_ledger": B() + f" SELECT requirement, true_proportion, CAST(NULL AS BIGINT) AS n FROM ({rates}) UNION ALL {counts}",
+        "confusion_counts": B(O.school_overall_ctes()) + f""" SELECT p.label, CAST(round(sf.pct_exciting, {R}) >= 0.5 AS INTEGER)
+ AS hard_prediction, count(*) AS n FROM sf JOIN p USING (id) WHERE p.is_dev GROUP BY ALL""",
         "roc_auc": B(O.school_overall_ctes() + ",\n" + sc + """,
 agg AS (SELECT s, sum(y) AS pos, count(*) - sum(y) AS neg FROM sc GROUP BY s),
 cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM agg)""")
@@ -474,6 +510,8 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         "assemble_dataset": B(",\n".join([O.project_ctes(), O.teacher_ctes(), O.school_ctes(), O.geo_ctes()]))
         + " SELECT id, feature, value FROM (SELECT * FROM proj_long UNION ALL SELECT * FROM teach_long "
         "UNION ALL SELECT * FROM school_long UNION ALL SELECT * FROM geo_long) WHERE id IN (SELECT id FROM p WHERE is_train)",
+        "sweep_status": " UNION ALL ".join(
+            f"SELECT '{lb}' AS label, '{s.name}' AS classifier, true AS fitted" for lb in fx.LABELS for s in M.CLASSIFIERS),
         "split_labels": B() + " SELECT id, label FROM p WHERE is_dev",
     }
     return extra | {
@@ -515,6 +553,8 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         ", ".join(f"{O.ds(c, 'k_' + c)} AS {c}" for c in DOWNSIZE_ALL) + " FROM lab",
         "one_hot": B() + " SELECT id, feature, value FROM (" +
         O.longrows("lab", [], ["subject", "resource", "metro"]) + ")",
+        "part_name_one_hot": """SELECT p_partkey AS id, 'p_name_' || p_name AS feature, CAST(1 AS INTEGER) AS value
+ FROM part WHERE p_name IS NOT NULL""",
         "label_encode": B("codes AS (SELECT state, CAST(row_number() OVER (ORDER BY state) - 1 AS INTEGER) AS state_code "
                           "FROM (SELECT DISTINCT state FROM lab WHERE state IS NOT NULL))") +
         " SELECT id, state_code FROM lab LEFT JOIN codes USING (state)",

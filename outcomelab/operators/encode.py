@@ -4,7 +4,7 @@ Each data-dependent encoder is a ``fit`` that returns small parameters (kept
 categories, vocabulary, edges) and an ``apply`` that is a single projection,
 so the learned values are literals inside whole-stage codegen.  What ``fit``
 brings to the driver is bounded: at most ``max_items`` values per column for
-downsizing, and a checked ``max_levels`` per column for one-hot.
+downsizing, and the vocabulary of the wide one-hot form.
 """
 
 from __future__ import annotations
@@ -95,22 +95,28 @@ def downsize(df: DataFrame, columns: list[str] | None = None, desired_share: flo
     return apply_downsize(df, fit_downsize(df, columns, desired_share, max_items))
 
 
-def fit_one_hot(df: DataFrame, columns: list[str], max_levels: int = 1000) -> dict[str, list[str]]:
-    """Sorted distinct non-missing values per column (O49 fit), checked
-    against ``max_levels`` before anything reaches the driver."""
+def fit_one_hot(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-missing values per column (O49 fit).  The values
+    become column names, so this is for vocabularies that downsizing or the
+    data model bounds; others go through :func:`one_hot_sparse`."""
     if not columns:
         return {}
-    distinct = _long_values(df, columns).distinct()
-    too_many = (distinct.groupBy("column").count().filter(F.col("count") > max_levels)
-                .limit(1).collect())
-    if too_many:
-        raise ValueError(f"column {too_many[0]['column']!r} has more than {max_levels} levels")
     levels = {c: [] for c in columns}
-    for r in distinct.collect():
+    for r in _long_values(df, columns).distinct().collect():
         levels[r["column"]].append(r["value"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
+def one_hot_sparse(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+    """The non-zero cells of a one-hot table as (id, feature, value) rows,
+    feature ``{col}_{value}`` (O49): a narrow projection for vocabularies of
+    any size, none of which reaches the driver."""
+    casted = df.select(id_col, *[qcol(c).cast("string").alias(c) for c in columns])
+    return (casted.unpivot([id_col], [qcol(c) for c in columns], "column", "level")
+            .filter(F.col("level").isNotNull())
+            .select(id_col, F.concat("column", F.lit("_"), "level").alias("feature"), F.lit(1).alias("value")))
+
+
 def apply_one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """Replace each encoded column by 0/1 columns ``{col}_{value}`` (all
     levels kept; a missing value is all zeros), placed after the others."""
@@ -124,11 +130,11 @@ def apply_one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return df.select(*keep, *dummies)
 
 
-def one_hot(df: DataFrame, exclude: list[str] = (), max_levels: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, exclude: list[str] = ()) -> DataFrame:
     """One-hot every non-numeric, non-boolean column except ``exclude``."""
     columns = [f.name for f in df.schema.fields
                if not isinstance(f.dataType, (T.NumericType, T.BooleanType)) and f.name not in set(exclude)]
-    return apply_one_hot(df, fit_one_hot(df, columns, max_levels))
+    return apply_one_hot(df, fit_one_hot(df, columns))
 
 
 def label_encode(df: DataFrame, column: str, out_col: str | None = None) -> DataFrame:

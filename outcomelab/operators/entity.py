@@ -115,8 +115,10 @@ def past_performance(items: DataFrame, split: Split, entity_col: str, entity_nam
     cols = [F.col("n_before").cast("double").alias(p + "num_prev_projects")]
     for i, (lb, y) in enumerate(zip(labels, ys)):
         sfx = LABEL_SEP + lb if multi else ""
-        cols.append(F.col("before_" + y).alias(p + "num_prev_exciting_projects" + sfx))
-        cols.append(smoothed_rate("n_before", "before_" + y, "_pn", f"_pk{i}").alias(p + "pct_prev_exciting" + sfx))
+        known = F.col(y).isNotNull()  # a row whose own label is missing ends at 0, like unplaced rows
+        cols.append(F.when(known, F.col("before_" + y)).alias(p + "num_prev_exciting_projects" + sfx))
+        cols.append(F.when(known, smoothed_rate("n_before", "before_" + y, "_pn", f"_pk{i}"))
+                    .alias(p + "pct_prev_exciting" + sfx))
     feats = ranked.crossJoin(F.broadcast(priors)).select(id_col, *cols)
     names = [c for c in feats.columns if c != id_col]
     return items.select(id_col).join(feats, id_col, "left").na.fill(0.0, subset=names)

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outcomelab.operators.entity import exact_median
 
@@ -57,10 +58,13 @@ def fit_impute(df: DataFrame, recipe: dict, id_col: str = "id") -> dict:
 
 
 def apply_impute(df: DataFrame, fills: dict) -> DataFrame:
-    """coalesce(col, fill) with the fill cast to the column's type."""
+    """coalesce(col, fill) with the fill cast to the column's type; an integer
+    column with a fractional fill (a mean or median) becomes double."""
     exprs = []
     for c in df.columns:
-        if c in fills and fills[c] is not None:
+        if c in fills and isinstance(fills[c], float) and isinstance(df.schema[c].dataType, T.IntegralType):
+            exprs.append(F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c))
+        elif c in fills and fills[c] is not None:
             exprs.append(F.coalesce(F.col(c), F.lit(fills[c]).cast(df.schema[c].dataType)).alias(c))
         else:
             exprs.append(F.col(c))

@@ -100,12 +100,13 @@ def running_totals(df: DataFrame, order: list, group_cols: list[str] = (),
     """Add ``count_name`` (rows strictly before, within the group) and
     ``sum_prefix + c`` (sum of ``c`` over those rows) for each ``sum_cols``.
 
-    ``order`` must make the order total (end it with a unique id).  Group
+    A NULL in a summed column adds nothing.  ``order`` must make the order
+    total (end it with a unique id).  Group
     key columns must be non-null; the order is (group_cols, order).
     """
     group_cols = list(group_cols)
     sum_cols = list(sum_cols)
-    src = df.select("*", *[F.col(c).cast("double").alias(f"_w{i}") for i, c in enumerate(sum_cols)])
+    src = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_w{i}") for i, c in enumerate(sum_cols)])
     wcols = [f"_w{i}" for i in range(len(sum_cols))]
     ordered = sorted_checkpoint(src, [*group_cols, *order], num_partitions)
 

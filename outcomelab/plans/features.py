@@ -78,19 +78,23 @@ def geo_features(study: Study, num_bins: int = 5, share: float = 0.9, max_items:
 ENTITIES = ("project", "teacher", "school", "geo")
 
 
+# The feature columns that depend on the label, as the two entity builders name them.
+LABEL_FEATURES = ("teacher_num_prev_exciting_projects", "teacher_pct_prev_exciting", "school_pct_exciting")
+
+
 def for_label(multi: DataFrame, label: str) -> DataFrame:
     """Columns of one label from a multi-label feature set (``x__{label}``
-    renamed to ``x``; other labels' columns dropped)."""
+    renamed to ``x``; other labels' columns dropped).  Only LABEL_FEATURES
+    carry a label; every other name is taken as it is, whatever it contains."""
     from outcomelab.functions.columns import qcol
     from outcomelab.operators.entity import LABEL_SEP
     out = []
     for c in multi.columns:
-        if LABEL_SEP in c:
-            base, lb = c.rsplit(LABEL_SEP, 1)
-            if lb == label:
-                out.append(qcol(c).alias(base))
-        else:
+        base = next((b for b in LABEL_FEATURES if c.startswith(b + LABEL_SEP)), None)
+        if base is None:
             out.append(qcol(c))
+        elif c == base + LABEL_SEP + label:
+            out.append(qcol(c).alias(base))
     return multi.select(*out)
 
 

@@ -20,13 +20,15 @@ Configuration notes (library differences, recorded in the ledger):
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,8 +117,11 @@ def fit_pipeline(train: DataFrame, features: list[str], label: str, spec: Spec,
     data = _prepared(train, features, label, id_col)
     n = data.count()
     names = [f"f{i}" for i in range(len(features))]
+    # the scaler divides by the n-1 deviation; the factor makes it the population one
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     stages = [VectorAssembler(inputCols=names, outputCol="_vec", handleInvalid="error"),
-              StandardScaler(inputCol="_vec", outputCol="_scaled", withMean=True, withStd=True),
+              StandardScaler(inputCol="_vec", outputCol="_std", withMean=True, withStd=True),
+              ElementwiseProduct(inputCol="_std", outputCol="_scaled", scalingVec=Vectors.dense([factor] * len(names))),
               _estimator(spec, len(features), n, label)]
     return Pipeline(stages=stages).fit(data)
 
@@ -158,5 +163,5 @@ def experiment(train: DataFrame, dev: DataFrame, features: list[str], label: str
         row["parameters"] = params_of(model)
         row["classifier_pipeline"] = str(model.stages[-1])
     except Exception as e:  # noqa: BLE001 - reported and skipped, like the sweep it mirrors
-        row["error"] = f"{type(e).__name__}: {e}"[:500]
+        row["error"] = f"{type(e).__name__}: {e}"
     return row

@@ -17,11 +17,14 @@ from outcomelab.plans.prepare import Study
 RAW_FEATURES = ["latitude", "longitude", "city", "state", "prefix", "subject", "area",
                 "resource", "labor", "price"]
 
+# Sparse columns leave the table before rows with missing values are dropped.
+SPARSE = ["metro"]
+
 
 def raw_ranking(study: Study, label: str = "label", features: list[str] = RAW_FEATURES) -> DataFrame:
     """First pass: rows without any missing value; text/boolean columns are
     discrete, numeric ones continuous.  (feature, mutual_information, discrete)."""
-    rows = drop_missing(study.items)
+    rows = drop_missing(study.items.drop(*SPARSE))
     return mutual_information(rows, features, label, study.cols.id, discrete_columns(rows, features))
 
 

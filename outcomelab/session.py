@@ -8,6 +8,7 @@ shared, reliable folder (HDFS / object store).  Only a local-mode session
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -45,7 +47,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
+        return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
     except Exception:  # Spark Connect: no SparkContext on the client
         return False
 

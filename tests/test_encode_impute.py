@@ -66,10 +66,26 @@ def test_one_hot_levels_sorted_and_missing_all_zero(spark):
     assert rows == {0: (0, 1), 1: (1, 0), 2: (0, 0), 3: (0, 1)}
 
 
-def test_one_hot_level_guard(spark):
-    df = _cats(spark, [str(i) for i in range(30)])
-    with pytest.raises(ValueError):
-        encode.one_hot(df, exclude=["id"], max_levels=10)
+def test_one_hot_sparse_keeps_more_than_a_thousand_levels(spark):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 <> 0 THEN concat('v', id) END AS c")
+    out = encode.one_hot_sparse(df, "id", ["c"])
+    rows = {(r["id"], r["feature"], r["value"]) for r in out.collect()}
+    assert rows == {(i, f"c_v{i}", 1) for i in range(3000) if i % 10}
+
+
+def test_mean_and_median_widen_integer_columns(spark):
+    df = spark.createDataFrame([(1, 2), (2, 3), (3, None)], "id long, x long")
+    for strategy in ("mean", "median"):
+        got = {r["id"]: r["x"] for r in impute(df, {"x": {"strategy": strategy}}).collect()}
+        assert got == {1: 2.0, 2: 3.0, 3: 2.5}
+
+
+def test_for_label_keeps_names_with_separators(spark):
+    from outcomelab.plans.features import for_label
+    df = spark.createDataFrame([(1, 1, 0, 2.0, 3.0)],
+                               "id long, metro_a__b int, metro__x int, school_pct_exciting__p__q double, "
+                               "school_pct_exciting__r double")
+    assert for_label(df, "p__q").columns == ["id", "metro_a__b", "metro__x", "school_pct_exciting"]
 
 
 def test_label_encode_sorted_codes(spark):

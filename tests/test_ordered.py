@@ -51,3 +51,11 @@ def test_partition_count_invariance(spark):
     b = running_totals(df, order=["v", "id"], group_cols=["g"], sum_cols=["w"], num_partitions=9)
     cols = ["id", "n_before", "before_w"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_null_sums_add_nothing_whatever_the_partitioning(spark):
+    from outcomelab.operators.ordered import running_totals
+    df = spark.createDataFrame([(i, "e", None if i == 2 else 1) for i in range(1, 7)], "id long, e string, y long")
+    for n in (1, 2, 7):
+        got = running_totals(df, order=["id"], group_cols=["e"], sum_cols=["y"], num_partitions=n).collect()
+        assert [r["before_y"] for r in sorted(got, key=lambda r: r["id"])] == [0, 1, 1, 2, 3, 4]
