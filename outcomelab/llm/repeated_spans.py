@@ -140,6 +140,15 @@ def _segments(texts: list[bytes], length: int):
         yield group
 
 
+def _changes(columns: list[np.ndarray], before: tuple | None = None) -> np.ndarray:
+    """Rows that differ from the row above (``before``: above the first)."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    if before is not None and len(new):
+        new[0] = tuple(x[0] for x in columns) != before
+    return new
+
+
 def _emit_chunks(length: int, gram: int):
     def run(batches):
         for b in batches:
@@ -157,7 +166,8 @@ def _emit_chunks(length: int, gram: int):
                 rows = [x.astype(np.int64) for x in (anchor, content, ids[doc], place)]
                 order = np.lexsort(rows[::-1])
                 rows = [x[order] for x in rows]
-                copy = np.zeros(len(order), bool)  # later occurrences of a content met in this very part
+                rows = [x[_changes(rows)] for x in rows]  # repeated rows of one document
+                copy = np.zeros(len(rows[0]), bool)  # later occurrences of a content met in this very part
                 copy[1:] = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
                 yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(copy)],
                                                  names=["anchor", "content", "doc", "place", "copy"])
@@ -168,14 +178,11 @@ def _settle(heavy: np.ndarray):
     """Step 2 over rows sorted by (anchor, content, doc, place): copies settled
     before pass through as kind 0; of the rest, kind 0 for a chunk that repeats an earlier one in full, kind 1 for the first of its
     content under an anchor with other contents."""
-    def finish(a, c, d, p, last=None):
-        first = np.ones(len(a), bool)
-        first[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
-        if last is not None and len(a):
-            first[0] = (a[0], c[0]) != last
-        head = np.ones(len(a), bool)
-        head[1:] = a[1:] != a[:-1]
-        group = np.cumsum(head) - 1
+    def finish(rows, last):
+        own = _changes(rows, last)  # repeated rows of one document count once
+        a, c, d, p = (x[own] for x in rows)
+        first = _changes([a, c], last[:2] if last else None)
+        group = np.cumsum(_changes([a])) - 1
         contents = np.bincount(group, first)[group] if len(a) else np.zeros(0)
         hot = np.isin(a, heavy)
         contents = np.where(hot, SPLIT + 1, contents)
@@ -199,11 +206,11 @@ def _settle(heavy: np.ndarray):
             # rows of the last anchor wait for the rest of it, unless it is heavy
             cut = len(a) if not len(a) or a[-1] in heavy else int(np.searchsorted(a, a[-1]))
             if cut:
-                yield finish(*[x[:cut] for x in hold], last=last)
-                last = (hold[0][cut - 1], hold[1][cut - 1])
+                yield finish([x[:cut] for x in hold], last)
+                last = tuple(x[cut - 1] for x in hold)
                 hold = [x[cut:] for x in hold]
         if len(hold[0]):
-            yield finish(*hold, last=last)
+            yield finish(hold, last)
     return run
 
 
@@ -336,7 +343,7 @@ def _transform(length: int):
     """Step 3, second half, over rows sorted by key: whole keys are gathered
     to blocks of about BLOCK bytes; (doc, tag, pos, windows) of repeats."""
     def decide(rows):
-        rows.sort(key=lambda r: r[1:4])
+        rows = sorted({r[1:4]: r for r in rows}.values(), key=lambda r: r[1:4])
         out = []
         for (_, doc, tag, pos, _), again in zip(rows, repeated_windows([r[4] for r in rows], length)):
             out += [(doc, tag, pos + a, n) for a, n in _runs(again)]
