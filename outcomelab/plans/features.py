@@ -78,8 +78,9 @@ def geo_features(study: Study, num_bins: int = 5, share: float = 0.9, max_items:
 ENTITIES = ("project", "teacher", "school", "geo")
 
 
-# The feature columns that depend on the label, as the two entity builders name them.
-LABEL_FEATURES = ("teacher_num_prev_exciting_projects", "teacher_pct_prev_exciting", "school_pct_exciting")
+# How the names of the label-dependent columns of the two entity builders end,
+# after the entity's name.
+LABEL_FEATURES = ("_num_prev_exciting_projects", "_pct_prev_exciting", "_pct_exciting")
 
 
 def for_label(multi: DataFrame, label: str) -> DataFrame:
@@ -90,11 +91,11 @@ def for_label(multi: DataFrame, label: str) -> DataFrame:
     from outcomelab.operators.entity import LABEL_SEP
     out = []
     for c in multi.columns:
-        base = next((b for b in LABEL_FEATURES if c.startswith(b + LABEL_SEP)), None)
-        if base is None:
+        mark = next((m for m in LABEL_FEATURES if m + LABEL_SEP in c), None)
+        if mark is None:
             out.append(qcol(c))
-        elif c == base + LABEL_SEP + label:
-            out.append(qcol(c).alias(base))
+        elif c.split(mark + LABEL_SEP, 1)[1] == label:
+            out.append(qcol(c).alias(c.split(mark + LABEL_SEP, 1)[0] + mark))
     return multi.select(*out)
 
 
