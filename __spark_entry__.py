@@ -31,6 +31,7 @@ from outcomelab.sources import fixtures as fx  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 R = 6
+ABSOLUTE_DEV = 1_000
 
 _STUDIES: dict = {}
 
@@ -96,6 +97,20 @@ def q_hash_split_counts(spark, sf):
             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_absolute_split(spark, sf):
+    """The last ABSOLUTE_DEV rows are dev: a size instead of a share."""
+    items = _study(spark, sf).items
+    s = make_split(items, "id", "d", ABSOLUTE_DEV)
+    return items.select("id", s.name().alias("split"))
+
+
+def q_events_split(spark, sf):
+    """Split of a table with timestamps instead of dates."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    s = make_split(events, "event_id", "ts", fx.DEV_SHARE)
+    return events.select("event_id", s.name().alias("split"))
+
+
 def q_recent_train(spark, sf):
     st = _study(spark, sf)
     return st.split.rows(st.items, "train").select("id", "d")
@@ -404,6 +419,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropna_rows": q_dropna_rows,
     "chrono_split": q_chrono_split,
     "hash_split_counts": q_hash_split_counts,
+    "absolute_split": q_absolute_split,
+    "events_split": q_events_split,
     "recent_train": q_recent_train,
     "entity_rollup": q_entity_rollup,
     "entity_priors": q_entity_priors,
@@ -525,6 +542,10 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         "chrono_split": B() + " SELECT id, CASE WHEN is_dev THEN 'dev' WHEN is_train THEN 'train' ELSE 'old' END AS split FROM p",
         "hash_split_counts": B() + f""" SELECT 'dev' AS split, CAST(ceil({fx.DEV_SHARE}::DOUBLE * count(*)) AS BIGINT) AS n FROM lab
  UNION ALL SELECT 'rest', count(*) - CAST(ceil({fx.DEV_SHARE}::DOUBLE * count(*)) AS BIGINT) FROM lab""",
+        "absolute_split": B() + f""" SELECT id, CASE WHEN row_number() OVER (ORDER BY d DESC, id DESC) <= {ABSOLUTE_DEV}
+ THEN 'dev' ELSE 'train' END AS split FROM lab""",
+        "events_split": f"""SELECT event_id, CASE WHEN row_number() OVER (ORDER BY ts DESC, event_id DESC)
+ <= ceil({fx.DEV_SHARE}::DOUBLE * count(*) OVER ()) THEN 'dev' ELSE 'train' END AS split FROM events""",
         "recent_train": B() + " SELECT id, d FROM p WHERE is_train",
         "entity_rollup": B() + f""" SELECT teacher, count(*) AS num_projects, CAST(sum(CAST(label AS INTEGER)) AS BIGINT) AS num_exciting_projects,
  min(d) AS first_project_date, max(d) AS last_project_date, round(round(date_diff('day', min(d), max(d)) / 365.0, 2), {R}) AS active_years

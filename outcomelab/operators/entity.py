@@ -128,20 +128,22 @@ def exact_median(df: DataFrame, value_col: str, group_cols: list[str] = (), id_c
                  out_col: str = "median") -> DataFrame:
     """Exact median of ``value_col`` per group, NULLs ignored.
 
-    The middle one or two rows are found by position in a distributed sort,
-    so no group's values are ever gathered in one buffer.
+    Rows are counted by value first; the middle one or two values are found
+    by running counts over those, so no group's values are ever gathered in
+    one buffer and no id is sorted.
     """
     group_cols = list(group_cols)
-    vals = df.filter(F.col(value_col).isNotNull()).select(*group_cols, value_col, id_col)
+    vals = df.filter(F.col(value_col).isNotNull()).select(*group_cols, value_col)
     for g in group_cols:
         vals = vals.filter(F.col(g).isNotNull())
-    counts = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-        vals.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(vals, order=[value_col, id_col], group_cols=group_cols)
+    by_value = vals.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_totals(by_value, order=[value_col], group_cols=group_cols, sum_cols=["_c"])
+    upto = F.col("before__c") + F.col("_c")
+    counts = ranked.groupBy(*group_cols).agg(F.max(upto).alias("_n"))
     joined = ranked.join(counts, group_cols, "inner") if group_cols else ranked.crossJoin(F.broadcast(counts))
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.ceil((F.col("_n") - 1) / 2)
-    mid = joined.filter((F.col("n_before") == lo) | (F.col("n_before") == hi))
+    mid = joined.filter((F.col("before__c") <= hi) & (upto > lo))
     if group_cols:
         return mid.groupBy(*group_cols).agg(F.avg(value_col).alias(out_col))
     return mid.agg(F.avg(value_col).alias(out_col))

@@ -15,24 +15,26 @@ unseeded noise.
 
 Distributed plan (1-D): long (feature, id, label, x) rows ->
  * the k nearest same-label points lie within ranks r-k..r+k, read with
-   lag/lead over (x, id) order; a class of at most ``bucket_rows`` points is
-   one window partition, a larger one is cut into buckets of ``bucket_rows``
-   ranks (ranks from an ordered pass, k halo rows copied to each
-   neighbouring bucket), so window partitions stay bounded;
+   lag/lead over (x, id) order; every class is cut into buckets of
+   ``bucket_rows`` ranks (ranks from an ordered pass, k halo rows copied to
+   each neighbouring bucket), so window partitions stay bounded;
  * m_i from one ordered pass over points and interval ends per feature,
-   then one grouped sum per point (high end minus low end).
+   then one grouped sum per point (high end minus low end).  The means of
+   psi(k) and psi(N_label) follow from the class sizes alone.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from outcomelab.functions.columns import digamma, qcol, std_normal
+from outcomelab.functions.columns import digamma, digamma_np, qcol, std_normal
 from outcomelab.operators.ordered import running_totals
+from outcomelab.session import materialize
 
 
 def _long(df: DataFrame, features: list[str], label_col: str, id_col: str, cast: str) -> DataFrame:
@@ -45,7 +47,8 @@ def _long(df: DataFrame, features: list[str], label_col: str, id_col: str, cast:
 def mi_discrete(df: DataFrame, features: list[str], label_col: str, id_col: str = "id") -> DataFrame:
     """(feature, mutual_information) for discrete features."""
     long = _long(df, features, label_col, id_col, "string")
-    nxy = long.groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("nxy"))
+    # the cells are written once: the three totals read them, not the input rows
+    nxy = materialize(long.groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("nxy")), "mi_cells")
     nx = nxy.groupBy("feature", "_x").agg(F.sum("nxy").alias("nx"))
     ny = nxy.groupBy("feature", "_y").agg(F.sum("nxy").alias("ny"))
     n = nxy.groupBy("feature").agg(F.sum("nxy").alias("n"))
@@ -84,6 +87,14 @@ def _exact_mean(c):
     return (F.sum(c.cast("decimal(38,18)")) / F.count(F.lit(1))).cast("double")
 
 
+def _class_means(sizes: list[int], k: int) -> tuple[float, float]:
+    """Means of psi(min(k, N_label - 1)) and psi(N_label) over all points."""
+    if not sizes:
+        return 0.0, 0.0
+    n = np.array(sorted(sizes), float)
+    return tuple(float((n * digamma_np(v)).sum() / n.sum()) for v in (np.minimum(k, n - 1), n))
+
+
 def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> DataFrame:
     """Neighbour estimator over long (feature, _id, _y, _x) points."""
     # class sizes (one row per feature and label); a label seen once is dropped
@@ -93,33 +104,24 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     sizes = pts.sparkSession.createDataFrame(
         [(r["feature"], names.index(r["feature"]), r["_y"], r["_nc"]) for r in nc],
         "feature string, _f int, _y int, _nc long")
-    largest = max([r["_nc"] for r in nc], default=0)
     pts = (pts.join(F.broadcast(sizes), ["feature", "_y"]).filter(F.col("_nc") > 1)
-           .withColumn("_k", F.least(F.lit(k), F.col("_nc") - 1)))
+           .withColumn("_k", F.least(F.lit(k), F.col("_nc") - 1)).drop("_nc", "feature"))
 
     # -- k-th nearest same-label neighbour ------------------------------
-    # A class of at most ``bucket_rows`` points is one bounded window
-    # partition as it is.  Larger classes get ranks from an ordered pass and
-    # are cut into buckets of ``bucket_rows`` ranks, each with k halo rows
-    # copied from both neighbouring buckets.
-    small = (pts.filter(F.col("_nc") <= bucket_rows)
-             .withColumn("_b", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
-    framed = small
-    if largest > bucket_rows:
-        large = pts.filter(F.col("_nc") > bucket_rows)
-        ranked = running_totals(large, order=["_x", "_id"], group_cols=["_f", "_y"]) \
-            .withColumnRenamed("n_before", "_r")
-        b = F.floor(F.col("_r") / F.lit(bucket_rows))
-        pos = F.col("_r") - b * F.lit(bucket_rows)
-        copies = F.filter(F.array(
-            F.struct(b.alias("b"), F.lit(False).alias("halo")),
-            F.when(pos >= bucket_rows - k, F.struct((b + 1).alias("b"), F.lit(True).alias("halo"))),
-            F.when(pos < k, F.struct((b - 1).alias("b"), F.lit(True).alias("halo")))), lambda s: s.isNotNull())
-        framed = (ranked.select("*", F.explode(copies).alias("_copy"))
-                  .select("*", F.col("_copy.b").cast("long").alias("_b"), F.col("_copy.halo").alias("_halo"))
-                  .drop("_copy", "_r")
-                  .unionByName(small))
-    w = W.partitionBy("feature", "_y", "_b").orderBy("_x", "_id")
+    # Ranks from an ordered pass cut every class into buckets of
+    # ``bucket_rows`` ranks, each with k halo rows copied from both
+    # neighbouring buckets.
+    ranked = running_totals(pts, order=["_x", "_id"], group_cols=["_f", "_y"]).withColumnRenamed("n_before", "_r")
+    b = F.floor(F.col("_r") / F.lit(bucket_rows))
+    pos = F.col("_r") - b * F.lit(bucket_rows)
+    copies = F.filter(F.array(
+        F.struct(b.alias("b"), F.lit(False).alias("halo")),
+        F.when(pos >= bucket_rows - k, F.struct((b + 1).alias("b"), F.lit(True).alias("halo"))),
+        F.when(pos < k, F.struct((b - 1).alias("b"), F.lit(True).alias("halo")))), lambda s: s.isNotNull())
+    framed = (ranked.select("*", F.explode(copies).alias("_copy"))
+              .select("*", F.col("_copy.b").cast("long").alias("_b"), F.col("_copy.halo").alias("_halo"))
+              .drop("_copy", "_r"))
+    w = W.partitionBy("_f", "_y", "_b").orderBy("_x", "_id")
     cands, missing = [], []
     for j in range(1, k + 1):
         lag, lead = F.lag("_x", j).over(w), F.lead("_x", j).over(w)
@@ -129,11 +131,11 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     # ascending sort puts the absent neighbours (null distance) first, so the
     # k-th nearest is at position (#absent + k): plain expressions, no lambdas
     n_missing = reduce(lambda a, b: a + b, missing)
-    near = (framed.select("feature", "_f", "_id", "_y", "_x", "_k", "_nc", "_halo",
+    near = (framed.select("_f", "_id", "_y", "_x", "_k", "_halo",
                           F.sort_array(F.array(*cands)).alias("_c"), n_missing.alias("_miss"))
             .filter(~F.col("_halo"))
             .withColumn("_kth", F.element_at("_c", (F.col("_miss") + F.col("_k")).cast("int")))
-            .select("feature", "_f", "_id", "_x", "_k", "_nc",
+            .select("_f", "_id", "_x",
                     F.col("_kth.d").alias("_rad"), F.col("_kth.nb").alias("_nb")))
     # open interval (x - r, x + r); on the neighbour's side its own value is the end
     near = (near.withColumn("_lo", F.when(F.col("_nb") < F.col("_x"), F.col("_nb")).otherwise(F.col("_x") - F.col("_rad")))
@@ -146,25 +148,28 @@ def mi_from_points(pts: DataFrame, k: int = 3, bucket_rows: int = 100_000) -> Da
     # radius (exact duplicates) counts the points equal to x, as a
     # "distance <= nextafter(0, 0)" search does: there the ends swap sides.
     zero = F.col("_rad") <= 0
-    # _end: 0 point, 1 high end (carries k and the class size), 2 low end
-    none = F.lit(None).cast("long")
+    # _end: 0 point, 1 high end, 2 low end
     pt = near.select("_f", F.col("_x").alias("_v"), F.lit(1).alias("_kind"), "_id",
-                     F.lit(1).alias("_w"), F.lit(0).alias("_end"), none.alias("_k"), none.alias("_nc"))
+                     F.lit(1).alias("_w"), F.lit(0).alias("_end"))
     hi = near.select("_f", F.col("_hi").alias("_v"), F.when(zero, 2).otherwise(0).alias("_kind"), "_id",
-                     F.lit(0).alias("_w"), F.lit(1).alias("_end"), "_k", "_nc")
+                     F.lit(0).alias("_w"), F.lit(1).alias("_end"))
     lo = near.select("_f", F.col("_lo").alias("_v"), F.when(zero, 0).otherwise(2).alias("_kind"), "_id",
-                     F.lit(0).alias("_w"), F.lit(2).alias("_end"), none.alias("_k"), none.alias("_nc"))
+                     F.lit(0).alias("_w"), F.lit(2).alias("_end"))
     events = pt.unionByName(hi).unionByName(lo)
     counted = running_totals(events, order=["_v", "_kind", "_id", "_end"], group_cols=["_f"], sum_cols=["_w"])
     # m = points below the high end - points up to the low end, one grouped sum
     per_point = (counted.filter(F.col("_end") != 0)
                  .groupBy("_f", "_id")
-                 .agg(F.sum(F.when(F.col("_end") == 1, F.col("before__w")).otherwise(-F.col("before__w"))).alias("_m"),
-                      F.max("_k").alias("_k"), F.max("_nc").alias("_nc")))
+                 .agg(F.sum(F.when(F.col("_end") == 1, F.col("before__w")).otherwise(-F.col("before__w"))).alias("_m")))
     mi = per_point.groupBy("_f").agg(
-        F.count(F.lit(1)).alias("_n"), _exact_mean(digamma("_k")).alias("_pk"),
-        _exact_mean(digamma("_nc")).alias("_pn"), _exact_mean(digamma("_m")).alias("_pm"))
-    codes = pts.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "feature string, _f int")
+        F.count(F.lit(1)).alias("_n"), _exact_mean(digamma("_m")).alias("_pm"))
+    by_class = {}
+    for r in nc:
+        if r["_nc"] > 1:
+            by_class.setdefault(r["feature"], []).append(r["_nc"])
+    codes = pts.sparkSession.createDataFrame(
+        [(n, i, *_class_means(by_class.get(n, []), k)) for i, n in enumerate(names)],
+        "feature string, _f int, _pk double, _pn double")
     return (mi.join(F.broadcast(codes), "_f")
             .select("feature", F.greatest(F.lit(0.0), digamma("_n") + F.col("_pk") - F.col("_pn") - F.col("_pm"))
                     .alias("mutual_information")))

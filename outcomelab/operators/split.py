@@ -3,9 +3,9 @@
 A split is two scalars, not an id list: dev is every row at or after a
 boundary (date, id) pair in the chosen order, so "is this row dev / train"
 is a plain predicate that Catalyst can push down and no id list is ever
-collected or joined.  Finding the boundary costs one per-date aggregate
-(bounded by the number of distinct days) and an ordered pass over the rows
-of the single boundary date.
+collected or joined.  Finding the boundary costs one per-date aggregate, an
+ordered pass over its rows (timestamps may be as many as the table's rows)
+and an ordered pass over the rows of the single boundary date.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from outcomelab.operators.ordered import running_totals
 
@@ -100,13 +99,12 @@ def make_split(df: DataFrame, id_col: str = "id", date_col: str = "d",
         ranked = running_totals(keyed, order=[F.col("_h").desc(), F.col(id_col).desc()])
         b = ranked.filter(F.col("n_before") == n_dev - 1).select("_h", id_col).first()
         return Split(id_col, date_col, order, (b[0], b[1]), recent_from, seed, n_dev, n)
-    # rows per date (bounded by the number of days), counted from the end
+    # rows per date, counted from the end
     per_date = rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("_c"))
-    from_end = W.orderBy(F.col(date_col).desc()).rowsBetween(W.unboundedPreceding, 0)
-    cum = per_date.withColumn("_cum", F.sum("_c").over(from_end))
-    b = cum.filter(F.col("_cum") >= n_dev).agg(F.max(date_col).alias("bd"),
-                                                F.max_by(F.col("_cum") - F.col("_c"), F.col(date_col)).alias("after")).first()
-    bd, after = b["bd"], int(b["after"])
+    from_end = running_totals(per_date, order=[F.col(date_col).desc()], sum_cols=["_c"])
+    before = F.col("before__c")
+    b = from_end.filter((before < n_dev) & (before + F.col("_c") >= n_dev)).select(date_col, before.alias("after")).first()
+    bd, after = b[date_col], int(b["after"])
     need = n_dev - after            # dev rows taken from the boundary date, largest ids first
     day = rows.filter(F.col(date_col) == F.lit(bd)).select(id_col)
     ranked = running_totals(day, order=[F.col(id_col).desc()])

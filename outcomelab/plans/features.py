@@ -67,7 +67,8 @@ def geo_features(study: Study, num_bins: int = 5, share: float = 0.9, max_items:
     f = f.withColumn("city_state", concat_strict(c.city, c.state))
     sizes = group_size(study.split.rows(f, "train"), "city_state", c.school, c.id)
     f = f.join(sizes, "city_state", "left")
-    f = downsize(f, [c.city, c.state, "latitude_group", "longitude_group", "city_state"], share, max_items)
+    # city and city_state leave the set below, so they need no downsizing
+    f = downsize(f, [c.state, "latitude_group", "longitude_group"], share, max_items)
     f = impute(f, {"city_state_projects_per_school": {"strategy": "median"}}, c.id)
     f = fill_missing(f, 0)
     f = f.select(c.id, c.state, "latitude_group", "longitude_group", "city_state_num_schools",

@@ -46,7 +46,7 @@ class Spec:
     params: dict = field(default_factory=dict)
 
 
-# The ten configurations compared per label.
+# The ten configurations compared per label, names and parameters.
 CLASSIFIERS = [
     Spec("Logistic Regression", "logistic", {"maxIter": 200}),
     Spec("FFNN (d=3)", "mlp", {"hidden": [20, 10, 5], "maxIter": 100}),

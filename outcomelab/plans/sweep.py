@@ -25,6 +25,7 @@ from outcomelab.plans.prepare import Study
 from outcomelab.plans.ranking import feature_set_ranking, top_k
 from outcomelab.session import materialize
 
+# The ledger's column names are part of the result's schema.
 LEDGER_SCHEMA = T.StructType([
     T.StructField("classifier", T.StringType()),
     T.StructField("entities", T.ArrayType(T.StringType())),
@@ -143,6 +144,8 @@ def label_ensemble(study: Study, labels: list[str], main_label: str | None = Non
 
     def label_scores(label: str) -> DataFrame:
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
+        # the row count, the scaler and the classifier all read the assembled rows
+        train = materialize(train, "ensemble_train")
         model = fit_pipeline(train, feats, label, spec, idc)
         # materialise each label's (id, probability): the final plan then joins
         # six small scans instead of six model + assembly plans at once
