@@ -3,9 +3,8 @@
 Every query reads the test tables of ``sf_dir`` through the fixture mapping
 (:mod:`outcomelab.sources.fixtures`) and runs the library's operators over
 all rows.  ``oracle_sql`` holds independent DuckDB SQL for each query that
-SQL can express; queries built on model fitting or the k-nearest-neighbour
-estimator have none (rows-only check) and are checked against brute force
-in ``tests/``.
+SQL can express; queries built on model fitting have none (rows-only check)
+and are checked in ``tests/``.
 """
 
 from __future__ import annotations
@@ -97,6 +96,13 @@ def q_hash_split_counts(spark, sf):
             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_hash_split(spark, sf):
+    """Membership of the hashed split."""
+    items = _study(spark, sf).items
+    s = make_split(items, "id", "d", fx.DEV_SHARE, shuffle=True)
+    return items.select("id", s.name().alias("split"))
+
+
 def q_absolute_split(spark, sf):
     """The last ABSOLUTE_DEV rows are dev: a size instead of a share."""
     items = _study(spark, sf).items
@@ -307,15 +313,15 @@ def q_top_features(spark, sf):
 
 def q_mi_continuous(spark, sf):
     rows = profile.drop_missing(_study(spark, sf).items.drop(*RK.SPARSE))
-    return info.mi_continuous(rows, RAW_CONTINUOUS, "label")
+    return info.mi_continuous(rows, RAW_CONTINUOUS, "label").select("feature", _r("mutual_information"))
 
 
 def q_raw_ranking(spark, sf):
-    return RK.raw_ranking(_study(spark, sf), "label")
+    return RK.raw_ranking(_study(spark, sf), "label").select("feature", _r("mutual_information"), "discrete")
 
 
 def q_feature_ranking(spark, sf):
-    return _ranking(spark, sf)
+    return _ranking(spark, sf).select("entity", "feature", _r("mutual_information"))
 
 
 def q_best_per_group(spark, sf):
@@ -419,6 +425,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropna_rows": q_dropna_rows,
     "chrono_split": q_chrono_split,
     "hash_split_counts": q_hash_split_counts,
+    "hash_split": q_hash_split,
     "absolute_split": q_absolute_split,
     "events_split": q_events_split,
     "recent_train": q_recent_train,
@@ -497,6 +504,7 @@ def _sql() -> dict[str, str]:
                "cn AS (SELECT feature, sum(nxy) AS n FROM c GROUP BY ALL), "
                "mi AS (SELECT feature, greatest(sum(nxy / n * ln(n * nxy / (nx * ny))), 0) AS m "
                "FROM c JOIN cx USING (feature, x) JOIN cy USING (feature, y) JOIN cn USING (feature) GROUP BY feature)")
+    knn = O.knn_mi_ctes(O.numeric_rows(f"(SELECT * FROM lab WHERE {rawnn})", RAW_CONTINUOUS))
     prod_ctes = ",\n".join(O.school_overall_ctes(lb, "school", f"s{i}") for i, lb in enumerate(fx.LABELS[1:]))
     prod_join = " ".join(f"JOIN s{i}f USING (id)" for i in range(len(fx.LABELS) - 1))
     prod_expr = " * ".join(f"s{i}f.pct_exciting" for i in range(len(fx.LABELS) - 1))
@@ -521,6 +529,10 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         "mi_discrete": B(mi_ctes) + f" SELECT feature, round(m, {R}) AS mutual_information FROM mi",
         "top_features": B(mi_ctes) + f""" SELECT feature, round(m, {R}) AS mutual_information,
  CAST(row_number() OVER (ORDER BY m DESC, feature) AS INTEGER) AS rank FROM mi ORDER BY m DESC, feature LIMIT 5""",
+        "mi_continuous": B(knn) + f" SELECT feature, round(m, {R}) AS mutual_information FROM kmi",
+        "raw_ranking": B(mi_ctes + ",\n" + knn) + f""" SELECT feature, round(m, {R}) AS mutual_information, true AS discrete FROM mi
+ UNION ALL SELECT feature, round(m, {R}), false FROM kmi""",
+        "feature_ranking": O.feature_ranking(),
         "best_per_group": B() + " SELECT state, id, price FROM lab JOIN (SELECT state, max(price) AS mp FROM lab GROUP BY state) USING (state) WHERE price = mp",
         "probability_product": B(prod_ctes) + f" SELECT id, round({prod_expr}, {R}) AS ensemble FROM p {prod_join} WHERE p.is_dev",
         "standardize": B(f"st AS (SELECT {std_stats} FROM p WHERE is_train)") + f" SELECT id, {std_sel} FROM p, st WHERE is_dev",
@@ -542,6 +554,8 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         "chrono_split": B() + " SELECT id, CASE WHEN is_dev THEN 'dev' WHEN is_train THEN 'train' ELSE 'old' END AS split FROM p",
         "hash_split_counts": B() + f""" SELECT 'dev' AS split, CAST(ceil({fx.DEV_SHARE}::DOUBLE * count(*)) AS BIGINT) AS n FROM lab
  UNION ALL SELECT 'rest', count(*) - CAST(ceil({fx.DEV_SHARE}::DOUBLE * count(*)) AS BIGINT) FROM lab""",
+        "hash_split": B() + f""" SELECT id, CASE WHEN row_number() OVER (ORDER BY {O.scatter('id', 424242)} DESC, id DESC)
+ <= ceil({fx.DEV_SHARE}::DOUBLE * count(*) OVER ()) THEN 'dev' ELSE 'train' END AS split FROM lab""",
         "absolute_split": B() + f""" SELECT id, CASE WHEN row_number() OVER (ORDER BY d DESC, id DESC) <= {ABSOLUTE_DEV}
  THEN 'dev' ELSE 'train' END AS split FROM lab""",
         "events_split": f"""SELECT event_id, CASE WHEN row_number() OVER (ORDER BY ts DESC, event_id DESC)

@@ -89,16 +89,24 @@ def digamma_np(x):
     return series - shift
 
 
-def unit_uniform(*cols, seed: int = 0) -> Column:
-    """Deterministic uniform in (0, 1) from a 64-bit hash of ``cols``: stable
-    under repartitioning and recomputation, unlike ``rand``."""
-    h = F.xxhash64(F.lit(seed), *[col_(c) for c in cols])
-    bits = h.bitwiseAND(F.lit((1 << 53) - 1))
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-
-
-def std_normal(*cols, seed: int = 0) -> Column:
-    """Deterministic standard-normal draw (Box-Muller on two hashes)."""
-    u1 = unit_uniform(*cols, seed=seed)
-    u2 = unit_uniform(*cols, seed=seed + 7919)
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
+# Fixed values of the integer scatter: a Mersenne prime and two multipliers.
+SCATTER_PRIME = (1 << 31) - 1
+SCATTER_LOW = 1103515245
+SCATTER_HIGH = 48271
+
+
+def scatter(c, code: int = 0) -> Column:
+    """Deterministic pseudo-random integer in 0 .. SCATTER_PRIME - 1 from an id
+    and a number: stable under repartitioning and recomputation, unlike
+    ``rand``, and plain integer arithmetic, so any SQL engine can repeat it.
+
+    An affine step and a fifth power modulo the prime; both are one to one,
+    so ids below the prime never meet.  Ids that are no integers go through
+    their 64-bit hash first."""
+    p = F.lit(SCATTER_PRIME).cast("long")
+    c = col_(c)
+    n = F.coalesce(c.try_cast("long"), F.xxhash64(c))
+    u = F.pmod(F.pmod(n, p) * SCATTER_LOW + F.pmod(F.shiftright(n, 31), p) * SCATTER_HIGH
+               + F.lit(code % SCATTER_PRIME).cast("long"), p)
+    square = u * u % p
+    return square * square % p * u % p

@@ -95,6 +95,9 @@ def downsize(df: DataFrame, columns: list[str] | None = None, desired_share: flo
     return apply_downsize(df, fit_downsize(df, columns, desired_share, max_items))
 
 
+INDICATOR = {"indicator": True}
+
+
 def fit_one_hot(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted distinct non-missing values per column (O49 fit).  The values
     become column names, so this is for vocabularies that downsizing or the
@@ -119,17 +122,24 @@ def one_hot_sparse(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
 
 def apply_one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """Replace each encoded column by 0/1 columns ``{col}_{value}`` (all
-    levels kept; a missing value is all zeros), placed after the others."""
+    levels kept; a missing value is all zeros), placed after the others.
+    Their column metadata marks them, so later steps know them by kind."""
     keep = [qcol(c) for c in df.columns if c not in levels]
     dummies = []
     for c in df.columns:
         if c in levels:
             for v in levels[c]:
                 dummies.append(F.when(F.col(c).cast("string") == F.lit(v), F.lit(1)).otherwise(F.lit(0))
-                               .alias(f"{c}_{v}"))
+                               .alias(f"{c}_{v}", metadata=INDICATOR))
     return df.select(*keep, *dummies)
 
 
+def indicator_columns(df: DataFrame) -> list[str]:
+    """The 0/1 columns that one-hot encoding made, by their metadata (which
+    selections, joins and parquet tables keep)."""
+    return [f.name for f in df.schema.fields if f.metadata.get("indicator")]
+
+
 def one_hot(df: DataFrame, exclude: list[str] = ()) -> DataFrame:
     """One-hot every non-numeric, non-boolean column except ``exclude``."""
     columns = [f.name for f in df.schema.fields

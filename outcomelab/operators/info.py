@@ -2,16 +2,17 @@
 
 Discrete features: plug-in estimate from the contingency table,
 sum n_xy/N * ln(N n_xy / (n_x n_y)), one grouped aggregate for all features.
+0/1 columns: the same estimate from one wide aggregate by label.
 
 Continuous features: the nearest-neighbour estimator of Ross (2014) with
 k = 3, as in the usual library implementation:
     psi(N) + <psi(k_i)> - <psi(N_label)> - <psi(m_i)>, floored at 0,
 where k_i = min(k, N_label - 1), labels seen once are dropped, and m_i is
 the number of points (any label) strictly closer than the k-th nearest
-neighbour of the same label, the point itself included.  Values are scaled
-by their standard deviation and get a deterministic jitter of 1e-10 scale
-(hash of id and feature) that breaks ties, where the library draws
-unseeded noise.
+neighbour of the same label, the point itself included.  Values get a
+deterministic jitter that breaks ties (integer arithmetic on id and feature,
+where the library draws unseeded noise) of about 1e-10 standard deviations;
+the estimate itself does not depend on the scale.
 
 Distributed plan (1-D): long (feature, id, label, x) rows ->
  * the k nearest same-label points lie within ranks r-k..r+k, read with
@@ -25,6 +26,8 @@ Distributed plan (1-D): long (feature, id, label, x) rows ->
 
 from __future__ import annotations
 
+import math
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from outcomelab.functions.columns import digamma, digamma_np, qcol, std_normal
+from outcomelab.functions.columns import SCATTER_PRIME, digamma, digamma_np, qcol, scatter
 from outcomelab.operators.ordered import running_totals
 from outcomelab.session import materialize
 
@@ -44,11 +47,8 @@ def _long(df: DataFrame, features: list[str], label_col: str, id_col: str, cast:
             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
 
 
-def mi_discrete(df: DataFrame, features: list[str], label_col: str, id_col: str = "id") -> DataFrame:
-    """(feature, mutual_information) for discrete features."""
-    long = _long(df, features, label_col, id_col, "string")
-    # the cells are written once: the three totals read them, not the input rows
-    nxy = materialize(long.groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("nxy")), "mi_cells")
+def mi_of_cells(nxy: DataFrame) -> DataFrame:
+    """(feature, mutual_information) from (feature, _x, _y, nxy) cells."""
     nx = nxy.groupBy("feature", "_x").agg(F.sum("nxy").alias("nx"))
     ny = nxy.groupBy("feature", "_y").agg(F.sum("nxy").alias("ny"))
     n = nxy.groupBy("feature").agg(F.sum("nxy").alias("n"))
@@ -59,19 +59,53 @@ def mi_discrete(df: DataFrame, features: list[str], label_col: str, id_col: str
             .select("feature", F.greatest(F.col("_mi"), F.lit(0.0)).alias("mutual_information")))
 
 
+def mi_discrete(df: DataFrame, features: list[str], label_col: str, id_col: str = "id") -> DataFrame:
+    """(feature, mutual_information) for discrete features."""
+    long = _long(df, features, label_col, id_col, "string")
+    # the cells are written once: the three totals read them, not the input rows
+    return mi_of_cells(materialize(
+        long.groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("nxy")), "mi_cells"))
+
+
+def indicator_cells(df: DataFrame, features: list[str], label_col: str) -> DataFrame:
+    """(feature, _x, _y, nxy) of 0/1 columns: one aggregate by label over one
+    scan, no row is unpivoted."""
+    sums = [F.sum(qcol(f)).cast("long").alias(f"one_{i}") for i, f in enumerate(features)]
+    sizes = [F.count(qcol(f)).alias(f"all_{i}") for i, f in enumerate(features)]
+    wide = (df.filter(F.col(label_col).isNotNull()).groupBy(F.col(label_col).cast("int").alias("_y"))
+            .agg(*sums, *sizes))
+    cells = [F.struct(F.lit(f).alias("feature"), F.lit(x).alias("_x"), n.alias("nxy"))
+             for i, f in enumerate(features)
+             for x, n in ((1, F.col(f"one_{i}")), (0, F.col(f"all_{i}") - F.col(f"one_{i}")))]
+    return wide.select("_y", F.inline(F.array(*cells))).filter("nxy > 0")
+
+
+def mi_indicators(df: DataFrame, features: list[str], label_col: str) -> DataFrame:
+    """(feature, mutual_information) for 0/1 columns."""
+    return mi_of_cells(materialize(indicator_cells(df, features, label_col), "mi_cells"))
+
+
 def jittered_points(df: DataFrame, features: list[str], label_col: str, id_col: str = "id",
                     jitter: float = 1e-10, seed: int = 0) -> DataFrame:
-    """Long (feature, _id, _y, _x) rows: each feature scaled by its population
-    deviation (1 when constant) plus a deterministic 1e-10-scale jitter."""
-    long = _long(df, features, label_col, id_col, "double")
-    stats = long.groupBy("feature").agg(F.stddev_pop("_x").alias("_sd"))
-    sd = F.when((F.col("_sd") > 0), F.col("_sd")).otherwise(F.lit(1.0))
-    scaled = long.join(F.broadcast(stats), "feature").withColumn("_x", F.col("_x") / sd).drop("_sd")
-    mabs = scaled.groupBy("feature").agg(F.avg(F.abs("_x")).alias("_ma"))
-    return (scaled.join(F.broadcast(mabs), "feature")
-            .withColumn("_x", F.col("_x") + F.lit(jitter) * F.greatest(F.lit(1.0), F.col("_ma"))
-                        * std_normal("_id", "feature", seed=seed))
-            .drop("_ma"))
+    """Long (feature, _id, _y, _x) rows, each value with a deterministic jitter.
+
+    Its width is ``jitter`` times the deviation (1 when constant) or the mean
+    absolute value, whichever is larger, taken down to a power of two: the
+    jitter is then an exact product, and the sum is rounded once, alike in
+    every engine.  One wide aggregate gives the widths of all features."""
+    rows = df.filter(F.col(label_col).isNotNull())
+    x = [qcol(f).cast("double") for f in features]
+    stats = rows.agg(*[F.struct(F.stddev_pop(c), F.avg(F.abs(c))).alias(f"s{i}") for i, c in enumerate(x)]).first()
+    moved = []
+    for i, (f, c) in enumerate(zip(features, x)):
+        sd, mean_abs = stats[i] if stats[i][0] is not None else (0.0, 0.0)
+        width = jitter * max(sd if sd > 0 else 1.0, mean_abs)
+        step = 2.0 ** (math.floor(math.log2(width)) - 29) if 0 < width < math.inf else 0.0
+        noise = scatter(id_col, zlib.crc32(f.encode()) + seed) - F.lit(SCATTER_PRIME // 2)
+        moved.append((c + noise.cast("double") * F.lit(step)).alias(f))
+    return (rows.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"), *moved)
+            .unpivot(["_id", "_y"], [qcol(f) for f in features], "feature", "_x")
+            .filter(F.col("_x").isNotNull()).select("feature", "_id", "_y", "_x"))
 
 
 def mi_continuous(df: DataFrame, features: list[str], label_col: str, id_col: str = "id",

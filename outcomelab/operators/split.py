@@ -17,7 +17,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outcomelab.functions.columns import scatter
 from outcomelab.operators.ordered import running_totals
+from outcomelab.session import materialize
+
+_BUCKET_SHIFT = 15      # 31-bit scatter: 65,536 buckets at any input size
 
 
 def date_floor(df: DataFrame, date_col: str, min_date: str) -> DataFrame:
@@ -40,7 +44,7 @@ class Split:
     def key(self) -> list[Column]:
         if self.order == "date":
             return [F.col(self.date_col), F.col(self.id_col)]
-        return [F.xxhash64(F.lit(self.seed), F.col(self.id_col)), F.col(self.id_col)]
+        return [scatter(self.id_col, self.seed), F.col(self.id_col)]
 
     def is_dev(self) -> Column:
         if self.boundary is None:
@@ -85,22 +89,35 @@ def make_split(df: DataFrame, id_col: str = "id", date_col: str = "d",
                recent_from: str | None = None) -> Split:
     """Train/dev split (O64): the last ``dev_share`` of rows (fraction, or an
     absolute count) in (date, id) order are dev; with ``shuffle`` the order is
-    a seeded 64-bit hash of the id instead.  ``recent_from`` removes older
+    a seeded integer scatter of the id instead.  ``recent_from`` removes older
     rows from train only (O10)."""
     rows = df.select(id_col, date_col)
-    n = rows.count()
-    n_dev = _dev_count(dev_share, n)
     order = "hash" if shuffle else "date"
+    if shuffle:
+        # one row per bucket of leading hash bits; only the bucket that holds
+        # the boundary is ever put in order
+        bucket = F.shiftright(scatter(id_col, seed), _BUCKET_SHIFT)
+        sizes = {r["b"]: r["c"] for r in
+                 rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
+        n = sum(sizes.values())
+    else:
+        per_date = materialize(rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("_c")), "date_counts")
+        n = per_date.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
+    n_dev = _dev_count(dev_share, n)
     base = Split(id_col, date_col, order, None, recent_from, seed, n_dev, n)
     if n_dev == 0:
         return base
     if shuffle:
-        keyed = rows.select(F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h"), id_col)
-        ranked = running_totals(keyed, order=[F.col("_h").desc(), F.col(id_col).desc()])
-        b = ranked.filter(F.col("n_before") == n_dev - 1).select("_h", id_col).first()
+        need = n_dev
+        for edge in sorted(sizes, reverse=True):
+            if need <= sizes[edge]:
+                break
+            need -= sizes[edge]
+        inside = rows.filter(bucket == edge).select(scatter(id_col, seed).alias("_h"), id_col)
+        ranked = running_totals(inside, order=[F.col("_h").desc(), F.col(id_col).desc()])
+        b = ranked.filter(F.col("n_before") == need - 1).select("_h", id_col).first()
         return Split(id_col, date_col, order, (b[0], b[1]), recent_from, seed, n_dev, n)
     # rows per date, counted from the end
-    per_date = rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("_c"))
     from_end = running_totals(per_date, order=[F.col(date_col).desc()], sum_cols=["_c"])
     before = F.col("before__c")
     b = from_end.filter((before < n_dev) & (before + F.col("_c") >= n_dev)).select(date_col, before.alias("after")).first()

@@ -8,6 +8,8 @@ Doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+import zlib
+
 from outcomelab.sources import fixtures as fx
 
 R = 6  # rounding digits for doubles
@@ -146,3 +148,102 @@ def geo_ctes() -> str:
                                          "city_state_projects_per_school"],
                                   ["state", "latitude_group", "longitude_group"]) + ")",
     ])
+
+
+# -- mutual information --------------------------------------------------
+
+PRIME = 2147483647  # of the integer scatter
+
+
+def scatter(id_col: str, code) -> str:
+    """The integer scatter of an id (below 2^62) and a number, as SQL."""
+    u = f"((({id_col} % {PRIME}) * 1103515245 + (({id_col} >> 31) % {PRIME}) * 48271 + {code}) % {PRIME})"
+    square = f"({u} * {u} % {PRIME})"
+    return f"({square} * {square} % {PRIME} * {u} % {PRIME})"
+
+
+def psi(x: str) -> str:
+    """Digamma: recurrence up by six, then the asymptotic series."""
+    y = f"({x} + 6.0)"
+    return (f"(ln({y}) - 0.5 / {y} - 1 / (12 * pow({y}, 2)) + 1 / (120 * pow({y}, 4)) - 1 / (252 * pow({y}, 6)) "
+            f"+ 1 / (240 * pow({y}, 8)) - 5 / (660 * pow({y}, 10))"
+            + "".join(f" - 1.0 / ({x} + {j}.0)" for j in range(6)) + ")")
+
+
+def numeric_rows(src: str, columns: list[str], label: str = "label") -> str:
+    """(feature, code, id, y, x) rows of numeric columns."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, {zlib.crc32(c.encode()) % PRIME} AS code, id, CAST(lab.{label} AS INTEGER) AS y, "
+        f"CAST(f.{c} AS DOUBLE) AS x FROM {src} f JOIN lab USING (id) WHERE f.{c} IS NOT NULL AND lab.{label} IS NOT NULL"
+        for c in columns)
+
+
+def knn_mi_ctes(rows: str, k: int = 3) -> str:
+    """CTEs ending in ``kmi`` (feature, m): the nearest-neighbour estimate over
+    ``rows``.  Counts come from as-of joins on the cumulative number of
+    points, not from an ordered pass."""
+    step = ("pow(2.0, floor(log2(1e-10 * greatest(CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1.0 END, "
+            "avg(abs(x))))) - 29)")
+    near = "\nUNION ALL ".join(
+        f"SELECT feature, id, y, x, n, abs(x - {side}{j}) AS d, {side}{j} AS nb FROM kn WHERE {side}{j} IS NOT NULL"
+        for j in range(1, k + 1) for side in ("lag", "lead"))
+    sides = ", ".join(f"{side}(x, {j}) OVER w AS {side}{j}" for j in range(1, k + 1) for side in ("lag", "lead"))
+    return f"""kr AS ({rows}),
+ks AS (SELECT feature, {step} AS step FROM kr GROUP BY feature),
+kp AS (SELECT feature, id, y, x + CAST({scatter('id', 'code')} - {PRIME // 2} AS DOUBLE) * step AS x,
+  count(*) OVER (PARTITION BY feature, y) AS n FROM kr JOIN ks USING (feature)),
+kn AS (SELECT *, {sides} FROM kp WHERE n > 1 WINDOW w AS (PARTITION BY feature, y ORDER BY x, id)),
+kd AS ({near}),
+ko AS (SELECT *, row_number() OVER (PARTITION BY feature, id ORDER BY d, nb) AS o FROM kd),
+ke AS (SELECT feature, id, n, least({k}, n - 1) AS k, d, CASE WHEN nb < x THEN nb ELSE x - d END AS lo,
+  CASE WHEN nb > x THEN nb ELSE x + d END AS hi FROM ko WHERE o = least({k}, n - 1)),
+kc AS (SELECT feature, x, CAST(sum(count(*)) OVER (PARTITION BY feature ORDER BY x) AS BIGINT) AS upto
+  FROM kp WHERE n > 1 GROUP BY feature, x),
+k1 AS (SELECT ke.*, coalesce(kc.upto, 0) AS below_hi FROM ke ASOF LEFT JOIN kc ON ke.feature = kc.feature AND ke.hi > kc.x),
+k2 AS (SELECT k1.*, coalesce(kc.upto, 0) AS to_hi FROM k1 ASOF LEFT JOIN kc ON k1.feature = kc.feature AND k1.hi >= kc.x),
+k3 AS (SELECT k2.*, coalesce(kc.upto, 0) AS to_lo FROM k2 ASOF LEFT JOIN kc ON k2.feature = kc.feature AND k2.lo >= kc.x),
+k4 AS (SELECT k3.*, coalesce(kc.upto, 0) AS below_lo FROM k3 ASOF LEFT JOIN kc ON k3.feature = kc.feature AND k3.lo > kc.x),
+km AS (SELECT feature, CAST(n AS DOUBLE) AS n, CAST(k AS DOUBLE) AS k,
+  CAST(CASE WHEN d > 0 THEN below_hi - to_lo ELSE to_hi - below_lo END AS DOUBLE) AS m FROM k4),
+kt AS (SELECT feature, CAST(count(*) AS DOUBLE) AS total, avg({psi('k')}) AS pk, avg({psi('n')}) AS pn,
+  avg({psi('m')}) AS pm FROM km GROUP BY feature),
+kmi AS (SELECT feature, greatest(0.0, {psi('total')} + pk - pn - pm) AS m FROM kt)"""
+
+
+def level_mi_ctes(columns: dict[str, str], label: str = "label") -> str:
+    """CTEs ending in ``lmi`` (feature, m): the plug-in estimate of each level
+    of the given text columns (column -> table) as a 0/1 feature."""
+    levels = "\nUNION ALL ".join(
+        f"SELECT '{c}_' || f.{c} AS feature, CAST(lab.{label} AS INTEGER) AS y, count(*) AS one "
+        f"FROM {src} f JOIN lab USING (id) WHERE f.{c} IS NOT NULL AND lab.{label} IS NOT NULL GROUP BY ALL"
+        for c, src in columns.items())
+    return f"""l1 AS ({levels}),
+ly AS (SELECT CAST({label} AS INTEGER) AS y, count(*) AS ny FROM lab WHERE {label} IS NOT NULL GROUP BY 1),
+l2 AS (SELECT f.feature, ly.y, ny, coalesce(one, 0) AS one FROM (SELECT DISTINCT feature FROM l1) f CROSS JOIN ly
+  LEFT JOIN l1 ON l1.feature = f.feature AND l1.y = ly.y),
+l3 AS (SELECT feature, ny, one AS nxy, sum(one) OVER w AS nx, sum(ny) OVER w AS n FROM l2 WINDOW w AS (PARTITION BY feature)
+  UNION ALL SELECT feature, ny, ny - one, sum(ny - one) OVER w, sum(ny) OVER w FROM l2 WINDOW w AS (PARTITION BY feature)),
+lmi AS (SELECT feature, greatest(0.0, sum(CAST(nxy AS DOUBLE) / n * ln(CAST(n AS DOUBLE) * nxy / (CAST(nx AS DOUBLE) * ny)))) AS m
+  FROM l3 WHERE nxy > 0 GROUP BY feature)"""
+
+
+# The feature sets of the second pass: entity -> (table, numeric, text columns).
+SETS = {
+    "project": ("pf3", ["labor", "date_posted_relative", "price_relative_to_focus_area"], ["subject", "area", "resource"]),
+    "teacher": ("tf1", ["teacher_num_prev_projects", "teacher_num_prev_exciting_projects", "teacher_pct_prev_exciting"],
+                ["prefix"]),
+    "school": ("sc1", ["school_pct_exciting", "school_projects_per_year", "school_active_years"], ["metro"]),
+    "geo": ("g2", ["city_state_num_schools", "city_state_num_projects", "city_state_projects_per_school"],
+            ["state", "latitude_group", "longitude_group"]),
+}
+
+
+def feature_ranking() -> str:
+    rows = "\nUNION ALL ".join(numeric_rows(t, numeric) for t, numeric, _ in SETS.values())
+    text = {c: t for t, _, cols in SETS.values() for c in cols}
+    owner = {c: e for e, (_, numeric, cols) in SETS.items() for c in numeric + cols}
+    entity = "CASE " + " ".join(
+        f"WHEN starts_with(feature, '{c}') THEN '{owner[c]}'" for c in sorted(owner, key=len, reverse=True)) + " END"
+    return base(",\n".join([project_ctes(), teacher_ctes(), school_ctes(), geo_ctes(), knn_mi_ctes(rows),
+                            level_mi_ctes(text)])) + f""" SELECT {entity} AS entity, feature, round(m, {R}) AS mutual_information
+ FROM (SELECT * FROM kmi UNION ALL SELECT * FROM lmi)"""

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from outcomelab.operators.info import discrete_columns, jittered_points, mi_from_points, mutual_information
+from outcomelab.operators.encode import indicator_columns
+from outcomelab.operators.info import (discrete_columns, indicator_cells, jittered_points, mi_from_points,
+                                       mi_of_cells, mutual_information)
 from outcomelab.operators.profile import drop_missing
 from outcomelab.plans.features import ENTITIES
 from outcomelab.plans.prepare import Study
+from outcomelab.session import materialize
 
 # Raw item columns scored by the first pass (the fixture's roles).
 RAW_FEATURES = ["latitude", "longitude", "city", "state", "prefix", "subject", "area",
@@ -31,25 +34,35 @@ def raw_ranking(study: Study, label: str = "label", features: list[str] = RAW_FE
 def feature_set_ranking(study: Study, feature_sets: dict[str, DataFrame], label: str = "label",
                         entities=ENTITIES) -> DataFrame:
     """Second pass: every feature of every set against ``label`` (all rows
-    that have it).  After one-hot all columns are numeric, so all go
-    through the continuous estimator; the sets are stacked into one long
-    table so the estimator runs once for all of them.
-    (entity, feature, mutual_information)."""
+    that have it).  The 0/1 columns of one-hot encoding are scored from their
+    contingency tables, one aggregate per set; the numeric features of all
+    sets are stacked into one long table, written once, and go through the
+    continuous estimator together.  (entity, feature, mutual_information)."""
     idc = study.cols.id
     y = study.items.select(idc, label)
-    points, owner = [], []
+    points, cells, owner = [], [], []
     for e in entities:
         x = feature_sets[e]
+        flags = set(indicator_columns(x))
         feats = [c for c in x.columns if c != idc]
+        numeric = [c for c in feats if c not in flags]
         joined = x.join(y, idc, "inner")
-        disc = discrete_columns(joined, feats)
+        disc = discrete_columns(joined, numeric)
         if disc:
             raise ValueError(f"feature set {e!r} still has text columns {disc}; one-hot them first")
-        points.append(jittered_points(joined, feats, label, idc))
+        if numeric:
+            points.append(jittered_points(joined, numeric, label, idc))
+        if flags:
+            cells.append(indicator_cells(joined, [c for c in feats if c in flags], label))
         owner += [(e, f) for f in feats]
-    mi = mi_from_points(reduce(lambda a, b: a.unionByName(b), points))
+    scored = []
+    if points:
+        scored.append(mi_from_points(materialize(reduce(DataFrame.unionByName, points), "mi_points")))
+    if cells:
+        scored.append(mi_of_cells(materialize(reduce(DataFrame.unionByName, cells), "mi_cells")))
     owners = study.items.sparkSession.createDataFrame(owner, "entity string, feature string")
-    return F.broadcast(owners).join(mi, "feature").select("entity", "feature", "mutual_information")
+    return (F.broadcast(owners).join(reduce(DataFrame.unionByName, scored), "feature")
+            .select("entity", "feature", "mutual_information"))
 
 
 def top_k(ranking: DataFrame, k: int) -> DataFrame:

@@ -129,3 +129,31 @@ def test_mi_is_exactly_the_same_whatever_the_partitioning(spark):
         return cont, disc
 
     assert run(1) == run(7)      # exact equality, not a tolerance
+
+
+def test_indicator_columns_keep_their_mark_and_match_the_contingency(spark):
+    from outcomelab.operators.encode import indicator_columns, one_hot
+    from outcomelab.operators.info import mi_indicators
+    from outcomelab.session import materialize
+
+    rng = np.random.default_rng(9)
+    rows = [(i, "abc"[rng.integers(0, 3)], float(i % 2), bool(rng.integers(0, 2)), None if i % 9 == 0 else i % 4 == 0)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, s string, x double, b boolean, y boolean")
+    wide = materialize(one_hot(df, exclude=["id"]), "marked").join(df.select("id", "x"), "id").drop("x")
+    flags = indicator_columns(wide)          # written, read, joined: the mark stays
+    assert flags == ["s_a", "s_b", "s_c"]
+    got = {r.feature: r.mutual_information for r in mi_indicators(wide, flags, "y").collect()}
+    ref = {r.feature: r.mutual_information for r in mi_discrete(wide, flags, "y").collect()}
+    assert got.keys() == ref.keys() and all(abs(got[f] - ref[f]) < 1e-15 for f in ref)
+
+
+def test_scatter_is_one_to_one_and_takes_any_id(spark):
+    from outcomelab.functions.columns import SCATTER_PRIME, scatter
+
+    ids = spark.range(0, 20000).select(scatter("id", 5).alias("u")).collect()
+    u = np.array([r.u for r in ids])
+    assert len(set(u)) == 20000 and u.min() >= 0 and u.max() < SCATTER_PRIME
+    assert abs(np.corrcoef(u[:-1], u[1:])[0, 1]) < 0.03 and abs(u.mean() / SCATTER_PRIME - 0.5) < 0.02
+    odd = spark.createDataFrame([("x1",), (None,), ("-7",)], "id string").select(scatter("id").alias("u")).collect()
+    assert all(0 <= r.u < SCATTER_PRIME for r in odd)

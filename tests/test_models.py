@@ -25,6 +25,21 @@ def test_logistic_learns_signal(spark):
     assert m["top_10_percentile"] >= m["random"]
 
 
+def test_logistic_coefficients_match_a_newton_solve(spark):
+    train, _ = _signal(spark)
+    feats = ["a.b", "c", "noise"]
+    fitted = fit_pipeline(train, feats, "y", Spec("lr", "logistic", {"maxIter": 200})).stages[-1]
+    p = train.toPandas()
+    x, y = p[feats].to_numpy(), p["y"].to_numpy(float)
+    z = np.hstack([(x - x.mean(0)) / x.std(0), np.ones((len(x), 1))])
+    w, penalty = np.zeros(4), np.diag([1.0, 1.0, 1.0, 0.0])   # C = 1, free intercept
+    for _ in range(50):
+        q = 1 / (1 + np.exp(-z @ w))
+        w -= np.linalg.solve((z * (q * (1 - q))[:, None]).T @ z + penalty, z.T @ (q - y) + penalty @ w)
+    assert np.allclose(fitted.coefficients.toArray(), w[:3], atol=1e-3)
+    assert abs(fitted.intercept - w[3]) < 1e-3
+
+
 def test_tree_and_net_fit(spark):
     train, dev = _signal(spark)
     feats = ["a.b", "c"]
