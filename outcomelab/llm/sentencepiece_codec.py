@@ -8,7 +8,9 @@ character by character; white space becomes the marker U+2581 and the dummy
 prefix belongs to no source byte.  Each output byte remembers the source
 bytes of its rule.  The pieces of the library's encoding cover the normalised
 bytes from left to right, so their lengths alone project every piece to a
-span of source bytes.
+span of source bytes.  Where a model's map is empty and white space stays, as
+with ``piece_bpe_32k``, the spans of texts without a marker of their own follow
+from the lengths directly; all other texts are aligned.
 
 Ids are the library's own: encoding runs the library on the whole text, with
 begin and end ids and no sampling, and decoding runs its ``decode``.
@@ -99,6 +101,9 @@ class Codec:
 
     def normalise(self, text: str) -> Aligned:
         src = text.encode("utf-8", "replace")
+        if not self.map.units:
+            at = np.arange(len(src))
+            return self._squeezed(src, at, at + 1)
         out, start, end, at = bytearray(), [], [], 0
         while at < len(src):
             hit = self.map.longest(src, at)
@@ -108,7 +113,9 @@ class Codec:
             start += [at] * len(hit[1])
             end += [at + hit[0]] * len(hit[1])
             at += hit[0]
-        data, s, e = bytes(out), np.array(start, np.int64), np.array(end, np.int64)
+        return self._squeezed(bytes(out), np.array(start, np.int64), np.array(end, np.int64))
+
+    def _squeezed(self, data: bytes, s: np.ndarray, e: np.ndarray) -> Aligned:
         if self.squeeze:
             b = np.frombuffer(data, np.uint8)
             space = b == 32
@@ -141,8 +148,9 @@ class Codec:
         spans = np.zeros((len(ids), 2), np.int64)
         size = len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
         spans[-1] = size
-        if len(inner) and self.plain and not (inner == self.unknown).any():
-            # identity map: every byte is its own source and a marker is one space
+        if len(inner) and self.plain and "\u2581" not in text and not (inner == self.unknown).any():
+            # identity map: every byte is its own source and a marker is one space,
+            # as no marker comes from the text itself
             stop = np.cumsum(self.source_width[inner]) - int(self.dummy)
             spans[1:-1, 1] = stop
             spans[2:-1, 0] = stop[:-1]
