@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
         for b in batches:
             take, cols = [], [[], [], [], []]
             for i, t in enumerate(b.column(1)):
-                ids = np.append(bpe.ids(t.as_py()), np.array([end_id], "<u4"))
+                ids = np.append(bpe.encode(t.as_py()), np.array([end_id], "<u4"))
                 for start in range(0, len(ids), size):
                     part = ids[start:start + size]
                     take.append(i)

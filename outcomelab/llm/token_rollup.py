@@ -47,7 +47,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, tokenizer: str, id_col:
         for b in batches:
             texts = [t.as_py() for t in b.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array([len(bpe.ids(t)) for t in texts], pa.int64()),
+                [*b.columns[:3], pa.array([len(bpe.encode(t)) for t in texts], pa.int64()),
                  pa.array([len(t.encode("utf-8", "replace")) for t in texts], pa.int64())],
                 names=["doc_id", "source", "lang", "tokens", "bytes"])
 

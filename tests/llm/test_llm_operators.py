@@ -194,6 +194,22 @@ def test_byte_bpe_equals_the_library():
         assert ours.ids(s).tolist() == lib.encode(s, add_special_tokens=False).ids
 
 
+def test_added_tokens_get_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+    lib, ours, rng = Tokenizer.from_file(BPE), ByteBpe(read_vocabulary(BPE)), random.Random(12)
+    pool = ["<|endoftext|>"] * 6 + ["<|endoftext", "|>", "<|", " ", "  ", "\n", "a", " b", "é", "'s", "12"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", ""]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randint(1, 20))) for _ in range(300)]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275] and [ours.encode(t).tolist() for t in texts] == want
+    df = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string")
+    counted = token_rollup.count_tokens(df, BPE, "v1").collect()
+    assert {r["doc_id"]: r["tokens"] for r in counted} == {i: len(w) for i, w in enumerate(want)}
+    cut = packing.pieces(df, BPE, end_id=1).collect()
+    crc = lambda w: zlib.crc32(np.array([*w, 1], "<u4").tobytes())
+    assert {r["doc_id"]: (r["crc32"], r["doc_tokens"]) for r in cut} == {i: (crc(w), len(w) + 1) for i, w in enumerate(want)}
+
+
 def test_capacity_tree_and_plan():
     rng = random.Random(1)
     tree, open_ = packing.CapacityTree(50), set()
