@@ -16,7 +16,7 @@ substrings, which depends on the window's bytes alone.  Consecutive windows
 with one anchor occurrence form a chunk of at most ``LENGTH - GRAM + 1``
 windows.  The steps:
 
-1. a narrow pass emits a row (anchor hash, content hash, place) per chunk;
+1. a narrow pass emits a row (anchor hash, content hash, document, place) per chunk;
 2. rows meet by anchor.  Copies of one chunk content are settled there: every
    occurrence but the first is repeated in full, and a content alone under its
    anchor needs nothing more.  The first occurrence of each content whose
@@ -36,6 +36,8 @@ other hashes.  Texts travel compressed.
 Defined results.  A null text counts as empty.  Null ids sort before all
 others.  Rows that share id and text are one document and get the same
 result; of rows that share only the id, the order follows a hash of the text.
+A document is known by its id and the first 128 bits of its text's SHA-256, so
+null and repeated ids are no limit on the number of different texts under them.
 Ids must be integers.  Texts shorter than ``LENGTH`` bytes lose nothing and
 hide nothing.  An empty table gives an empty result; other columns are not
 read.
@@ -60,7 +62,9 @@ SPLIT = 8_000
 HEAVY = 512
 SAMPLE_OF = 64         # one document in so many is looked at for frequent anchors
 _BASE = 0x9E3779B97F4A7C15
-_NW_BITS, _POS_BITS, _TAG_BITS = 8, 38, 16
+_NW_BITS, _POS_BITS = 8, 55
+_DOC = ["doc", "text_a", "text_b"]  # a document: its id and two longs of its text's hash
+_DOC_DDL = "doc long, text_a long, text_b long"
 
 
 class Powers:
@@ -152,9 +156,12 @@ def _changes(columns: list[np.ndarray], before: tuple | None = None) -> np.ndarr
 def _emit_chunks(length: int, gram: int):
     def run(batches):
         for b in batches:
-            docs, tags = b.column(0), b.column(1).to_numpy(zero_copy_only=False)
-            ids = docs.to_numpy(zero_copy_only=False)
-            for group in _segments([t.as_py().encode("utf-8", "replace") for t in b.column(2)], length):
+            keys = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            # documents of the batch in order of their keys; repeated rows share a rank
+            by_key = np.lexsort(keys[::-1])
+            rank = np.empty(len(by_key), np.int64)
+            rank[by_key] = np.cumsum(_changes([x[by_key] for x in keys]))
+            for group in _segments([t.as_py().encode("utf-8", "replace") for t in b.column(3)], length):
                 sizes = np.array([len(p) for _, _, p in group])
                 ends = np.cumsum(sizes)
                 data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
@@ -162,25 +169,27 @@ def _emit_chunks(length: int, gram: int):
                 part = np.searchsorted(ends, start, side="right")
                 doc = np.array([i for i, _, _ in group])[part]
                 pos = start - (ends - sizes)[part] + np.array([a for _, a, _ in group])[part]
-                place = (tags[doc].astype(np.int64) << (_POS_BITS + _NW_BITS)) | (pos << _NW_BITS) | windows
-                rows = [x.astype(np.int64) for x in (anchor, content, ids[doc], place)]
+                rows = [x.astype(np.int64) for x in (anchor, content, rank[doc], (pos << _NW_BITS) | windows)]
                 order = np.lexsort(rows[::-1])
-                rows = [x[order] for x in rows]
-                rows = [x[_changes(rows)] for x in rows]  # repeated rows of one document
+                rows, doc = [x[order] for x in rows], doc[order]
+                own = _changes(rows)  # repeated rows of one document count once
+                rows, doc = [x[own] for x in rows], doc[own]
                 copy = np.zeros(len(rows[0]), bool)  # later occurrences of a content met in this very part
                 copy[1:] = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
-                yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(copy)],
-                                                 names=["anchor", "content", "doc", "place", "copy"])
+                cols = [*rows[:2], *[x[doc] for x in keys], rows[3], copy]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols)], names=["anchor", "content", *_DOC, "place", "copy"])
     return run
 
 
 def _settle(heavy: np.ndarray):
-    """Step 2 over rows sorted by (anchor, content, doc, place): copies settled
+    """Step 2 over rows sorted by (anchor, content, document, place): copies settled
     before pass through as kind 0; of the rest, kind 0 for a chunk that repeats an earlier one in full, kind 1 for the first of its
     content under an anchor with other contents."""
+    names = ["anchor", *_DOC, "place", "kind", "contents"]
+
     def finish(rows, last):
         own = _changes(rows, last)  # repeated rows of one document count once
-        a, c, d, p = (x[own] for x in rows)
+        a, c, *doc, p = (x[own] for x in rows)
         first = _changes([a, c], last[:2] if last else None)
         group = np.cumsum(_changes([a])) - 1
         contents = np.bincount(group, first)[group] if len(a) else np.zeros(0)
@@ -188,19 +197,19 @@ def _settle(heavy: np.ndarray):
         contents = np.where(hot, SPLIT + 1, contents)
         out = ~first | (contents > 1)
         kind = first[out].astype(np.int64)
-        cols = (a[out], d[out], p[out], kind, contents[out].astype(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["anchor", "doc", "place", "kind", "contents"])
+        cols = (a[out], *[x[out] for x in doc], p[out], kind, contents[out].astype(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=names)
 
     def run(batches):
-        hold = [np.zeros(0, np.int64)] * 4
+        hold = [np.zeros(0, np.int64)] * 6
         last = None
         for b in batches:
-            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            copy = new[4].astype(bool)
+            *new, copy = [b.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            copy = copy.astype(bool)
             if copy.any():
                 zero = np.zeros(int(copy.sum()), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (new[0][copy], new[2][copy], new[3][copy], zero, zero)],
-                                                 names=["anchor", "doc", "place", "kind", "contents"])
+                done = [new[0][copy], *[x[copy] for x in new[2:]], zero, zero]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in done], names=names)
             hold = [np.concatenate((x, y[~copy])) for x, y in zip(hold, new)]
             a = hold[0]
             # rows of the last anchor wait for the rest of it, unless it is heavy
@@ -312,16 +321,16 @@ def _split_keys(s: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut_out(length: int):
-    """Step 3, first half: (doc, tag, text, chunks) -> chunk bytes by key."""
+    """Step 3, first half: (document, text, chunks) -> chunk bytes by key."""
     def run(batches):
         import zstandard
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for i in range(b.num_rows):
-                text = unpack.decompress(b.column(2)[i].as_py())
-                doc, tag = b.column(0)[i].as_py(), b.column(1)[i].as_py()
-                for c in b.column(3)[i].as_py():
+                text = unpack.decompress(b.column(3)[i].as_py())
+                doc = [b.column(k)[i].as_py() for k in range(3)]
+                for c in b.column(4)[i].as_py():
                     a, n = c["pos"], c["windows"]
                     s = text[a:a + n + length - 1]
                     parts = [(c["anchor"], 0, n)]
@@ -331,26 +340,24 @@ def _cut_out(length: int):
                         stops = [*at[1:].tolist(), n]
                         parts = [(k, x, y - x) for k, x, y in zip(more, at.tolist(), stops)]
                     for k, x, m in parts:
-                        for col, v in zip(out, (k, doc, tag, a + x, s[x:x + m + length - 1])):
+                        for col, v in zip(out, (k, *doc, a + x, s[x:x + m + length - 1])):
                             col.append(v)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            types = [pa.int64()] * 5 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             names=["key", "doc", "tag", "pos", "bytes"])
+                                             names=["key", *_DOC, "pos", "bytes"])
     return run
 
 
 def _transform(length: int):
     """Step 3, second half, over rows sorted by key: whole keys are gathered
-    to blocks of about BLOCK bytes; (doc, tag, pos, windows) of repeats."""
+    to blocks of about BLOCK bytes; (document, pos, windows) of repeats."""
     def decide(rows):
-        rows = sorted({r[1:4]: r for r in rows}.values(), key=lambda r: r[1:4])
+        rows = sorted({r[1:5]: r for r in rows}.values(), key=lambda r: r[1:5])
         out = []
-        for (_, doc, tag, pos, _), again in zip(rows, repeated_windows([r[4] for r in rows], length)):
-            out += [(doc, tag, pos + a, n) for a, n in _runs(again)]
-        cols = list(zip(*out)) if out else [()] * 4
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                          names=["doc", "tag", "pos", "windows"])
+        for (_, *doc, pos, _), again in zip(rows, repeated_windows([r[5] for r in rows], length)):
+            out += [(*doc, pos + a, n) for a, n in _runs(again)]
+        cols = list(zip(*out)) if out else [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[*_DOC, "pos", "windows"])
 
     def run(batches):
         block, size, one, one_size, key = [], 0, [], 0, None
@@ -365,7 +372,7 @@ def _transform(length: int):
                             block, size = [], 0
                     one, one_size, key = [], 0, row[0]
                 one.append(row)
-                one_size += len(row[4]) + 1
+                one_size += len(row[5]) + 1
         block += one if len(one) > 1 else []
         if block:
             yield decide(block)
@@ -400,22 +407,22 @@ def _finish(length: int, id_col: str, id_ddl: str):
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(id, doc, tag, packed): texts compressed for the way to their spans."""
+    """(id, document, packed): texts compressed for the way to their spans."""
     def run(batches):
         import zstandard
         pack = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            z = [pack.compress(t.as_py().encode("utf-8", "replace")) for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(z, pa.binary())], names=["id", "doc", "tag", "packed"])
+            z = [pack.compress(t.as_py().encode("utf-8", "replace")) for t in b.column(4)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(z, pa.binary())], names=["id", *_DOC, "packed"])
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "doc", "tag", "text").mapInArrow(run, f"id {kind}, doc long, tag int, packed binary")
+    return docs.select("id", *_DOC, "text").mapInArrow(run, f"id {kind}, {_DOC_DDL}, packed binary")
 
 
 def _heavy_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     """Anchors that hold more than 1/(8P) of a sample's chunks (P: shuffle
     partitions), at most HEAVY: a hint for dealing rows only."""
-    sample = docs.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(SAMPLE_OF)) == 0)
-    counts = (sample.select("doc", "tag", "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW).where("NOT copy")
+    sample = docs.where(F.pmod(F.xxhash64(*_DOC), F.lit(SAMPLE_OF)) == 0)
+    counts = (sample.select(*_DOC, "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW).where("NOT copy")
               .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n").alias("total"))
     top = (counts.crossJoin(F.broadcast(total)).where((F.col("n") * 8 * partitions(docs) > F.col("total")) & (F.col("n") > 32))
@@ -423,46 +430,51 @@ def _heavy_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     return np.array(sorted(r["anchor"] for r in top), np.int64)
 
 
-_CHUNK_ROW = "anchor long, content long, doc long, place long, copy boolean"
+_CHUNK_ROW = f"anchor long, content long, {_DOC_DDL}, place long, copy boolean"
 
 
 def _bits(place: Column, skip: int, width: int) -> Column:
     return F.shiftrightunsigned(place, skip).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
+def _half(digest: Column, start: int) -> Column:
+    """16 hexadecimal digits as a long."""
+    return F.conv(F.substring(digest, start, 16), 16, -10).cast("long")
+
+
 def remove_repeats(table: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256."""
     text = text_or_empty(text_col)
     docs = table.select(F.col(id_col).alias("id"),
                         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc"),
-                        F.pmod(F.xxhash64(text), F.lit(1 << _TAG_BITS)).cast("int").alias("tag"), text.alias("text"))
+                        _half(F.sha2(text, 256), 1).alias("text_a"), _half(F.sha2(text, 256), 17).alias("text_b"),
+                        text.alias("text"))
     heavy = _heavy_anchors(docs, length, gram)
     n = partitions(table)
-    rows = docs.select("doc", "tag", "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW)
-    deal = F.when(F.col("copy"), F.xxhash64("doc", "place"))
+    rows = docs.select(*_DOC, "text").mapInArrow(_emit_chunks(length, gram), _CHUNK_ROW)
+    deal = F.when(F.col("copy"), F.xxhash64(*_DOC, "place"))
     if len(heavy):
         deal = deal.when(F.col("anchor").isin(heavy.tolist()), F.xxhash64("anchor", "content"))
     deal = deal.otherwise(F.col("anchor"))
     settled = materialize(
         rows.withColumn("deal", deal).repartition(n, "deal").drop("deal")
-        .sortWithinPartitions("anchor", "content", "doc", "place")
-        .mapInArrow(_settle(heavy), "anchor long, doc long, place long, kind long, contents long"), "chunks")
+        .sortWithinPartitions("anchor", "content", *_DOC, "place")
+        .mapInArrow(_settle(heavy), f"anchor long, {_DOC_DDL}, place long, kind long, contents long"), "chunks")
     place = F.col("place")
-    settled = settled.select("anchor", "doc", "kind", "contents",
-                             _bits(place, _POS_BITS + _NW_BITS, _TAG_BITS).cast("int").alias("tag"),
+    settled = settled.select("anchor", *_DOC, "kind", "contents",
                              _bits(place, _NW_BITS, _POS_BITS).alias("pos"), _bits(place, 0, _NW_BITS).alias("windows"))
     packed = _packed(docs)
-    asked = settled.where("kind = 1").groupBy("doc", "tag").agg(
+    asked = settled.where("kind = 1").groupBy(*_DOC).agg(
         F.collect_set(F.struct("anchor", "pos", "windows", "contents")).alias("chunks"))
-    cut = packed.join(asked, ["doc", "tag"]).select(
-        "doc", "tag", "packed", "chunks").mapInArrow(
-        _cut_out(length), "key long, doc long, tag int, pos long, bytes binary")
+    cut = packed.join(asked, _DOC).select(
+        *_DOC, "packed", "chunks").mapInArrow(
+        _cut_out(length), f"key long, {_DOC_DDL}, pos long, bytes binary")
     again = materialize(cut.repartition(n, "key").sortWithinPartitions("key").mapInArrow(
-        _transform(length), "doc long, tag int, pos long, windows long"), "repeats")
-    every = settled.where("kind = 0").select("doc", "tag", "pos", "windows").unionByName(again)
-    spans = every.groupBy("doc", "tag").agg(F.collect_set(F.struct("pos", "windows")).alias("spans"))
+        _transform(length), f"{_DOC_DDL}, pos long, windows long"), "repeats")
+    every = settled.where("kind = 0").select(*_DOC, "pos", "windows").unionByName(again)
+    spans = every.groupBy(*_DOC).agg(F.collect_set(F.struct("pos", "windows")).alias("spans"))
     id_ddl = docs.schema["id"].dataType.simpleString()
-    return packed.join(spans, ["doc", "tag"], "left").select("id", "packed", "spans").mapInArrow(
+    return packed.join(spans, _DOC, "left").select("id", "packed", "spans").mapInArrow(
         _finish(length, id_col, id_ddl),
         f"`{id_col}` {id_ddl}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

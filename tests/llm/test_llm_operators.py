@@ -279,6 +279,31 @@ def test_repeated_spans(docs, empty, monkeypatch, split):
     assert repeated_spans.remove_repeats(empty).count() == 0
 
 
+def test_repeated_spans_of_many_texts_under_one_id(spark):
+    """Texts under null and repeated ids, among them one pair for each id whose
+    64-bit hashes agree in their low 16 bits."""
+    import xxhash
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows, alike = [], {}
+    for i in (None, 7):
+        seen = {}
+        while i not in alike:
+            half = word(150)
+            t = half + word(40) + half  # repeats within itself
+            tag = xxhash.xxh64_intdigest(t.encode(), 42) & 0xFFFF
+            if tag in seen:
+                alike[i] = (seen[tag], t)
+            seen[tag] = t
+        rows += [(i, t) for t in [*alike[i], *list(seen.values())[:200]]]
+    plain = word(340)
+    rows += [(None, plain), (8, plain)]
+    got = repeated_spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(i, 340, 150, 1, _hex(t[:190])) for i, t in rows[:-2]] + [(None, 340, 0, 0, _hex(plain)), (8, 340, 340, 1, _hex(""))]
+    key = lambda r: (r[0] is None, *map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
 def test_embedding_graph(spark):
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(30, 16))
