@@ -6,8 +6,10 @@ of its output, the span of source characters that the character came from:
 
 1. homoglyphs: full-width, mathematical, Greek and Cyrillic look-alikes and
    decimal digits of other scripts become their ASCII characters;
-2. at/dot disguises: ``(at)``, ``[dot]`` and ``name at host dot tld`` become
-   ``@`` and ``.``;
+2. at/dot disguises, each rewritten for itself, so forms may be mixed:
+   ``(at)``, ``[@]``, ``[dot]``, ``[.]`` and `` dot `` between words become
+   ``@`` and ``.``; `` at `` does so before a host with a disguised dot (before
+   a plain host name it is ordinary prose);
 3. spelled digits: runs of three or more spelled-out digits become digits.
 
 The detectors run again on the result, and each identifier is mapped back to
@@ -89,11 +91,12 @@ class Detector:
         self.digit_of = {w: str(i) for i, w in enumerate(_DIGITS)} | {"oh": "0"}
         self.spelled = re.compile(rf"\b(?:plus[ -])?(?:{word})(?:[ -](?:{word}))(?:[ -](?:{word}))+\b", re.I)
         self.spelled_word = re.compile(rf"plus|{word}", re.I)
-        self.bracket = re.compile(r" ?[\[({<] ?(at|dot) ?[\])}>] ?", re.I)
-        self.phrase = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++( at )[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+", re.I)
-        self.phrase_dot = re.compile(r" dot ", re.I)
+        self.bracket = re.compile(r" ?[\[({<] ?(at|dot|[@.]) ?[\])}>] ?", re.I)
+        dot = r"(?: dot | ?[\[({<] ?(?:dot|\.) ?[\])}>] ?)"
+        self.word_dot = re.compile(r"(?<=[A-Za-z0-9_%+-]) dot (?=[A-Za-z0-9_%+-])", re.I)
+        self.word_at = re.compile(rf"(?<=[A-Za-z0-9._%+-]) at (?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+{dot}[A-Za-z0-9-])", re.I)
         # hints over lower-cased text: necessary conditions that scan fast
-        self.hint = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]").search
+        self.hint = re.compile(r"[\[({<] ?(?:at|dot|[@.]) ?[\])}>]").search
         self.hint_digits = re.compile(rf"(?:{word})[ -](?:{word})[ -](?:{word})").search
 
     def emails(self, text: str) -> Iterator[tuple[int, int]]:
@@ -135,11 +138,10 @@ class Detector:
         """Rewrites of at/dot disguises and spelled digits: (start, end, output)."""
         out, low = [], text.lower()
         if " dot " in low or self.hint(low):
-            out += [(m.start(), m.end(), "@" if m.group(1).lower() == "at" else ".")
+            out += [(m.start(), m.end(), "@" if m.group(1).lower() in ("at", "@") else ".")
                     for m in self.bracket.finditer(text)]
-            for m in self.phrase.finditer(text):
-                out.append((*m.span(1), "@"))
-                out += [(d.start(), d.end(), ".") for d in self.phrase_dot.finditer(text, m.end(1), m.end())]
+            out += [(m.start(), m.end(), ".") for m in self.word_dot.finditer(text)]
+            out += [(m.start(), m.end(), "@") for m in self.word_at.finditer(text)]
         if self.hint_digits(low):
             for m in self.spelled.finditer(text):
                 words = self.spelled_word.findall(m.group().lower())

@@ -119,6 +119,27 @@ def test_pii_base_and_added(spark, docs, empty):
     assert long.spans("a" * 200_000 + "1" * 200_000 + "+" * 1000) == []
 
 
+@pytest.mark.parametrize("kind, form", [
+    ("email", "ann (at) host dot org"), ("email", "ann at host [dot] org"), ("email", "ann [@] host [.] org"),
+    ("email", "ann[@]host.org"), ("email", "ann@host dot org"), ("email", "Ann AT mail.host DOT co dot uk"),
+    ("email", "john dot smith at host dot org"), ("email", "john [dot] smith at host dot org"),
+    ("email", "john.smith {at} host(.)org"), ("ip", "192 dot 168 dot 1 dot 10"), ("ip", "10[.]0[.]0[.]1"),
+    ("ip", "10 (dot) 0 dot 0[.]1")])
+def test_pii_mixed_disguises(kind, form):
+    text = f"write: {form}, thanks"
+    d = pii.Detector()
+    base = d.spans(text)
+    assert [(pii.KINDS[k], text[a:b]) for a, k, b in base + d.added(text, base)] == [(kind, form)]
+    assert pii.mask(text, d.added(text, base)) == f"write: [{kind.upper()}], thanks"
+
+
+def test_pii_leaves_prose_and_long_runs():
+    d = pii.Detector()
+    for text in ("look at www.example.org and a dot on the map", "the dot (.) and the sign [@] stand alone",
+                 "x at " * 50_000 + "a." * 50_000, "a dot " * 50_000, "[.]" * 50_000, " at a" * 50_000):
+        assert d.spans(text) == d.added(text, []) == []
+
+
 def test_sentencepiece_round_trip_and_spans(docs, empty):
     import sentencepiece as spm
     lib = spm.SentencePieceProcessor(model_file=PIECES)
