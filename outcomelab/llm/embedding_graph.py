@@ -8,9 +8,12 @@ adjacency lists of all shards are united per vector.  Every vector is then
 searched for in its shards: greedy beam search from the shard's medoids, and,
 once the beam stands still, expansion of everything within the range until
 nothing within it is left unexpanded.  Found pairs are verified by their
-cosine in double precision.  A bounded sample of vectors is compared with all
-vectors by brute force; while recall is below ``RECALL``, the search is made
-wider (more shards per vector and a longer beam).
+cosine in double precision.  Vectors drawn by hash are compared with all
+vectors by brute force, in blocks of about ``AUDIT``, until ``AUDIT_PAIRS`` true
+pairs are known or every vector was drawn.  While recall over these pairs is
+below ``RECALL``, the search is made wider (more shards per vector and a longer
+beam); after the widest one the remaining vectors are compared too, so the
+links are exact.  The measured recall is logged.
 
 Bounds.  Equal vectors are one node, so a vector that a third of all rows
 share is searched once.  Centres are fitted on at most ``SAMPLE`` vectors and
@@ -29,6 +32,7 @@ extra columns are not read.
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -50,8 +54,13 @@ ALPHA = 1.2
 BEAM = 24
 MEDOIDS = 16
 AUDIT = 256
+AUDIT_PAIRS = 200
+AUDIT_BLOCKS = 4       # blocks compared in one pass at most: bounds what is broadcast
+WIDEST = 12
 RECALL = 0.97
 
+_log = logging.getLogger(__name__)
+
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -244,11 +253,13 @@ def find_pairs(nodes: DataFrame, count: int, threshold: float, overlap: int, bea
     return found.distinct()
 
 
-def audit(nodes: DataFrame, threshold: float, queries: int = AUDIT) -> DataFrame:
-    """All true pairs (a, b), a < b, of a sample of nodes, by brute force over
-    every node; ``queries`` bounds what is broadcast."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(queries).select("node", "vec").toPandas()
-    ids, raw = sample["node"].to_numpy(), _stack(sample["vec"])
+def audit(nodes: DataFrame, threshold: float, first: int, stop: int, blocks: int) -> DataFrame:
+    """All true pairs (a, b), a < b, of the vectors in blocks ``first`` to
+    ``stop`` of ``blocks``, by brute force over every node."""
+    block = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(blocks))
+    drawn = nodes.where((block >= first) & (block < stop)).select("node", "vec").toPandas()
+    ids = drawn["node"].to_numpy(np.int64)
+    raw = _stack(drawn["vec"]) if len(drawn) else np.zeros((0, 1))
     size = np.sqrt((raw * raw).sum(1))
 
     def run(batches):
@@ -256,13 +267,49 @@ def audit(nodes: DataFrame, threshold: float, queries: int = AUDIT) -> DataFrame
             if not len(pdf):
                 continue
             y, other = _stack(pdf["vec"]), pdf["node"].to_numpy()
-            cos = (raw @ y.T) / (size[:, None] * np.sqrt((y * y).sum(1))[None, :])
-            i, j = np.nonzero((cos >= threshold) & (ids[:, None] != other[None, :]))
-            yield pd.DataFrame({"a": np.minimum(ids[i], other[j]), "b": np.maximum(ids[i], other[j])})
+            length = np.sqrt((y * y).sum(1))
+            for at in range(0, len(ids), AUDIT):
+                own = ids[at:at + AUDIT]
+                cos = (raw[at:at + AUDIT] @ y.T) / (size[at:at + AUDIT, None] * length[None, :])
+                i, j = np.nonzero((cos >= threshold) & (own[:, None] != other[None, :]))
+                yield pd.DataFrame({"a": np.minimum(own[i], other[j]), "b": np.maximum(own[i], other[j])})
 
     return nodes.select("node", "vec").mapInPandas(run, "a long, b long").distinct()
 
 
+def verified_pairs(nodes: DataFrame, count: int, threshold: float) -> tuple[DataFrame, float]:
+    """(pairs (a, b) with a < b, recall over the audited pairs), the recall at
+    least ``RECALL`` and 1.0 where every vector was compared with every other."""
+    blocks, drawn, wanted, truth = math.ceil(count / AUDIT), 0, 0, None
+
+    def draw(width: int) -> None:
+        nonlocal drawn, wanted, truth
+        stop = min(blocks, drawn + width)
+        new = audit(nodes, threshold, drawn, stop, blocks)
+        truth = materialize(new if truth is None else truth.unionByName(new).distinct(), "audit")
+        drawn, wanted = stop, truth.count()
+
+    while drawn < blocks and wanted < AUDIT_PAIRS:
+        draw(min(AUDIT_BLOCKS, max(1, drawn)))
+    overlap, beam, pairs, recall = OVERLAP, BEAM, truth, 1.0
+    searched = None
+    while drawn < blocks:
+        got = find_pairs(nodes, count, threshold, overlap, beam)
+        searched = materialize(got if searched is None else searched.unionByName(got).distinct(), "pairs")
+        recall = truth.join(searched, ["a", "b"], "left_semi").count() / wanted
+        if recall >= RECALL:
+            pairs = materialize(searched.unionByName(truth).distinct(), "links")
+            break
+        if overlap >= WIDEST:
+            _log.warning("recall %.4f of the widest search is below %.2f: comparing all vectors", recall, RECALL)
+            while drawn < blocks:
+                draw(AUDIT_BLOCKS)
+            pairs, recall = truth, 1.0
+        overlap, beam = 2 * overlap, 2 * beam
+    _log.info("recall %.4f over %d true pairs of %d of %d blocks", recall, wanted, drawn, blocks)
+    return pairs, recall
+
+
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept."""
@@ -275,19 +322,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     nodes = materialize(equal.select(F.monotonically_increasing_id().alias("node"), "vec", "least", "copies"), "vectors")
     by_size = nodes.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d")
     main = by_size.limit(1).collect()
-    pairs = None
     if main and main[0]["n"] > 1:
         searched, count = nodes.where(F.size("vec") == main[0]["d"]), main[0]["n"]
-        truth = materialize(audit(searched, threshold), "audit")
-        overlap, beam, wanted = OVERLAP, BEAM, truth.count()
-        while True:
-            got = find_pairs(searched, count, threshold, overlap, beam)
-            pairs = materialize(got if pairs is None else pairs.unionByName(got).distinct(), "pairs")
-            hits = truth.join(pairs, ["a", "b"], "left_semi").count()
-            if hits >= RECALL * wanted or overlap >= 12:
-                break
-            overlap, beam = 2 * overlap, 2 * beam
-        pairs = materialize(pairs.unionByName(truth).distinct(), "links")
+        pairs, _ = verified_pairs(searched, count, threshold)
         both = pairs.union(pairs.select("b", "a"))
         other = nodes.select(F.col("node").alias("b"), "copies")
         degree = both.join(other, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("linked"))
