@@ -102,7 +102,7 @@ def plan(histogram: dict[int, int], size: int = WINDOW) -> tuple[list[tuple[int,
 
 def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
            size: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """(id, start, length, crc32, doc_tokens): each document's ids cut into
+    """(id, start, length, ids_crc32, doc_tokens): each document's ids cut into
     full windows and a rest."""
     vocabulary = read_vocabulary(vocabulary_path)
 
@@ -119,10 +119,10 @@ def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
                         c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(take, pa.int64())), *[pa.array(c, pa.int64()) for c in cols]],
-                names=[id_col, "start", "length", "crc32", "doc_tokens"])
+                names=[id_col, "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(id_col, text_or_empty(text_col).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {id_type(docs, id_col)}, start long, length long, crc32 long, doc_tokens long")
+        run, f"`{id_col}` {id_type(docs, id_col)}, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def assign(cut: DataFrame, id_col: str = "doc_id", size: int = WINDOW) -> DataFrame:
@@ -130,11 +130,11 @@ def assign(cut: DataFrame, id_col: str = "doc_id", size: int = WINDOW) -> DataFr
     by salted counts: (length, salt) groups numbered inside, their first
     ranks from the small table of group sizes."""
     salts = partitions(cut)
-    salted = cut.withColumn("__salt", F.pmod(F.xxhash64(id_col, "start", "crc32"), F.lit(salts)))
+    salted = cut.withColumn("__salt", F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(salts)))
     sizes = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy("length").orderBy("__salt").rowsBetween(W.unboundedPreceding, -1)
     firsts = sizes.select("length", "__salt", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    inside = F.row_number().over(W.partitionBy("length", "__salt").orderBy(id_col, "start", "crc32"))
+    inside = F.row_number().over(W.partitionBy("length", "__salt").orderBy(id_col, "start", "ids_crc32"))
     ranked = (salted.withColumn("__i", inside).join(firsts, ["length", "__salt"])
               .withColumn("__rank", F.col("__first") + F.col("__i") - 1).drop("__first", "__i", "__salt"))
     histogram = {r["length"]: r["n"] for r in
@@ -161,7 +161,7 @@ def assign(cut: DataFrame, id_col: str = "doc_id", size: int = WINDOW) -> DataFr
 
 def pack(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
          size: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: id, start, length, crc32, doc_tokens, sequence_id,
+    """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset."""
     cut = materialize(pieces(docs, vocabulary_path, id_col, text_col, size, end_id), "pieces")
     return assign(cut, id_col, size)

@@ -228,7 +228,7 @@ def test_added_tokens_get_the_ids_of_the_library(spark):
     assert {r["doc_id"]: r["tokens"] for r in counted} == {i: len(w) for i, w in enumerate(want)}
     cut = packing.pieces(df, BPE, end_id=1).collect()
     crc = lambda w: zlib.crc32(np.array([*w, 1], "<u4").tobytes())
-    assert {r["doc_id"]: (r["crc32"], r["doc_tokens"]) for r in cut} == {i: (crc(w), len(w) + 1) for i, w in enumerate(want)}
+    assert {r["doc_id"]: (r["ids_crc32"], r["doc_tokens"]) for r in cut} == {i: (crc(w), len(w) + 1) for i, w in enumerate(want)}
 
 
 def test_capacity_tree_and_plan():
@@ -260,7 +260,7 @@ def test_packing(docs, empty):
     for i, t in _rows(docs):
         ids = np.append(bpe.ids(t), np.array([1], "<u4"))
         want += [(str(i), s, len(ids[s:s + 64]), zlib.crc32(ids[s:s + 64].tobytes()), len(ids)) for s in range(0, len(ids), 64)]
-    assert sorted((str(r["doc_id"]), r["start"], r["length"], r["crc32"], r["doc_tokens"]) for r in got) == sorted(want)
+    assert sorted((str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == sorted(want)
     assert packing.pack(empty, BPE).count() == 0
 
 
