@@ -9,12 +9,16 @@ on the scored dev rows, joined to their labels by id.
 Configuration notes (library differences, recorded in the ledger):
 * logistic regression: L2 with regParam = 1/n_train and no internal
   standardisation equals the usual C = 1 penalty on a summed log-loss;
-* tree ensembles: a parent-node minimum of 500 rows is mapped to
-  ``minInstancesPerNode = 250`` (MLlib limits children, not parents);
-* boosting: depth 3, step 0.1, early stopping on a 10 % validation flag taken
-  from a hash of the id;
+* tree ensembles: no node of fewer than 500 rows is split.  MLlib limits
+  children, not the split node, so forests are folded after the fit and boosting
+  folds each round's tree (:mod:`outcomelab.plans.trees`);
+* boosting: depth 3, step 0.1, up to 250 or 1000 rounds; ends when the loss on a
+  10 % validation flag, taken from a hash of the id, is no better than any of
+  the four rounds before;
 * feed-forward nets: MLlib's sigmoid/L-BFGS perceptron with the same hidden
-  layer sizes and 100 iterations (no weight penalty or early stopping).
+  layer sizes, trained in warm-started segments of iterations up to 100 in all;
+  ends when the accuracy on the validation rows has not risen for more than
+  one segment, and keeps the best segment's weights (no weight penalty).
 """
 
 from __future__ import annotations
@@ -23,9 +27,8 @@ import datetime as _dt
 import math
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -34,8 +37,13 @@ from pyspark.sql import functions as F
 
 from outcomelab.functions.columns import qcol
 from outcomelab.operators.evaluate import roc_auc, top_fraction_precision
+from outcomelab.plans.trees import fit_boosted, fold_forest
+from outcomelab.session import materialize
 
 SEED = 0
+NET_SEGMENT = 10     # solver iterations between two looks at the validation rows
+NET_PATIENCE = 1
+NET_TOLERANCE = 1e-4
 
 
 @dataclass
@@ -84,26 +92,70 @@ def standardize_apply(df: DataFrame, stats: DataFrame, columns: list[str]) -> Da
     return joined.select(*out)
 
 
-def _estimator(spec: Spec, n_features: int, n_train: int, label: str):
+def _net(rows: DataFrame, n_features: int, hidden: list[int], iterations: int, segment: int = NET_SEGMENT,
+         patience: int = NET_PATIENCE, tolerance: float = NET_TOLERANCE):
+    """(model, notes).  The net is trained ``segment`` iterations at a time, each
+    time from the weights reached, and scored on the validation rows in
+    between.  More than ``patience`` segments in a row without a better accuracy end
+    the training; the best segment's weights are the model."""
+    train, held = rows.where(~F.col("_valid")), rows.where("_valid")
+    layers = [n_features, *hidden, 2]
+    best, best_model, curve, still, weights, done = -math.inf, None, [], 0, None, 0
+    while done < iterations:
+        step = min(segment, iterations - done)
+        net = MultilayerPerceptronClassifier(layers=layers, maxIter=step, seed=SEED, featuresCol="_scaled", labelCol="_label",
+                                             **({} if weights is None else {"initialWeights": weights}))
+        model = net.fit(train)
+        weights, done = model.weights, done + step
+        hits = model.transform(held).agg(F.avg((F.col("prediction") == F.col("_label")).cast("double"))).first()[0]
+        if hits is None:   # no validation rows: nothing to stop by
+            best_model = model
+            continue
+        curve.append(hits)
+        still = still + 1 if hits < best + tolerance else 0
+        if hits > best:
+            best, best_model = hits, model
+        if still > patience:
+            break
+    return best_model, {"stop_step": done, "best_step": segment * (curve.index(best) + 1) if curve else done,
+                        "validation_curve": curve, "stopped_early": done < iterations}
+
+
+def _classifier(rows: DataFrame, spec: Spec, names: list[str], n_train: int, min_split: int):
+    """(fitted classifier, notes for the ledger) on prepared rows."""
     p = spec.params
     common = dict(featuresCol="_scaled", labelCol="_label")
     if spec.kind == "logistic":
-        return LogisticRegression(maxIter=p.get("maxIter", 100), regParam=1.0 / max(n_train, 1),
-                                  elasticNetParam=0.0, standardization=False, **common)
+        return LogisticRegression(maxIter=p.get("maxIter", 100), regParam=p.get("penalty", 1.0) / max(n_train, 1),
+                                  elasticNetParam=0.0, standardization=False, tol=p.get("tol", 1e-6), **common).fit(rows), {}
     if spec.kind == "gbt":
-        return GBTClassifier(maxIter=p["maxIter"], maxDepth=3, stepSize=0.1,
-                             minInstancesPerNode=MIN_SPLIT // 2, validationIndicatorCol="_valid",
-                             validationTol=1e-4, seed=SEED, **common)
+        model = fit_boosted(rows, names, p["maxIter"], min_split, seed=SEED, **{k: p[k] for k in ("patience",) if k in p})
+        return model, {"rounds": model.rounds, "stopped_early": model.stopped, "validation_curve": model.losses}
     if spec.kind == "rf":
-        return RandomForestClassifier(numTrees=p["numTrees"], maxDepth=p["maxDepth"],
-                                      minInstancesPerNode=MIN_SPLIT // 2, featureSubsetStrategy="sqrt",
-                                      seed=SEED, **common)
+        grown = RandomForestClassifier(numTrees=p["numTrees"], maxDepth=p["maxDepth"], minInstancesPerNode=1,
+                                       featureSubsetStrategy="sqrt", seed=SEED, **common).fit(rows)
+        return fold_forest(rows.sparkSession, grown, min_split), {"min_split": min_split}
     if spec.kind == "mlp":
-        return MultilayerPerceptronClassifier(layers=[n_features, *p["hidden"], 2], maxIter=p["maxIter"],
-                                              seed=SEED, **common)
+        return _net(rows, len(names), p["hidden"], p["maxIter"], p.get("segment", NET_SEGMENT))
     raise ValueError(f"unknown classifier kind {spec.kind!r}")
 
 
+@dataclass
+class Fitted:
+    """The preparing stages, the classifier on top and what the ledger notes
+    about the fit (rounds, stop step, validation curve)."""
+    prepared: PipelineModel
+    classifier: object
+    notes: dict = field(default_factory=dict)
+
+    @property
+    def stages(self) -> list:
+        return [*self.prepared.stages, self.classifier]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifier.transform(self.prepared.transform(df))
+
+
 def _prepared(df: DataFrame, features: list[str], label: str, id_col: str) -> DataFrame:
     """Positional feature names f0..fn (assemblers dislike dots), a double
     label and a stable 10 % validation flag."""
@@ -112,18 +164,23 @@ def _prepared(df: DataFrame, features: list[str], label: str, id_col: str) -> Da
                      (F.abs(F.xxhash64(F.lit(SEED), F.col(id_col))) % 10 == 0).alias("_valid"))
 
 
-def fit_pipeline(train: DataFrame, features: list[str], label: str, spec: Spec, id_col: str = "id"):
-    """Fit assembler + scaler + classifier on the train rows."""
-    data = _prepared(train, features, label, id_col)
+def fit_pipeline(train: DataFrame, features: list[str], label: str, spec: Spec, id_col: str = "id",
+                 min_split: int = MIN_SPLIT) -> Fitted:
+    """Fit assembler + scaler + classifier on the train rows (O76).  The
+    prepared rows are written once: the count, the scaler, every pass of the
+    solver and the looks at the validation rows read that table."""
+    data = materialize(_prepared(train, features, label, id_col), "prepared")
     n = data.count()
     names = [f"f{i}" for i in range(len(features))]
     # the scaler divides by the n-1 deviation; the factor makes it the population one
     factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     stages = [VectorAssembler(inputCols=names, outputCol="_vec", handleInvalid="error"),
               StandardScaler(inputCol="_vec", outputCol="_std", withMean=True, withStd=True),
-              ElementwiseProduct(inputCol="_std", outputCol="_scaled", scalingVec=Vectors.dense([factor] * len(names))),
-              _estimator(spec, len(features), n, label)]
-    return Pipeline(stages=stages).fit(data)
+              ElementwiseProduct(inputCol="_std", outputCol="_scaled", scalingVec=Vectors.dense([factor] * len(names)))]
+    prepared = Pipeline(stages=stages).fit(data)
+    rows = data if spec.kind == "gbt" else prepared.transform(data)   # trees of a round read the columns themselves
+    classifier, notes = _classifier(rows, spec, names, n, min_split)
+    return Fitted(prepared, classifier, notes)
 
 
 def score(model, df: DataFrame, features: list[str], label: str, id_col: str = "id",
@@ -142,16 +199,16 @@ def evaluate(scored: DataFrame, label: str, score_col: str = "prediction", id_co
     return {"test_roc_auc": auc, **top}
 
 
-def params_of(model) -> dict[str, str]:
-    """Parameters of the fitted classifier as text."""
-    est = model.stages[-1]
-    return {p.name: str(v) for p, v in est.extractParamMap().items()}
+def params_of(model: Fitted) -> dict[str, str]:
+    """Parameters of the fitted classifier and the notes of its fit as text."""
+    return ({p.name: str(v) for p, v in model.classifier.extractParamMap().items()}
+            | {k: str(v) for k, v in model.notes.items()})
 
 
-def experiment(train: DataFrame, dev: DataFrame, features: list[str], label: str, spec: Spec,
-               entities: list[str], id_col: str = "id") -> dict:
-    """Fit, score and evaluate one configuration; a failure is recorded in
-    the row instead of raised (O78)."""
+def attempt(train: DataFrame, dev: DataFrame, features: list[str], label: str, spec: Spec,
+            entities: list[str], id_col: str = "id") -> tuple[dict, DataFrame | None]:
+    """(ledger row without metrics, scored dev rows) of one configuration; a
+    failure is recorded in the row instead of raised (O78), without scores."""
     row = {"classifier": spec.name, "entities": list(entities), "label": label,
            "features": list(features), "timestamp": _dt.datetime.now(),
            "test_roc_auc": None, "top_10_percentile": None, "top_20_percentile": None,
@@ -159,9 +216,22 @@ def experiment(train: DataFrame, dev: DataFrame, features: list[str], label: str
            "parameters": {}, "error": None}
     try:
         model = fit_pipeline(train, features, label, spec, id_col)
-        row.update(evaluate(score(model, dev, features, label, id_col), label, "prediction", id_col))
+        scored = score(model, dev, features, label, id_col)
         row["parameters"] = params_of(model)
         row["classifier_pipeline"] = str(model.stages[-1])
+        return row, scored
     except Exception as e:  # noqa: BLE001 - reported and skipped, like the sweep it mirrors
         row["error"] = f"{type(e).__name__}: {e}"
+        return row, None
+
+
+def experiment(train: DataFrame, dev: DataFrame, features: list[str], label: str, spec: Spec,
+               entities: list[str], id_col: str = "id") -> dict:
+    """:func:`attempt` with its metrics: one ledger row."""
+    row, scored = attempt(train, dev, features, label, spec, entities, id_col)
+    if scored is not None:
+        try:
+            row.update(evaluate(scored, label, "prediction", id_col))
+        except Exception as e:  # noqa: BLE001 - scoring is lazy, so it fails here
+            row["error"] = f"{type(e).__name__}: {e}"
     return row

@@ -9,6 +9,9 @@ against the main label, reused for every label.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -17,13 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outcomelab.functions.columns import product_of
-from outcomelab.operators.evaluate import roc_auc, top_fraction_precision
+from outcomelab.operators.evaluate import grouped_metrics, roc_auc, top_fraction_precision
 from outcomelab.plans import features as FT
 from outcomelab.plans.dataset import train_test
-from outcomelab.plans.models import CLASSIFIERS, Spec, experiment, fit_pipeline, score
+from outcomelab.plans.models import CLASSIFIERS, MIN_SPLIT, SEED, Spec, attempt, fit_pipeline, score
 from outcomelab.plans.prepare import Study
 from outcomelab.plans.ranking import feature_set_ranking, top_k
-from outcomelab.session import materialize
+from outcomelab.session import ensure_checkpoint_dir, materialize
+from outcomelab.sources.store import ResultStore
 
 # The ledger's column names are part of the result's schema.
 LEDGER_SCHEMA = T.StructType([
@@ -91,26 +95,95 @@ def ledger_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
                                  LEDGER_SCHEMA)
 
 
+METRICS = ["test_roc_auc", "top_10_percentile", "top_20_percentile", "top_30_percentile", "random"]
+
+
+class Ledger:
+    """The durable record of a sweep.
+
+    Every fit is one commit: its scored dev rows and then its ledger row,
+    under the hash of all that decides its result (label, configuration,
+    features, seed, split limit).  A sweep that starts again on the same folder finds
+    what is committed and fits only the rest.  Metrics are not stored: they
+    come from the score rows of all fits, rated together in one pass."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, id_col: str = "id"):
+        self.spark, self.id_col = spark, id_col
+        root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgers/{uuid.uuid4().hex}"
+        self.root = root
+        self.rows = ResultStore(spark, f"{root}/fits", ["entry"])
+        self.scores = ResultStore(spark, f"{root}/scores", ["entry"])
+
+    @staticmethod
+    def entry(label: str, spec: Spec, features: list[str], entities) -> str:
+        decides = [label, spec.name, spec.kind, spec.params, list(features), list(entities), SEED, MIN_SPLIT]
+        return hashlib.sha256(json.dumps(decides, sort_keys=True).encode()).hexdigest()[:32]
+
+    def committed(self, retry_failed: bool = False) -> set[str]:
+        """Entries that need no fit: those recorded, without failed ones if
+        these are to be tried again.  One entry per label and configuration."""
+        rows = self.rows.read()
+        if rows is None:
+            return set()
+        if retry_failed:
+            rows = rows.where(F.col("error").isNull())
+        return {r["entry"] for r in rows.select("entry").collect()}
+
+    def commit(self, entry: str, row: dict, scored: DataFrame | None, label: str) -> None:
+        if scored is not None:
+            try:
+                self.scores.commit(scored.select(
+                    F.col(self.id_col).alias("id"), F.col(label).cast("double").alias("actual"),
+                    F.col("prediction").alias("score")), entry=entry)
+            except Exception as e:  # noqa: BLE001 - scoring is lazy, so a failing fit may show here
+                row["error"] = f"{type(e).__name__}: {e}"
+        self.rows.commit(ledger_frame(self.spark, [row]), entry=entry)
+
+    def table(self) -> DataFrame:
+        """The ledger rows of all committed fits, rated in one pass."""
+        rows = self.rows.read()
+        if rows is None:
+            return ledger_frame(self.spark, [])
+        rows = rows.drop(*METRICS)
+        scores = self.scores.read()
+        if scores is None:
+            rated = rows.select("entry", *[F.lit(None).cast("double").alias(m) for m in METRICS])
+        else:
+            rated = grouped_metrics(scores, ["entry"], "score", "actual").withColumnRenamed("roc_auc", "test_roc_auc")
+        failed = F.col("error").isNotNull()
+        out = rows.join(rated, "entry", "left").withColumns(
+            {m: F.when(~failed, F.col(m)) for m in METRICS})
+        return out.select(*[f.name for f in LEDGER_SCHEMA.fields])
+
+
 def sweep(study: Study, labels: list[str], classifiers: list[Spec] = CLASSIFIERS,
           entities=FT.ENTITIES, k: int = 26, parallelism: int = 4,
-          features: list[str] | None = None, cache: FeatureCache | None = None) -> DataFrame:
-    """Every classifier on every label (O78).  Fits of one label run in a
-    small thread pool (as CrossValidator's ``parallelism`` does); each fit
+          features: list[str] | None = None, cache: FeatureCache | None = None,
+          ledger: Ledger | None = None, retry_failed: bool = False) -> DataFrame:
+    """Every classifier on every label (O78), recorded in ``ledger``; what it
+    already holds is not fitted again.  All fits share one small thread pool
+    (as CrossValidator's ``parallelism`` does), which never drains between labels; each fit
     is itself a distributed job."""
     spark = study.items.sparkSession
     cache = cache or FeatureCache(study, labels)
     feats = features or selected_features(study, cache, labels[0], k)
+    ledger = ledger or Ledger(spark, id_col=study.cols.id)
+    done = ledger.committed(retry_failed)
+    fits = [(ledger.entry(label, spec, feats, entities), label, spec) for label in labels for spec in classifiers]
+    fits = [f for f in fits if f[0] not in done]
     data = {}
-    for label in labels:
+    for label in dict.fromkeys(f[1] for f in fits):
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
-        data[label] = (train.checkpoint(eager=True), dev.checkpoint(eager=True))
-    # one pool over every (label, classifier) fit: it never drains between
-    # labels, so the long fits of different labels overlap.  Row order is
-    # label-major, as submitted.
-    fits = [(label, spec) for label in labels for spec in classifiers]
+        data[label] = (materialize(train, "sweep_train"), materialize(dev, "sweep_dev"))
+
+    def one(fit) -> None:
+        entry, label, spec = fit
+        row, scored = attempt(*data[label], feats, label, spec, list(entities), study.cols.id)
+        ledger.commit(entry, row, scored, label)
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(lambda f: experiment(*data[f[0]], feats, f[0], f[1], list(entities)), fits))
-    return ledger_frame(spark, rows)
+        list(pool.map(one, fits))
+    return ledger.table()
 
 
 def best_per_group(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
