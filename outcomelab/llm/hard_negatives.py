@@ -29,8 +29,8 @@ number.
 
 Scores are exact.  Components are whole numbers ``floor(scale * x)``; products
 are taken in double precision where every partial sum is below 2^53, and with
-Python's integers otherwise.  Scores beyond a long are clipped to it when
-they are returned.
+Python's integers otherwise.  Scores beyond a long are clipped to it between
+the walks, so a window is then taken from the clipped score.
 
 Defined results.  Rows with a null id, label or vector, or a null or
 non-finite component, take no part (a row without an id could not be named).

@@ -26,9 +26,9 @@ these, remainder 1 fits the curve and the rest trains the dictionaries.
 Scores use the text alone.
 
 Defined results.  A null text counts as empty; an empty text gets the share
-of ones among the training labels.  Labels other than 0 and 1, null ids in
-``labels`` and labels of unknown documents are ignored; of contradicting
-labels of a document 1 counts.  Without labels of both classes every score is
+of ones among the training labels.  Labels other than 0 and 1 and null ids in
+``labels`` are ignored, labels of unknown documents count in that share only; of
+contradicting labels of a document 1 counts.  Without labels of both classes every score is
 their share of ones (0 without any); with both, but none of one class in the
 curve's fold, the curve is fitted on all training rows.  Where the blocks are too few to
 train on, the blocks themselves are the dictionary.  Very long texts pass
