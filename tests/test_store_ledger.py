@@ -77,7 +77,7 @@ LABELS = ["label", "flag_big"]
 def study(spark):
     from outcomelab.plans.prepare import fixture_study
     st = fixture_study(spark, SF_SMALL)
-    return st, SW.FeatureCache(st, LABELS), ["latitude", "date_posted_relative", "school_pct_exciting"]
+    return st, SW.FeatureCache(st, LABELS), ["labor", "date_posted_relative", "school_pct_exciting"]
 
 
 def test_killed_sweep_resumes_with_what_is_absent(spark, study, tmp_path, monkeypatch):
