@@ -9,10 +9,11 @@ and are checked in ``tests/``.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from outcomelab import oracle as O  # noqa: E402
 from outcomelab.functions.columns import concat_strict, product_of, qcol  # noqa: E402
-from outcomelab.operators import encode, entity, evaluate, impute as imp, info, profile  # noqa: E402
+from outcomelab.operators import design, encode, entity, evaluate, impute as imp, info, keys, profile  # noqa: E402
 from outcomelab.operators.split import date_floor, make_split  # noqa: E402
-from outcomelab.plans import dataset as DS, features as FT, models as M, ranking as RK, sweep as SW  # noqa: E402
+from outcomelab.plans import dataset as DS, features as FT, models as M, ranking as RK, sweep as SW, trees  # noqa: E402
 from outcomelab.plans.prepare import Study, fixture_items, fixture_study  # noqa: E402
-from outcomelab.session import ensure_checkpoint_dir  # noqa: E402
-from outcomelab.sources import fixtures as fx  # noqa: E402
+from outcomelab.session import ensure_checkpoint_dir, materialize  # noqa: E402
+from outcomelab.sources import csv_scan, fixtures as fx  # noqa: E402
+from outcomelab.sources.store import ResultStore  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 R = 6
@@ -275,7 +277,8 @@ def _ranking(spark, sf) -> DataFrame:
 def _selected(spark, sf) -> list[str]:
     m = _memo(spark, sf)
     if "selected" not in m:
-        m["selected"] = [r["feature"] for r in RK.top_k(_ranking(spark, sf), 26).collect()]
+        every = DS.assemble(_study(spark, sf), m["cache"].sets("label"), "train")
+        m["selected"] = DS.select_ranked(every, _ranking(spark, sf), 26)
     return m["selected"]
 
 
@@ -376,8 +379,9 @@ def q_confusion_counts(spark, sf):
 def _ledger(spark, sf):
     m = _memo(spark, sf)
     if "ledger" not in m:
+        m["store"] = SW.Ledger(spark)
         m["ledger"] = SW.sweep(_study(spark, sf), fx.LABELS, M.CLASSIFIERS, features=_selected(spark, sf),
-                               parallelism=4, cache=m["cache"])
+                               parallelism=4, cache=m["cache"], ledger=m["store"]).checkpoint(eager=True)
     return m["ledger"]
 
 
@@ -386,27 +390,212 @@ def q_label_sweep(spark, sf):
 
 
 def q_sweep_status(spark, sf):
-    """Which of the sweep's fits succeeded: all of them should."""
-    return _ledger(spark, sf).select("label", "classifier", F.col("error").isNull().alias("fitted"))
+    """Which of the sweep's fits succeeded, read from its ledger: all of them should."""
+    _ledger(spark, sf)
+    rows = _memo(spark, sf)["store"].rows.read()
+    return rows.select("label", "classifier", F.col("error").isNull().alias("fitted"))
+
+
+def q_sweep_resume(spark, sf):
+    """The sweep started once more on its ledger: nothing is fitted or committed again."""
+    _ledger(spark, sf)
+    store = _memo(spark, sf)["store"]
+    SW.sweep(_study(spark, sf), fx.LABELS, M.CLASSIFIERS, features=_selected(spark, sf),
+             cache=_memo(spark, sf)["cache"], ledger=SW.Ledger(spark, store.root))
+    commits = store.rows.history().groupBy("entry").agg(F.count(F.lit(1)).alias("commits"))
+    return store.rows.read().join(commits, "entry").select("label", "classifier", "commits")
+
+
+def q_sweep_base_rates(spark, sf):
+    """The mean dev label that the ledger's one rating pass found for every fit."""
+    return _ledger(spark, sf).select("label", "classifier", _r("random"))
 
 
 def q_best_per_label(spark, sf):
     return SW.best_per_label(_ledger(spark, sf)).select("label", "classifier", "test_roc_auc")
 
 
+def _ensemble(spark, sf):
+    m = _memo(spark, sf)
+    if "ensemble" not in m:
+        m["ensemble"] = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf),
+                                          cache=m["cache"])
+    return m["ensemble"]
+
+
 def q_label_ensemble(spark, sf):
-    preds, _ = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf),
-                                 cache=_memo(spark, sf)["cache"])
-    return preds
+    return _ensemble(spark, sf)[0]
 
 
 def q_ensemble_metrics(spark, sf):
     """AUC and top-fraction precision of the label ensemble, one row."""
-    _, metrics = SW.label_ensemble(_study(spark, sf), fx.LABELS, "label", features=_selected(spark, sf),
-                                   cache=_memo(spark, sf)["cache"])
+    _, metrics = _ensemble(spark, sf)
     return spark.range(1).select(*[F.round(F.lit(v).cast("double"), R).alias(k) for k, v in metrics.items()])
 
 
+def q_ensemble_rows(spark, sf):
+    """Every dev row once, beside its own label, its score the product of the
+    other labels' probabilities."""
+    product = product_of(*fx.LABELS[1:])
+    return _ensemble(spark, sf)[0].select(
+        "id", "actual", ((F.abs(F.col("ensemble") - product) < 1e-12) & F.col("label").between(0, 1)).alias("is_product"))
+
+
+def q_grouped_metrics(spark, sf):
+    """Two deterministic scores rated against all six labels in one pass."""
+    st = _study(spark, sf)
+    perf = entity.overall_performance(st.items, st.split, "school", "school", "label")
+    dev = st.split.rows(st.items, "dev").select("id", F.round("price", 2).alias("price"), *[
+        F.col(lb).cast("int").alias(lb) for lb in fx.LABELS])
+    dev = dev.join(perf.select("id", _r("school_pct_exciting")), "id")
+    long = dev.unpivot(["id", "price", "school_pct_exciting"], fx.LABELS, "label", "actual").unpivot(
+        ["id", "label", "actual"], ["price", "school_pct_exciting"], "model", "score")
+    out = evaluate.grouped_metrics(materialize(long, "scores"), ["label", "model"], "score", "actual")
+    return out.select("label", "model", *[_r(c) for c in out.columns if c not in ("label", "model")])
+
+
+def q_logistic_calibration(spark, sf):
+    """At its optimum a logistic fit with a free intercept predicts, on average
+    over the train rows, the share of ones: one row per label."""
+    st, feats = _study(spark, sf), _selected(spark, sf)
+    cache = _memo(spark, sf)["cache"]
+    spec = M.Spec("exact", "logistic", {"maxIter": 500, "tol": 1e-10})
+
+    def one(label):
+        train, _ = DS.train_test(st, cache.sets(label), label, FT.ENTITIES, feats)
+        train = materialize(train, "calibration")
+        model = M.fit_pipeline(train, feats, label, spec)
+        return M.score(model, train, feats, label).agg(F.avg("prediction").alias("p")).first()["p"]
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        means = list(pool.map(one, fx.LABELS))
+    return spark.createDataFrame(list(zip(fx.LABELS, [round(m, 4) for m in means])), "label string, mean_probability double")
+
+
+def q_tree_split_limit(spark, sf):
+    """Node counts of a folded forest without row draws and of a boosting run:
+    no node of fewer than 500 rows is split, and every tree's leaves hold
+    all the rows it was grown on."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    st, feats = _study(spark, sf), _selected(spark, sf)
+    train, _ = DS.train_test(st, _memo(spark, sf)["cache"].sets("label"), "label", FT.ENTITIES, feats)
+    names = [f"f{i}" for i in range(len(feats))]
+    data = materialize(M._prepared(train, feats, "label", "id"), "split-limit")
+    grown = RandomForestClassifier(numTrees=20, maxDepth=10, bootstrap=False, subsamplingRate=1.0, featureSubsetStrategy="sqrt",
+                                   featuresCol="_vec", labelCol="_label", seed=M.SEED).fit(
+        VectorAssembler(inputCols=names, outputCol="_vec").transform(data))
+    folded = trees.fold_forest(spark, grown, M.MIN_SPLIT)
+    nodes = trees.node_table(spark, trees.saved(spark, folded)).select(
+        F.lit("forest").alias("model"), F.col("treeID").alias("tree"), F.col("rawCount").alias("n"),
+        (F.col("leftChild") >= 0).cast("int").alias("split"))
+    boosted = trees.fit_boosted(data, names, 30, M.MIN_SPLIT)
+    rounds = spark.createDataFrame(boosted.nodes(), "tree int, n long, split int").select(
+        F.lit("boosting").alias("model"), "tree", "n", "split")
+    per_tree = nodes.unionByName(rounds).groupBy("model", "tree").agg(
+        F.sum(F.when(F.col("split") == 0, F.col("n"))).alias("in_leaves"),
+        F.sum(F.when((F.col("split") == 1) & (F.col("n") < M.MIN_SPLIT), 1).otherwise(0)).alias("small"))
+    return per_tree.groupBy("model").agg(F.sum("small").alias("small_splits"), F.min("in_leaves").alias("least_rows"),
+                                         F.max("in_leaves").alias("most_rows"))
+
+
+def q_ranked_dataset(spark, sf):
+    """Train and dev bundle of the 26 best features, by key, as (split, id,
+    feature, value) rows."""
+    st, feats = _study(spark, sf), _selected(spark, sf)
+    train, dev = DS.train_test(st, _memo(spark, sf)["cache"].sets("label"), "label", FT.ENTITIES, feats)
+    both = train.select(F.lit("train").alias("split"), "*").unionByName(dev.select(F.lit("dev").alias("split"), "*"))
+    wide = both.withColumn("label", F.col("label").cast("int")).withColumn("key", F.concat_ws("/", "split", "id"))
+    long = _long(wide.drop("split", "id"), "key")
+    part = F.split("key", "/")
+    return long.select(part[0].alias("split"), part[1].cast("long").alias("id"), "feature", "value")
+
+
+def q_result_store(spark, sf):
+    """The label rates committed per (run, label): first a wrong delivery, then
+    the right one, which replaces it."""
+    st = _study(spark, sf)
+    rates = materialize(profile.true_rates(st.items, fx.LABELS), "rates")
+    store = ResultStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/{uuid.uuid4().hex}", ["run", "label"])
+    for factor in (0.5, 1.0):
+        for lb in fx.LABELS:
+            own = rates.where(F.col("requirement") == lb)
+            store.commit(own.select((F.col("true_proportion") * factor).alias("true_proportion")), run="1", label=lb)
+    return store.read(run="1").select("run", "label", _r("true_proportion"))
+
+
+def q_join_key_audit(spark, sf):
+    """Keys of four sides of a join chain, two of them with planted faults."""
+    items = _study(spark, sf).items.select("id")
+    sides = {"items": items, "project": _memo(spark, sf)["cache"].sets("label")["project"].select("id"),
+             "twice": items.unionByName(items.where("id % 97 = 0")).unionByName(items.where("id % 970 = 0")),
+             "gaps": items.select(F.when(F.col("id") % 13 != 0, F.col("id")).alias("id"))}
+    return keys.audit_keys(sides, "id")
+
+
+def _orders_csv(spark, sf):
+    """The orders as CSV files without a schema, with a line of too many and
+    one of too few fields for every thousandth order."""
+    m = _memo(spark, sf)
+    if "csv" not in m:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv/{uuid.uuid4().hex}"
+        orders = spark.read.parquet(f"{sf}/orders.parquet").select(*ORDER_COLS)
+        orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date").cast("string")).withColumn(
+            "o_orderpriority", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority"))).write.csv(f"{root}/good")
+        bad = orders.where("o_orderkey % 1000 = 0").select(F.col("o_orderkey").cast("string").alias("k"))
+        ends = F.explode(F.array(F.lit(",1,O,2.5,1997-01-01,x,more,fields"), F.lit(",1")))
+        bad.select("k", ends.alias("end")).select(F.concat("k", "end").alias("value")).write.text(f"{root}/bad")
+        m["csv"] = csv_scan.scan_csv(spark, [f"{root}/good", f"{root}/bad"], ORDER_COLS)
+    return m["csv"]
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def q_csv_scan(spark, sf):
+    return _orders_csv(spark, sf).rows.select(
+        *[F.col(c).cast("long").alias(c) for c in ORDER_COLS[:2]], "o_orderstatus", _r("o_totalprice"), "o_orderdate",
+        "o_orderpriority")
+
+
+def q_csv_types(spark, sf):
+    """The inferred types and the number of quarantined lines."""
+    scan = _orders_csv(spark, sf)
+    kinds = spark.createDataFrame(list(scan.types.items()), "column string, type string")
+    return kinds.crossJoin(F.broadcast(scan.quarantine.agg(F.count(F.lit(1)).alias("quarantined"))))
+
+
+PART_COLS = ["p_name", "p_brand", "p_type"]
+
+
+def _part_cells(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("id"), *PART_COLS)
+    return encode.one_hot_sparse(part, "id", PART_COLS)
+
+
+def q_feature_index(spark, sf):
+    return design.feature_index(_part_cells(spark, sf))
+
+
+def q_sparse_logistic(spark, sf):
+    """A fit on the one-hot of columns with unbounded vocabularies (every part name is a
+    feature): rows, features, stored cells, and the mean probability."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+    cells = _part_cells(spark, sf)
+    index = materialize(design.feature_index(cells), "feature-index")
+    y = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("id"),
+                                                        (F.col("p_size") > 25).cast("double").alias("y"))
+    rows = design.sparse_rows(cells, index, "id", ids=y).join(y, "id")
+    model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=300, regParam=0.01, tol=1e-8,
+                               standardization=False).fit(rows)
+    mean = model.transform(rows).agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg(
+        vector_to_array("probability")[1]), 4).alias("mean_probability"))
+    size = index.agg(F.count(F.lit(1)).alias("features"))
+    stored = cells.agg(F.count(F.lit(1)).alias("cells"))
+    return mean.crossJoin(F.broadcast(size)).crossJoin(F.broadcast(stored))
+
+
 def q_append_ledger(spark, sf):
     """Two ledgers appended, columns united: the label rates and, without a
     rate, the per-label row counts."""
@@ -471,9 +660,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_counts": q_confusion_counts,
     "label_ensemble": q_label_ensemble,
     "ensemble_metrics": q_ensemble_metrics,
+    "ensemble_rows": q_ensemble_rows,
+    "grouped_metrics": q_grouped_metrics,
+    "logistic_calibration": q_logistic_calibration,
+    "tree_split_limit": q_tree_split_limit,
+    "ranked_dataset": q_ranked_dataset,
+    "result_store": q_result_store,
+    "join_key_audit": q_join_key_audit,
+    "csv_scan": q_csv_scan,
+    "csv_types": q_csv_types,
+    "feature_index": q_feature_index,
+    "sparse_logistic": q_sparse_logistic,
     "append_ledger": q_append_ledger,
     "label_sweep": q_label_sweep,
     "sweep_status": q_sweep_status,
+    "sweep_resume": q_sweep_resume,
+    "sweep_base_rates": q_sweep_base_rates,
     "best_per_label": q_best_per_label,
 }
 
@@ -512,6 +714,7 @@ def _sql() -> dict[str, str]:
     std_sel = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, {R}) AS {c}" for c in STD_COLS)
     counts = " UNION ALL ".join(f"SELECT '{c}' AS requirement, CAST(NULL AS DOUBLE) AS true_proportion, "
                                 f"count({c}) AS n FROM lab" for c in fx.LABELS)
+    part_names = " UNION ".join(f"SELECT '{c}_' || {c} AS feature FROM part WHERE {c} IS NOT NULL" for c in PART_COLS)
     extra = {
         "append_ledger": B() + f" SELECT requirement, true_proportion, CAST(NULL AS BIGINT) AS n FROM ({rates}) UNION ALL {counts}",
         "confusion_counts": B(O.school_overall_ctes()) + f""" SELECT p.label, CAST(round(sf.pct_exciting, {R}) >= 0.5 AS INTEGER)
@@ -542,6 +745,57 @@ cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUND
         "sweep_status": " UNION ALL ".join(
             f"SELECT '{lb}' AS label, '{s.name}' AS classifier, true AS fitted" for lb in fx.LABELS for s in M.CLASSIFIERS),
         "split_labels": B() + " SELECT id, label FROM p WHERE is_dev",
+        "sweep_resume": " UNION ALL ".join(
+            f"SELECT '{lb}' AS label, '{s.name}' AS classifier, CAST(1 AS BIGINT) AS commits" for lb in fx.LABELS for s in M.CLASSIFIERS),
+        "sweep_base_rates": B() + " SELECT label, classifier, random FROM (" + " UNION ALL ".join(
+            f"SELECT '{lb}' AS label, round(avg(CAST({lb} AS DOUBLE)), {R}) AS random FROM p WHERE is_dev" for lb in fx.LABELS)
+        + "), (VALUES " + ", ".join(f"('{s.name}')" for s in M.CLASSIFIERS) + ") AS c(classifier)",
+        "ensemble_rows": B() + " SELECT id, label AS actual, true AS is_product FROM p WHERE is_dev",
+        "grouped_metrics": B(O.school_overall_ctes() + ",\n" + f"""sc AS (SELECT p.*, round(sf.pct_exciting, {R}) AS rate
+ FROM p JOIN sf USING (id) WHERE p.is_dev),
+g AS ({" UNION ALL ".join(f"SELECT '{lb}' AS label, '{m}' AS model, id, {x} AS s, CAST({lb} AS INTEGER) AS y FROM sc"
+                          for lb in fx.LABELS for m, x in (("price", "round(price, 2)"), ("school_pct_exciting", "rate")))}),
+agg AS (SELECT label, model, s, sum(y) AS pos, count(*) - sum(y) AS neg FROM g GROUP BY label, model, s),
+cum AS (SELECT label, model, pos, neg, coalesce(sum(neg) OVER (PARTITION BY label, model ORDER BY s
+ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM agg),
+auc AS (SELECT label, model, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS a FROM cum GROUP BY label, model),
+r AS (SELECT label, model, y, row_number() OVER (PARTITION BY label, model ORDER BY s DESC, id) AS rn,
+ count(*) OVER (PARTITION BY label, model) AS n FROM g)""") + f""" SELECT label, model, round(max(a), {R}) AS roc_auc,
+ round(avg(CASE WHEN rn <= n // 10 THEN y END), {R}) AS top_10_percentile,
+ round(avg(CASE WHEN rn <= n // 5 THEN y END), {R}) AS top_20_percentile,
+ round(avg(CASE WHEN rn <= (3 * n) // 10 THEN y END), {R}) AS top_30_percentile, round(avg(y), {R}) AS random
+ FROM r JOIN auc USING (label, model) GROUP BY label, model""",
+        "logistic_calibration": B() + " " + " UNION ALL ".join(
+            f"SELECT '{lb}' AS label, round(avg(CAST({lb} AS DOUBLE)), 4) AS mean_probability FROM p WHERE is_train" for lb in fx.LABELS),
+        "tree_split_limit": B() + f""" SELECT 'forest' AS model, CAST(0 AS BIGINT) AS small_splits, count(*) AS least_rows,
+ count(*) AS most_rows FROM p WHERE is_train UNION ALL SELECT 'boosting', 0, count(*), count(*) FROM p
+ WHERE is_train AND {O.scatter('id', M.SEED)} % 10 <> 0""",
+        "ranked_dataset": O.feature_ranking().split(" SELECT CASE", 1)[0] + f""",
+best AS (SELECT feature FROM (SELECT * FROM kmi UNION ALL SELECT * FROM lmi) ORDER BY m DESC, feature LIMIT 26),
+cells AS (SELECT * FROM proj_long UNION ALL SELECT * FROM teach_long UNION ALL SELECT * FROM school_long
+ UNION ALL SELECT * FROM geo_long UNION ALL SELECT id, 'label', CAST(label AS DOUBLE) FROM p WHERE label)
+SELECT CASE WHEN is_train THEN 'train' ELSE 'dev' END AS split, id, feature, value FROM cells JOIN p USING (id)
+ WHERE (is_train OR is_dev) AND (feature = 'label' OR feature IN (SELECT feature FROM best))""",
+        "result_store": B() + f" SELECT '1' AS run, requirement AS label, true_proportion FROM ({rates})",
+        "join_key_audit": B() + """, sides AS (SELECT 'items' AS side, id FROM lab UNION ALL SELECT 'project', id FROM lab
+ UNION ALL SELECT 'twice', id FROM lab UNION ALL SELECT 'twice', id FROM lab WHERE id % 97 = 0
+ UNION ALL SELECT 'twice', id FROM lab WHERE id % 970 = 0
+ UNION ALL SELECT 'gaps', CASE WHEN id % 13 <> 0 THEN id END FROM lab),
+n AS (SELECT side, id, count(*) AS n FROM sides GROUP BY side, id)
+SELECT side, CAST(sum(n) AS BIGINT) AS rows, count(id) AS keys, count(CASE WHEN id IS NOT NULL AND n > 1 THEN 1 END) AS repeated_keys,
+ CAST(coalesce(sum(CASE WHEN id IS NOT NULL THEN n - 1 END), 0) AS BIGINT) AS extra_rows,
+ coalesce(max(CASE WHEN id IS NOT NULL THEN n END), 0) AS largest,
+ CAST(coalesce(sum(CASE WHEN id IS NULL THEN n END), 0) AS BIGINT) AS missing_keys FROM n GROUP BY side""",
+        "csv_scan": f"""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+ round(CAST(o_totalprice AS DOUBLE), {R}) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+ CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+        "csv_types": """SELECT c.*, (SELECT 2 * count(*) FROM orders WHERE o_orderkey % 1000 = 0) AS quarantined FROM (VALUES
+ ('o_orderkey', 'int'), ('o_custkey', 'int'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'),
+ ('o_orderdate', 'date'), ('o_orderpriority', 'string')) AS c("column", "type")""",
+        "feature_index": f"SELECT feature, CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS index FROM ({part_names})",
+        "sparse_logistic": f"""SELECT count(*) AS rows, (SELECT count(*) FROM ({part_names})) AS features,
+ (SELECT {" + ".join(f"count({c})" for c in PART_COLS)} FROM part) AS cells,
+ round(avg(CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END), 4) AS mean_probability FROM part""",
     }
     return extra | {
         "labelled_join": B() + " SELECT * EXCLUDE (is_dev, is_train) FROM p",
@@ -620,14 +874,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 # The training-data operators are an optional part: their folder and the
-# pipeline's file may be missing, and only then are their queries left out.
-if importlib.util.find_spec("outcomelab.llm") and importlib.util.find_spec("corpus_pipeline"):
+# pipeline's file may be missing, and then their queries are left out.
+try:
     import corpus_pipeline
     from outcomelab.llm import queries as llm_queries
 
     _LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     _LLM_SQL = llm_queries.ORACLE_SQL
-else:
+except ImportError:
     _LLM_QUERIES, _LLM_SQL = {}, {}
 
 

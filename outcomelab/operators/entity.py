@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelab.functions.columns import safe_div, smoothed_rate, years_between
+from outcomelab.operators.hot_keys import join_groups
 from outcomelab.operators.ordered import running_totals
 from outcomelab.operators.split import Split
 
@@ -72,8 +73,7 @@ def overall_performance(items: DataFrame, split: Split, entity_col: str, entity_
                      *[F.avg(f"_k{i}").alias(f"_pk{i}") for i in range(len(labels))])
     p = entity_name + "_"
     n, y, pn, py = F.col("_n"), F.col("_y"), F.col("_pn"), F.col("_py")
-    joined = (items.select(id_col, entity_col)
-              .join(stats, entity_col, "left")
+    joined = (join_groups(items.select(id_col, entity_col), stats, entity_col, "_n", "left")
               .crossJoin(F.broadcast(priors)))
     rates = []
     for i, lb in enumerate(labels):

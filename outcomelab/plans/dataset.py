@@ -2,8 +2,9 @@
 
 Features and labels stay in one DataFrame joined by id; nothing is aligned
 by row position.  Every feature set has one row per item, so each join is
-1:1 on id; after the first shuffle join the accumulated side stays
-hash-partitioned by id and only the new side moves.
+1:1 on id.  The labelled table and the cached sets are bucketed by id, so
+the joins read them in place: no exchange, for any split, label or column
+choice.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelab.functions.columns import qcol
+from outcomelab.operators.keys import require_unique
 from outcomelab.plans.features import ENTITIES
 from outcomelab.plans.prepare import Study
 
@@ -30,10 +32,13 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 
 def assemble(study: Study, feature_sets: dict[str, DataFrame], split: str = "train",
-             entities=ENTITIES, drop_id: bool = False) -> DataFrame:
+             entities=ENTITIES, drop_id: bool = False, strict: bool = False) -> DataFrame:
     """Rows of one split with every entity's features attached.
-    An unknown split raises ``ValueError``."""
+    An unknown split raises ``ValueError``; with ``strict``, a set that repeats
+    an id raises ``DuplicateKeys`` instead of adding rows."""
     idc = study.cols.id
+    if strict:
+        require_unique({e: feature_sets[e].select(idc) for e in entities}, idc)
     out = study.split.rows(study.items, split).select(idc)
     for e in entities:
         out = out.join(feature_sets[e], idc, "left")

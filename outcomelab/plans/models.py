@@ -35,10 +35,10 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcomelab.functions.columns import qcol
+from outcomelab.functions.columns import qcol, scatter
 from outcomelab.operators.evaluate import roc_auc, top_fraction_precision
 from outcomelab.plans.trees import fit_boosted, fold_forest
-from outcomelab.session import materialize
+from outcomelab.session import materialize, release
 
 SEED = 0
 NET_SEGMENT = 10     # solver iterations between two looks at the validation rows
@@ -161,7 +161,7 @@ def _prepared(df: DataFrame, features: list[str], label: str, id_col: str) -> Da
     label and a stable 10 % validation flag."""
     return df.select(id_col, *[qcol(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)],
                      F.col(label).cast("double").alias("_label"),
-                     (F.abs(F.xxhash64(F.lit(SEED), F.col(id_col))) % 10 == 0).alias("_valid"))
+                     (scatter(id_col, SEED) % 10 == 0).alias("_valid"))
 
 
 def fit_pipeline(train: DataFrame, features: list[str], label: str, spec: Spec, id_col: str = "id",
@@ -179,7 +179,10 @@ def fit_pipeline(train: DataFrame, features: list[str], label: str, spec: Spec,
               ElementwiseProduct(inputCol="_std", outputCol="_scaled", scalingVec=Vectors.dense([factor] * len(names)))]
     prepared = Pipeline(stages=stages).fit(data)
     rows = data if spec.kind == "gbt" else prepared.transform(data)   # trees of a round read the columns themselves
-    classifier, notes = _classifier(rows, spec, names, n, min_split)
+    try:
+        classifier, notes = _classifier(rows, spec, names, n, min_split)
+    finally:
+        release(data)
     return Fitted(prepared, classifier, notes)
 
 

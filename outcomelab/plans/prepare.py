@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from outcomelab.functions.columns import any_of
 from outcomelab.operators.impute import impute
 from outcomelab.operators.split import Split, date_floor, make_split
-from outcomelab.session import materialize
+from outcomelab.session import materialize_by_key
 from outcomelab.sources import fixtures
 
 
@@ -82,8 +82,9 @@ def fixture_study(spark: SparkSession, folder: str, persist: bool = True) -> Stu
         # the joined table feeds every feature set: write it once as a table,
         # so the lineitem roll-up and the joins run once (the mode fit reads
         # five pruned columns of the written table), and each reader prunes
-        # columns and pushes the split filter through the imputing projection
-        joined = materialize(fixture_joined(spark, folder), "labelled_items")
+        # columns and pushes the split filter through the imputing projection;
+        # bucketed by id, so feature sets join it without an exchange
+        joined = materialize_by_key(fixture_joined(spark, folder), "labelled_items", "id")
         items = finish_labels(joined, "id", fixtures.MODE_IMPUTED, fixtures.OR_PARTS, fixtures.OR_LABEL)
     else:
         items = fixture_items(spark, folder)

@@ -21,12 +21,13 @@ from pyspark.sql import types as T
 
 from outcomelab.functions.columns import product_of
 from outcomelab.operators.evaluate import grouped_metrics, roc_auc, top_fraction_precision
+from outcomelab.operators.hot_keys import join_groups
 from outcomelab.plans import features as FT
 from outcomelab.plans.dataset import train_test
 from outcomelab.plans.models import CLASSIFIERS, MIN_SPLIT, SEED, Spec, attempt, fit_pipeline, score
 from outcomelab.plans.prepare import Study
 from outcomelab.plans.ranking import feature_set_ranking, top_k
-from outcomelab.session import ensure_checkpoint_dir, materialize
+from outcomelab.session import ensure_checkpoint_dir, materialize, materialize_by_key, release
 from outcomelab.sources.store import ResultStore
 
 # The ledger's column names are part of the result's schema.
@@ -66,11 +67,12 @@ class FeatureCache:
                     "geo": lambda: FT.geo_features(st),
                     "teacher": lambda: FT.teacher_features(st, lbs),
                     "school": lambda: FT.school_features(st, lbs)}
-        # tables, not RDD checkpoints: a sweep reads 26 selected columns.  The
-        # four sets are independent; their fit steps are many small jobs, so
+        # tables, not RDD checkpoints: a sweep reads 26 selected columns.  They
+        # are bucketed by id, like the labelled table, so that assembling
+        # them for a split and a label needs no exchange.  The four sets are independent; their fit steps are many small jobs, so
         # they are built concurrently rather than one after another.
         with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-            futures = {e: pool.submit(lambda e=e, b=b: materialize(b(), f"{e}_features"))
+            futures = {e: pool.submit(lambda e=e, b=b: materialize_by_key(b(), f"{e}_features", st.cols.id))
                        for e, b in builders.items()}
             self._built = {e: f.result() for e, f in futures.items()}
 
@@ -183,16 +185,17 @@ def sweep(study: Study, labels: list[str], classifiers: list[Spec] = CLASSIFIERS
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         list(pool.map(one, fits))
+    release(*[t for pair in data.values() for t in pair])
     return ledger.table()
 
 
 def best_per_group(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """Rows equal to their group's maximum, ties kept (O37/O79).  The group
-    maxima come from a map-side-combined aggregate joined back, so a hot
-    group is never gathered into one window partition."""
-    maxima = df.groupBy(group_col).agg(F.max(value_col).alias("_max"))
-    return (df.join(maxima, group_col, "inner")
-            .filter(F.col(value_col) == F.col("_max")).drop("_max"))
+    maxima come from a map-side-combined aggregate; heavy groups meet theirs
+    by broadcast, so no group is gathered in one task."""
+    maxima = df.groupBy(group_col).agg(F.max(value_col).alias("_max"), F.count(F.lit(1)).alias("_size"))
+    return (join_groups(df, maxima, group_col, "_size")
+            .filter(F.col(value_col) == F.col("_max")).drop("_max", "_size"))
 
 
 def best_per_label(ledger: DataFrame) -> DataFrame:
@@ -217,9 +220,7 @@ def label_ensemble(study: Study, labels: list[str], main_label: str | None = Non
 
     def label_scores(label: str) -> DataFrame:
         train, dev = train_test(study, cache.sets(label), label, entities, feats)
-        # the row count, the scaler and the classifier all read the assembled rows
-        train = materialize(train, "ensemble_train")
-        model = fit_pipeline(train, feats, label, spec, idc)
+        model = fit_pipeline(train, feats, label, spec, idc)     # writes the assembled rows once
         # materialise each label's (id, probability): the final plan then joins
         # six small scans instead of six model + assembly plans at once
         return (score(model, dev, feats, label, idc, out_col="_p")

@@ -85,11 +85,46 @@ def materialize(df, name: str):
     read it back: lineage is cut like ``checkpoint()``, and later readers get
     column pruning and pushed-down filters, which a checkpointed RDD scan
     cannot offer.  Falls back to ``checkpoint()`` when no folder is known
-    on the client (Spark Connect)."""
+    on the client (Spark Connect).  :func:`release` deletes the table."""
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
     if not folder:
         return df.checkpoint(eager=True)
     path = f"{folder.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written_to = path
+    return out
+
+
+def materialize_by_key(df, name: str, key: str, buckets: int | None = None):
+    """:func:`materialize` as a table bucketed by ``key``: tables written with the
+    same number of buckets (the session's shuffle partitions, unless given)
+    are joined on the key without an exchange.  Rows are dealt by key
+    before they are written, so a bucket is one file."""
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        return df.checkpoint(eager=True)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"outcomelab_{name}_{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/tables/{table}"
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite")
+     .format("parquet").saveAsTable(table))
+    out = spark.table(table)
+    out._written_to, out._table = path, table
+    return out
+
+
+def release(*tables) -> None:
+    """Delete the files of materialised tables that no plan will read again;
+    other frames are left alone."""
+    for t in tables:
+        path = getattr(t, "_written_to", None)
+        if path is None:
+            continue
+        spark = t.sparkSession
+        if getattr(t, "_table", None):
+            spark.sql(f"DROP TABLE IF EXISTS {t._table}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -41,17 +41,20 @@ class ResultStore:
         self.spark.createDataFrame(marker, self._marker).coalesce(1).write.parquet(f"{self.root}/commits/marker={folder}")
         return folder
 
-    def commits(self) -> DataFrame:
-        """The latest commit of every key: the keys, seq, rows, folder."""
+    def history(self) -> DataFrame:
+        """Every commit ever made: the keys, seq, rows, folder."""
         try:
             every = self.spark.read.schema(self._marker).parquet(f"{self.root}/commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], self._marker)
+        return every.select(*self.keys, "seq", "rows", "folder")
+
+    def commits(self) -> DataFrame:
+        """The latest commit of every key: the keys, seq, rows, folder."""
         newest = W.partitionBy(*self.keys).orderBy(F.desc("seq"), F.desc("folder"))   # the commits of one key
-        return (every.select(*self.keys, "seq", "rows", "folder").withColumn("n", F.row_number().over(newest))
-                .where("n = 1").drop("n"))
+        return self.history().withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n")
 
     def contains(self, **values: str) -> bool:
         return bool(self._committed(values).limit(1).collect())
