@@ -42,6 +42,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -52,7 +53,7 @@ from outcomelab.llm.common import materialize, text_or_empty
 MIN_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
-FLUSH = 400_000
+FLUSH = 600_000
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -76,17 +77,28 @@ def collapse(docs: DataFrame, text_col: str, lang_col: str, source_col: str) ->
     return texts.join(copies, ["lang", "h"]).drop("h")
 
 
-def term_counts(collapsed: DataFrame, flush: int = FLUSH) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents, by weights."""
-    def batches_of(held):
-        for (lang, source), (n, docs) in held.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()),
-                 pa.array([t.decode("utf-8") for t in n], pa.string()), pa.array(n.values(), pa.int64()),
-                 pa.array([docs[t] for t in n], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+def _packed(lang: str, groups: dict[str, tuple[Counter, Counter]]) -> pa.RecordBatch:
+    """One row per term of a language: the term once, its sources, occurrences and documents as lists."""
+    codes, names = {}, list(groups)
+    at = [np.fromiter((codes.setdefault(t, len(codes)) for t in n), np.int64, len(n)) for n, _ in groups.values()]
+    n = np.concatenate([np.fromiter(n.values(), np.int64, len(n)) for n, _ in groups.values()])
+    docs = np.concatenate([np.fromiter((docs[t] for t in n), np.int64, len(n)) for n, docs in groups.values()])
+    source = np.repeat(np.arange(len(names)), [len(a) for a in at])
+    term = np.concatenate(at)
+    order = np.argsort(term, kind="stable")
+    ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(term, minlength=len(codes))))), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, v) for v in (
+        pa.array(names, pa.string()).take(pa.array(source[order])), pa.array(n[order]), pa.array(docs[order]))]
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(list(codes), pa.binary()), *lists],
+                                      names=["lang", "term", "source", "n", "docs"])
+
 
+def term_counts(collapsed: DataFrame, flush: int = FLUSH) -> DataFrame:
+    """(lang, term, source, n, docs): occurrences and documents, by weights.
+    The rows lie by (lang, term), so what is asked per term needs no further
+    shuffle."""
     def run(batches):
-        held, size = defaultdict(lambda: (Counter(), Counter())), 0
+        held, size = defaultdict(lambda: defaultdict(lambda: (Counter(), Counter()))), 0
         for b in batches:
             for lang, text, copies in zip(*(b.column(i) for i in range(3))):
                 found = terms(text.as_py())
@@ -94,7 +106,7 @@ def term_counts(collapsed: DataFrame, flush: int = FLUSH) -> DataFrame:
                 if len(copies) > 1 or copies[0]["n"] > 1:
                     found = Counter(found)
                 for c in copies:
-                    n, docs = held[lang.as_py(), c["source"]]
+                    n, docs = held[lang.as_py()][c["source"]]
                     size -= len(n)
                     if isinstance(found, Counter):
                         for term, k in found.items():
@@ -105,14 +117,16 @@ def term_counts(collapsed: DataFrame, flush: int = FLUSH) -> DataFrame:
                         docs.update(set(found))
                     size += len(n)
                 if size > flush:
-                    yield from batches_of(held)
+                    yield from (_packed(lg, groups) for lg, groups in held.items())
                     held.clear()
                     size = 0
-        yield from batches_of(held)
+        yield from (_packed(lg, groups) for lg, groups in held.items())
 
     sent = collapsed.select("lang", "text", "copies").mapInArrow(
-        run, "lang string, source string, term string, n long, docs long")
-    return sent.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        run, "lang string, term binary, source array<string>, n array<long>, docs array<long>")
+    each = sent.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("source", "n", "docs")).alias("e"))
+    summed = each.groupBy("lang", "term", "e.source").agg(F.sum("e.n").alias("n"), F.sum("e.docs").alias("docs"))
+    return summed.select("lang", "term", "source", "n", "docs")
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
@@ -168,11 +182,15 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """(lang, source, part, item, value, rank): every pair of a language's
     sources, and the leading terms of each source against its language."""
     names = (docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source")).distinct())
-    counts = materialize(term_counts(collapse(docs, text_col, lang_col, source_col)), "term-counts")
-    by_lang = materialize(counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("d"))
-                          .where(F.col("d") >= min_docs).select("lang", "term", "lang_n"), "kept-terms")
+    counts = term_counts(collapse(docs, text_col, lang_col, source_col))
+    # the sources of one term: as many as it has partners in the result
+    per_term = counts.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("own"),
+                                                  F.sum("n").alias("lang_n"), F.sum("docs").alias("d"))
+    by_lang = materialize(per_term.where(F.col("d") >= min_docs).select(
+        "lang", F.col("term").cast("string").alias("term"), "own", "lang_n"), "kept-terms")
     langs = by_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
-    occurring = counts.join(by_lang, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n")
+    occurring = by_lang.select("lang", "term", "lang_n", F.explode("own").alias("o")).select(
+        "lang", "o.source", "term", "o.n", "lang_n")
     totals = occurring.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     none = F.lit(0).cast("long")
     groups = (names.join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
