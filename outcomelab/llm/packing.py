@@ -9,7 +9,7 @@ At scale the pieces never meet in one place.  Best fit sees only lengths, and
 there are at most ``size`` of them, so the plan is made from the histogram of
 lengths: pieces of equal length are interchangeable, and windows of equal
 capacity are kept as ranges of sequence ids.  The plan for length l says that
-its pieces of rank a..b take the windows first..first+(b-a) at some offset.
+its pieces of rank a..b take the windows from first on, so many in each, from some offset on.
 The number of such entries depends on the window size, not on the number of
 documents, since every entry either ends a length or uses up a range.  Each
 piece then finds its place from (length, rank); ranks are counted in salted
@@ -72,31 +72,41 @@ class CapacityTree:
         return None
 
 
-def plan(histogram: dict[int, int], size: int = WINDOW) -> tuple[list[tuple[int, int, int, int]], int]:
-    """(entries, windows used).  An entry (length, rank, first, offset) holds
+def plan(histogram: dict[int, int], size: int = WINDOW) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """(entries, windows used).  An entry (length, rank, first, offset, each) holds
     from that rank of that length up to the next entry's: the piece of rank
-    ``rank + i`` goes to sequence ``first + i`` at ``offset``."""
+    ``rank + i`` goes to sequence ``first + i // each``, ``i % each`` lengths behind ``offset``.
+
+    A piece leaves its window as the tightest one for the next piece of its
+    length as long as that still fits, so a window takes ``room // length`` of them in a row."""
     tree, ranges, entries, used = CapacityTree(size), defaultdict(list), [], 0
+
+    def give(room: int, first: int, n: int) -> None:
+        if room and n:
+            ranges[room].append((first, n))
+            tree.add(room, 1)
+
     for length in sorted(histogram, reverse=True):
         rank, left = 0, histogram[length]
         while left:
             room = tree.least(length)
             if room is None:
-                first, n = used, left
-                used += n
-                room = size
+                room, first, count = size, used, -(-left // (size // length))
+                used += count
             else:
                 first, count = ranges[room].pop()
                 tree.add(room, -1)
-                n = min(count, left)
-                if n < count:
-                    ranges[room].append((first + n, count - n))
-                    tree.add(room, 1)
-            entries.append((length, rank, first, size - room))
-            if room > length:
-                ranges[room - length].append((first, n))
-                tree.add(room - length, 1)
-            rank, left = rank + n, left - n
+            each = room // length
+            full = min(count, left // each)
+            if full:
+                entries.append((length, rank, first, size - room, each))
+                give(room - each * length, first, full)
+                rank, left, first, count = rank + full * each, left - full * each, first + full, count - full
+            if count and left:  # fewer than ``each`` are left: they share one window
+                entries.append((length, rank, first, size - room, left))
+                give(room - left * length, first, 1)
+                rank, left, first, count = rank + left, 0, first + 1, count - 1
+            give(room, first, count)
     return entries, used
 
 
@@ -140,7 +150,7 @@ def assign(cut: DataFrame, id_col: str = "doc_id", size: int = WINDOW) -> DataFr
     histogram = {r["length"]: r["n"] for r in
                  cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``size`` rows
     entries, _ = plan(histogram, size)
-    table = np.array(entries, np.int64).reshape(-1, 4)
+    table = np.array(entries, np.int64).reshape(-1, 5)
     shift = 1 + max([0, *histogram.values()])
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
     keys = table[:, 0] * shift + table[:, 1]
@@ -149,9 +159,10 @@ def assign(cut: DataFrame, id_col: str = "doc_id", size: int = WINDOW) -> DataFr
         for b in batches:
             at = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("length", "__rank")}
             k = np.searchsorted(keys, at["length"] * shift + at["__rank"], side="right") - 1
-            seq = table[k, 2] + at["__rank"] - table[k, 1]
+            i = at["__rank"] - table[k, 1]
+            seq, offset = table[k, 2] + i // table[k, 4], table[k, 3] + i % table[k, 4] * at["length"]
             cols = [b.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(seq, pa.int64()), pa.array(table[k, 3], pa.int64())],
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
                                              names=[*names, "sequence_id", "offset"])
 
     names = cut.columns
