@@ -10,11 +10,13 @@ of its output, the span of source characters that the character came from:
    ``(at)``, ``[@]``, ``[dot]``, ``[.]`` and `` dot `` between words become
    ``@`` and ``.``; `` at `` does so before a host with a disguised dot (before
    a plain host name it is ordinary prose);
-3. spelled digits: runs of three or more spelled-out digits become digits.
+3. spelled digits: runs of three or more spelled-out digits become digits, and so do
+   four groups of up to three of them with a dot, spelled or not, in between.
 
 The detectors run again on the result, and each identifier is mapped back to
-the source characters under it.  A mapped span is added unless it overlaps a
-base span of its kind, so base spans always stay.
+the source characters under it.  A mapped span is added unless a base span of
+its kind covers it: base spans always stay, and a disguise that reaches further than
+the base span inside it (``john dot smith@host.com``) is added as a whole.
 
 The pass is one narrow Arrow pass over whole texts; every scan is linear in
 the text, also for runs of one character class that are megabytes long.
@@ -49,9 +51,13 @@ _CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9])++"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 
 # Look-alikes of ASCII letters beyond compatibility forms.
-_CYRILLIC = dict(zip("АВЕКМНОРСТХаеорсухіјѕԁһ", "ABEKMHOPCTXaeopcyxijsdh"))
-_GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονι", "ABEZHIKMNOPTYXovi"))
+_CYRILLIC = dict(zip("АВЕКМНОРСТХаекморстухіјѕԁһ", "ABEKMHOPCTXaekmopctyxijsdh"))
+_GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχω", "ABEZHIKMNOPTYXaiknoptuxw"))
 _SIGNS = dict.fromkeys("\u2010\u2011\u2012\u2013\u2212", "-") | dict.fromkeys("\u2024\u3002\uff0e\ufe52", ".") | {"\ufe6b": "@", "\uff20": "@"} | dict.fromkeys("\u00a0\u2007\u202f", " ")
+# Blocks read for decimal digits alone, and blocks read for compatibility forms (superscripts,
+# letter-like signs and number forms, enclosed and full-width characters, mathematical letters).
+_DIGIT_BLOCKS = [(0x0660, 0x1000), (0x17E0, 0x1820)]
+_FORM_BLOCKS = [(0x00B2, 0x00BA), (0x2070, 0x209D), (0x2100, 0x218C), (0x2460, 0x24EB), (0xFF01, 0xFF5F), (0x1D400, 0x1D800)]
 _DIGITS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
 
 
@@ -59,12 +65,12 @@ def _look_alikes() -> dict[int, str]:
     """Code point -> one ASCII character, from the compatibility forms and
     decimal digits of the Unicode tables and the lists above."""
     out = {}
-    for lo, hi in ((0x0660, 0x1000), (0x17E0, 0x1820), (0xFF01, 0xFF5F), (0x1D400, 0x1D800)):
-        for cp in range(lo, hi):
+    for digits_only, blocks in ((True, _DIGIT_BLOCKS), (False, _FORM_BLOCKS)):
+        for cp in (cp for lo, hi in blocks for cp in range(lo, hi)):
             ch = chr(cp)
             digit = unicodedata.decimal(ch, None)
             form = str(digit) if digit is not None else unicodedata.normalize("NFKC", ch)
-            if len(form) == 1 and "!" <= form <= "~" and (digit is not None or lo >= 0xFF01):
+            if len(form) == 1 and "!" <= form <= "~" and (digit is not None or not digits_only):
                 out[cp] = form
     for table in (_CYRILLIC, _GREEK, _SIGNS):
         out.update({ord(k): v for k, v in table.items()})
@@ -91,6 +97,10 @@ class Detector:
         self.digit_of = {w: str(i) for i, w in enumerate(_DIGITS)} | {"oh": "0"}
         self.spelled = re.compile(rf"\b(?:plus[ -])?(?:{word})(?:[ -](?:{word}))(?:[ -](?:{word}))+\b", re.I)
         self.spelled_word = re.compile(rf"plus|{word}", re.I)
+        group = rf"(?:{word})(?:[ -](?:{word})){{0,2}}"
+        point = r"(?: (?:dot|point) | ?[\[({<] ?(?:dot|\.) ?[\])}>] ?| ?\. ?)"
+        self.spelled_ip = re.compile(rf"\b{group}(?:{point}{group}){{3}}\b", re.I)
+        self.spelled_part = re.compile(rf"(?:{word})(?:[ -](?:{word}))*", re.I)
         self.bracket = re.compile(r" ?[\[({<] ?(at|dot|[@.]) ?[\])}>] ?", re.I)
         dot = r"(?: dot | ?[\[({<] ?(?:dot|\.) ?[\])}>] ?)"
         self.word_dot = re.compile(r"(?<=[A-Za-z0-9_%+-]) dot (?=[A-Za-z0-9_%+-])", re.I)
@@ -98,6 +108,7 @@ class Detector:
         # hints over lower-cased text: necessary conditions that scan fast
         self.hint = re.compile(r"[\[({<] ?(?:at|dot|[@.]) ?[\])}>]").search
         self.hint_digits = re.compile(rf"(?:{word})[ -](?:{word})[ -](?:{word})").search
+        self.hint_ip = re.compile(rf"(?:{word}){point}(?:{word})").search
 
     def emails(self, text: str) -> Iterator[tuple[int, int]]:
         done, at = 0, text.find("@")
@@ -137,6 +148,10 @@ class Detector:
     def edits(self, text: str) -> list[tuple[int, int, str]]:
         """Rewrites of at/dot disguises and spelled digits: (start, end, output)."""
         out, low = [], text.lower()
+        if self.hint_ip(low):
+            for m in self.spelled_ip.finditer(text):
+                parts = [self.spelled_word.findall(p.lower()) for p in self.spelled_part.findall(m.group())]
+                out.append((m.start(), m.end(), ".".join("".join(self.digit_of[w] for w in p) for p in parts)))
         if " dot " in low or self.hint(low):
             out += [(m.start(), m.end(), "@" if m.group(1).lower() in ("at", "@") else ".")
                     for m in self.bracket.finditer(text)]
@@ -146,8 +161,13 @@ class Detector:
             for m in self.spelled.finditer(text):
                 words = self.spelled_word.findall(m.group().lower())
                 out.append((m.start(), m.end(), "".join("+" if w == "plus" else self.digit_of[w] for w in words)))
-        out.sort()
-        return [e for i, e in enumerate(out) if i == 0 or e[0] >= max(x[1] for x in out[max(0, i - 4):i])]
+        out.sort(key=lambda e: (e[0], -e[1]))
+        kept, end = [], 0
+        for e in out:   # the earliest, and of these the longest, goes first
+            if e[0] >= end:
+                kept.append(e)
+                end = e[1]
+        return kept
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         plain = text if text.isascii() or self.glyph_set.isdisjoint(text) else text.translate(self.glyphs)
@@ -180,7 +200,7 @@ class Detector:
             s, e = source(a)[0], source(b - 1)[1]
             j = bisect.bisect_left(taken[k], (s, s))
             near = taken[k][max(0, j - 1):j + 1]
-            if all(e <= x or y <= s for x, y in near):
+            if not any(x <= s and e <= y for x, y in near):
                 extra.append((s, k, e))
         return extra
 
