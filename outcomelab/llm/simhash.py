@@ -19,7 +19,8 @@ node however large it is.  Probe rows are 68 per distinct fingerprint, and a
 32-bit key with random fingerprints meets few others.  Components come from
 alternating large-star and small-star rounds over distributed edges.
 
-Defined results.  A null text counts as empty; no words give fingerprint
+Defined results.  Texts of any length are read whole; a text is held by one task.
+A null text counts as empty; no words give fingerprint
 zero, which links like any other.  Null ids count as documents but do not
 name a component unless no other id is in it.  Repeated rows are repeated in
 the result.  Columns other than the id and the text are not read.  An empty
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcomelab.llm.common import id_type, materialize, text_or_empty
+from outcomelab.llm.common import id_type, materialize, null_safe, text_or_empty
 from outcomelab.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -70,15 +71,20 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, bits): the fingerprint as a signed long, one row per input row."""
+                 words: int = SHINGLE_WORDS, digest: bool = False) -> DataFrame:
+    """(id, bits): the fingerprint as a signed long, one row per input row.
+    ``digest`` puts the text's SHA-256 (``sha``) in between."""
+    text = text_or_empty(text_col)
+    own = [F.col(id_col).alias("id"), *([F.sha2(text, 256).alias("sha")] if digest else [])]
+    names = [id_col, *(["sha"] if digest else []), "bits"]
+
     def run(batches):
         for b in batches:
-            got = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=[id_col, "bits"])
+            got = np.array([fingerprint(t.as_py(), words) for t in b.columns[-1]], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.int64())], names=names)
 
-    return docs.select(id_col, text_or_empty(text_col).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {id_type(docs, id_col)}, bits long")
+    return docs.select(*own, text.alias("__text")).mapInArrow(
+        run, f"`{id_col}` {id_type(docs, id_col)}, {'sha string, ' if digest else ''}bits long")
 
 
 def _segment(bits: Column, i: int) -> Column:
@@ -114,26 +120,44 @@ def links(nodes: DataFrame, tau: int = TAU) -> DataFrame:
     return found.select("a", "b").distinct()
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   words: int = SHINGLE_WORDS, tau: int = TAU) -> DataFrame:
-    """One row per input row: id, fingerprint (hex), component_id (smallest id
-    of the component)."""
-    rows = materialize(fingerprints(docs, id_col, text_col, words), "simhash")
+def component_roots(rows: DataFrame, id_col: str, tau: int = TAU) -> DataFrame:
+    """(bits, root, component_id) of every distinct fingerprint of ``rows``;
+    root names the component, component_id is its smallest id."""
     nodes = materialize(rows.groupBy("bits").agg(F.min(id_col).alias("least")), "simhash-nodes")
     comp = connected_components(links(nodes.select("bits"), tau), "a", "b")  # node, root
     placed = nodes.join(comp, F.col("bits") == F.col("node"), "left").select(
         "bits", "least", F.coalesce("root", "bits").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = placed.join(smallest, "root").select("bits", "component_id")
+    return placed.join(smallest, "root").select("bits", "root", "component_id")
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   words: int = SHINGLE_WORDS, tau: int = TAU) -> DataFrame:
+    """One row per input row: id, fingerprint (hex), component_id (smallest id
+    of the component)."""
+    rows = materialize(fingerprints(docs, id_col, text_col, words), "simhash")
+    placed = component_roots(rows, id_col, tau).select("bits", "component_id")
     return rows.join(placed, "bits").select(
         id_col, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              words: int = SHINGLE_WORDS, tau: int = TAU) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its
-    columns.  A group of null ids keeps its rows with null ids."""
-    groups = simhash_groups(docs, id_col, text_col, words, tau)
-    stay = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("__id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+    """One row of each group with all its columns: the one with the smallest
+    id, null ids last, of rows with one id the one whose text has the least
+    SHA-256, of equal rows any one."""
+    rows = materialize(fingerprints(docs, id_col, text_col, words, digest=True), "simhash")
+    rows = rows.select(F.col(id_col).alias("__id"), F.col("sha").alias("__sha"), "bits")
+    # rows of one id and text are counted first: the choice below is among distinct ones
+    rows = materialize(rows.groupBy("__id", "__sha", "bits").agg(F.count(F.lit(1)).alias("__n")), "simhash-rows")
+    roots = component_roots(rows.select("__id", "bits"), "__id", tau).select("bits", "root")
+    least = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__sha"), F.col("__n"))).alias("first")
+    by_bits = rows.groupBy("bits").agg(least)   # copies of a text meet here, map-side first
+    stay = materialize(by_bits.join(roots, "bits").groupBy("root").agg(F.min("first").alias("first"))
+                       .select("first.__id", "first.__sha", "first.__n"), "simhash-kept")
+    tagged = docs.withColumn("__text_sha", F.sha2(text_or_empty(text_col), 256))
+    keys = [(id_col, "__id"), ("__text_sha", "__sha")]
+    once, more = stay.where("__n = 1"), stay.where("__n > 1")
+    single = tagged.join(once, null_safe(tagged, once, keys), "left_semi")
+    twin = tagged.join(more, null_safe(tagged, more, keys), "left_semi").dropDuplicates([id_col, "__text_sha"])
+    return single.unionByName(twin).select(*docs.columns)
