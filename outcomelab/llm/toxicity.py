@@ -5,24 +5,28 @@ texts, score every text.  The mean difference of their log-likelihoods per
 byte, through a logistic curve fitted on training rows that the models have
 not seen, is the score.
 
-A model gives the next byte of a word from up to ``ORDER - 1`` bytes before
-it, back to the blank before the word.  It discounts its counts and backs off,
-order by order, to its own continuation counts (after how many longer contexts
-a byte was seen), and at order ``SHARED`` to continuation counts that both
-models share.  The shared counts come from a pass over all documents, labelled
-or not.  Inflected and rare expressions so keep the evidence of their stems,
+A model is an interpolated Kneser-Ney model of bytes.  It gives the next byte of
+a word from up to ``ORDER - 1`` bytes before it, back to the blank before the
+word.  The longest context uses the class's counts; the order below uses the
+class's continuation counts (after how many different bytes a sequence was seen);
+from order ``SHARED`` down, both models share the continuation counts of all
+documents, labelled or not.  Every order hands the mass of its discounts down to the
+next by its context's back-off weight, so the probabilities of the 256 next bytes
+sum to one, and a context that a class has not seen leaves it all to the order
+below.  Inflected and rare expressions so keep the evidence of their stems,
 while a string neither class has seen gets the same probability from both and
 pulls the score to neither side.
 
 Words do not depend on each other, so a task computes each distinct word's
 difference once and sums a bounded table of answers along the text.
 
-Bounds.  The models are fitted on at most ``PER_CLASS`` labelled texts per
-class (those with the smallest id hash) and keep at most ``MAX_GRAMS`` byte
-sequences (the most frequent), so what the driver holds and the tasks receive
-is bounded at any input size.  Scoring and the shared counts read every whole
-text, in narrow passes; only byte sequences are shuffled, at most one row per
-distinct sequence and task.
+Bounds.  The class counts come from at most ``PER_CLASS`` labelled texts per
+class (those with the smallest id hash), all sequences of them.  The shared counts
+come from all words of all documents and are one number for each sequence of
+``SHARED`` bytes, so fewer than 256 ** SHARED (2 ** 24, two 8-byte numbers each) ever reach the
+driver and the tasks, whatever the input; in valid UTF-8 words far fewer occur.
+Scoring and the shared counts read every whole text, in narrow passes; only byte
+sequences are shuffled, at most one row per distinct sequence and task.
 
 Labels are read only from rows with crc32(id as text) mod 5 other than 0; of
 these, remainder 1 fits the curve and the rest fits the models.  Scores use
@@ -45,16 +49,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelab.llm.common import materialize, text_or_empty, worker_cache
+from outcomelab.llm.labelled import fit_logistic, fold, prior_shift, training_draw
 
 PER_CLASS = 6_000
 ORDER = 5
-SHARED = 2
+SHARED = 3
 DISCOUNT = 0.75
-MAX_GRAMS = 1 << 20
 CACHE_WORDS = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -81,8 +85,13 @@ def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[1:] & ((np.int64(1) << (8 * np.minimum(inside + 1, ORDER))) - 1), owner
 
 
-def fold(id_col: str) -> Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
+def _mask(size: int) -> int:
+    return (1 << (8 * size)) - 1
+
+
+def lengths(keys: np.ndarray) -> np.ndarray:
+    """Bytes of each packed sequence (no byte of a word is zero)."""
+    return sum((keys >> (8 * i) > 0).astype(np.int64) for i in range(ORDER))
 
 
 def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,25 +103,75 @@ def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, keys[at] == wanted
 
 
+def _discounted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(share of each sequence in its context after the discount, the contexts, their back-off weights)."""
+    contexts, where = np.unique(keys >> 8, return_inverse=True)
+    total = np.bincount(where, n, minlength=len(contexts))
+    seen = np.bincount(where, minlength=len(contexts))
+    return (n - DISCOUNT) / total[where], contexts, DISCOUNT * seen / total
+
+
+@dataclass
+class Order:
+    """One order of one or both classes: discounted shares of sequences and
+    back-off weights of contexts, a column per class."""
+    keys: np.ndarray
+    share: np.ndarray
+    contexts: np.ndarray
+    back: np.ndarray
+
+    @classmethod
+    def of(cls, classes: list[tuple[np.ndarray, np.ndarray]]) -> Order:
+        parts = [_discounted(k, n) for k, n in classes]
+        keys = np.unique(np.concatenate([k for k, _ in classes]))
+        contexts = np.unique(np.concatenate([c for _, c, _ in parts]))
+        share, back = np.zeros((len(keys), len(classes))), np.ones((len(contexts), len(classes)))
+        for i, ((k, _), (s, c, b)) in enumerate(zip(classes, parts)):
+            share[np.searchsorted(keys, k), i] = s
+            back[np.searchsorted(contexts, c), i] = b
+        return cls(keys, share, contexts, back)
+
+    def over(self, wanted: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Probabilities of ``wanted`` given those of the order below."""
+        at, known = _look_up(self.contexts, wanted >> 8)
+        rows = np.flatnonzero(known)
+        p = below.copy()
+        p[rows] *= self.back[at[rows]]
+        at, hit = _look_up(self.keys, wanted[rows])
+        p[rows[hit]] += self.share[at[hit]]
+        return p
+
+
 @dataclass
 class Model:
-    """Differences log p_toxic - log p_ordinary by order, longest first."""
+    """Both classes' orders, ordinary first."""
     key: str
-    tables: list[tuple[int, np.ndarray, np.ndarray]] = field(default_factory=list)  # order, sorted keys, differences
+    top: Order | None = None          # the longest contexts, by counts
+    middle: dict[int, Order] = field(default_factory=dict)   # class continuation counts by order
+    shared: dict[int, Order] = field(default_factory=dict)   # corpus continuation counts by order
+    single: np.ndarray | None = None  # probability of each byte
     slope: float = 1.0
     offset: float = 0.0
     constant: float | None = None
 
+    def probabilities(self, keys: np.ndarray) -> np.ndarray:
+        """[n, 2] probability of each sequence's last byte after the rest of it."""
+        size = lengths(keys)
+        p = self.single[keys & 255][:, None].repeat(2, axis=1)
+        for order in range(2, ORDER):
+            rows = np.flatnonzero(size > order)
+            at = self.shared[order] if order <= SHARED else self.middle[order]
+            p[rows] = at.over(keys[rows] & _mask(order), p[rows])
+        return self.top.over(keys, p)
+
     def of_words(self, found: list[bytes]) -> np.ndarray:
-        """Summed difference of each word."""
+        """Summed log-likelihood difference of each word."""
         keys, owner = grams(found)
-        diff, open_ = np.zeros(len(keys)), np.ones(len(keys), bool)
-        for order, known, value in self.tables:
-            rest = np.flatnonzero(open_)
-            at, hit = _look_up(known, keys[rest] & ((1 << (8 * order)) - 1))
-            diff[rest[hit]] = value[at[hit]]
-            open_[rest[hit]] = False
-        return np.bincount(owner, diff, minlength=len(found)) if len(found) else diff
+        if not len(keys):
+            return np.zeros(len(found))
+        distinct, at = np.unique(keys, return_inverse=True)
+        logs = np.log(self.probabilities(distinct))
+        return np.bincount(owner, (logs[:, 1] - logs[:, 0])[at], minlength=len(found))
 
     def difference(self, text: str | None) -> float:
         """Mean difference per byte."""
@@ -130,20 +189,8 @@ class Model:
         return sum(map(cache.__getitem__, found)) / (sum(map(len, found)) + len(found))
 
 
-def _sample(labels: DataFrame, label_id: str, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """(id, y, part) of at most ``per_class`` training rows of either class,
-    and the number of all training rows by class."""
-    known = (labels.where(F.col(label_id).isNotNull() & F.col(label).isin(0, 1) & (fold(label_id) != 0))
-             .groupBy(F.col(label_id).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("y")))
-    known = known.withColumn("part", fold("__id"))
-    order = [F.xxhash64(F.col("__id").cast("string")), F.col("__id")]
-    one = [known.where(F.col("y") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
-    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return one[0].unionByName(one[1]), sizes
-
-
-def _count_grams(train: DataFrame, max_grams: int) -> pd.DataFrame:
-    """(gram, n0, n1) over the training texts, at most ``max_grams`` rows."""
+def _count_grams(train: DataFrame) -> pd.DataFrame:
+    """(gram, n0, n1) over the training texts, of bounded number."""
     def run(batches):
         for b in batches:
             y = b.column(1).to_numpy(zero_copy_only=False)
@@ -155,13 +202,13 @@ def _count_grams(train: DataFrame, max_grams: int) -> pd.DataFrame:
                                                   pa.array(n, pa.int64())], names=["y", "gram", "n"])
 
     by_class = [F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
-    return (train.select("text", "y").mapInArrow(run, "y int, gram long, n long").groupBy("gram").agg(*by_class)
-            .orderBy(F.desc(F.col("n0") + F.col("n1")), "gram").limit(max_grams).toPandas())
+    return train.select("text", "y").mapInArrow(run, "y int, gram long, n long").groupBy("gram").agg(*by_class).toPandas()
 
 
-def shared_continuations(docs: DataFrame, text_col: str) -> dict[int, int]:
-    """For every sequence of SHARED bytes, after how many longer contexts it
-    occurs in all documents.  Each task sends its distinct sequences."""
+def shared_continuations(docs: DataFrame, text_col: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For every order up to SHARED: (sequences, after how many different bytes each occurs
+    in all documents), the blank before a word being one of them.  Each task
+    sends its distinct sequences of SHARED + 1 bytes, and the shorter ones that begin a word."""
     def run(batches):
         seen, mine = set(), np.zeros(0, np.int64)
         for b in batches:
@@ -172,70 +219,55 @@ def shared_continuations(docs: DataFrame, text_col: str) -> dict[int, int]:
             seen |= fresh
             if len(seen) > CACHE_WORDS:
                 seen = set()
-            mine = np.union1d(mine, grams(new)[0])
+            mine = np.union1d(mine, grams(new)[0] & _mask(SHARED + 1))
         yield pa.RecordBatch.from_arrays([pa.array(mine, pa.int64())], names=["gram"])
 
     rows = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "gram long").distinct()
-    last = F.col("gram").bitwiseAND(F.lit((1 << (8 * SHARED)) - 1).cast("long"))
-    return {r["last"]: r["n"] for r in  # at most 256 ** SHARED rows
-            rows.groupBy(last.alias("last")).agg(F.count(F.lit(1)).alias("n")).collect()}
-
-
-def _tables(counts: pd.DataFrame, shared: dict[int, int]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """The difference tables of all orders from the two classes' counts."""
+    full = F.col("gram") > _mask(SHARED)
+    last = F.when(full, F.col("gram").bitwiseAND(F.lit(_mask(SHARED)).cast("long"))).otherwise(F.col("gram"))
+    # fewer than 256 ** SHARED rows of either kind
+    got = rows.groupBy(full.alias("full"), last.alias("last")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    inner = got[got["full"]].sort_values("last")
+    level = inner["last"].to_numpy(np.int64), inner["n"].to_numpy(np.int64)
+    begins = got[~got["full"]]["last"].to_numpy(np.int64)
+    size = lengths(begins)
+    out = {SHARED: level}
+    for order in range(SHARED - 1, 0, -1):
+        longer = np.union1d(out[order + 1][0], begins[size == order + 1])
+        out[order] = np.unique(longer & _mask(order), return_counts=True)
+    return out
+
+
+def build_model(counts: pd.DataFrame, shared: dict[int, tuple[np.ndarray, np.ndarray]], key: str = "model") -> Model:
+    """The model from the classes' sequence counts and the shared continuation counts."""
     counts = counts.sort_values("gram")
     every = counts["gram"].to_numpy(np.int64)
-    base = np.array(sorted(shared), np.int64)
-    seen = np.array([shared[k] for k in base.tolist()], float)
-    contexts, where = np.unique(base >> 8, return_inverse=True)
-    base_p = (seen + 0.5) / (np.bincount(where, seen) + 128)[where]
-    logs = []
+    classes = []
     for c in (0, 1):
-        full = every[counts[f"n{c}"].to_numpy() > 0]
-        amount = counts[f"n{c}"].to_numpy(float)[counts[f"n{c}"].to_numpy() > 0]
-        by_order, keys = {}, np.unique(every & ((1 << (8 * SHARED)) - 1))
-        at, hit = _look_up(base, keys)
-        lower = (keys, np.where(hit, base_p[at], 1 / 256))
-        for order in range(SHARED + 1, ORDER + 1):
-            mask = (1 << (8 * order)) - 1
-            own, n = (full, amount) if order == ORDER else np.unique(full & mask, return_counts=True)
-            ctx, inverse = np.unique(own >> 8, return_inverse=True)
-            total = np.bincount(inverse, n)
-            kept = np.maximum(n - DISCOUNT, 0)
-            back = (total - np.bincount(inverse, kept)) / total
-            keys = np.unique(every & mask)
-            below = lower[1][np.searchsorted(lower[0], keys & ((1 << (8 * (order - 1))) - 1))]
-            at, hit = _look_up(own, keys)
-            seen_n = np.where(hit, kept[at], 0.0)
-            at, hit = _look_up(ctx, keys >> 8)
-            p = np.where(hit, seen_n / total[at] + back[at] * below, below)
-            by_order[order] = lower = (keys, p)
-        logs.append(by_order)
-    return [(o, logs[0][o][0], np.log(logs[1][o][1]) - np.log(logs[0][o][1])) for o in range(ORDER, SHARED, -1)]
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps with a small ridge on standardised x."""
-    mean, sd = x.mean(), x.std() or 1.0
-    a = np.stack([(x - mean) / sd, np.ones_like(x)], axis=1)
-    beta = np.zeros(2)
-    ridge = np.diag([1e-2, 1e-6])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge, a.T @ (y - p) - ridge @ beta)
-        beta += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(beta[0] / sd), float(beta[1] - beta[0] * mean / sd)
+        n = counts[f"n{c}"].to_numpy(np.int64)
+        classes.append((every[n > 0], n[n > 0]))
+    model = Model(key, top=Order.of(classes))
+    longer = [k for k, _ in classes]           # distinct sequences of the order above, begins of words among them
+    for order in range(ORDER - 1, SHARED, -1):
+        size = [lengths(k) for k in longer]
+        model.middle[order] = Order.of([np.unique(k[s > order] & _mask(order), return_counts=True)
+                                        for k, s in zip(longer, size)])
+        longer = [np.unique(np.where(s > order, k & _mask(order), k)) for k, s in zip(longer, size)]
+    for order in range(2, SHARED + 1):
+        one = Order.of([shared[order]])
+        model.shared[order] = Order(one.keys, one.share.repeat(2, axis=1), one.contexts, one.back.repeat(2, axis=1))
+    single = np.full(256, 0.5)
+    single[shared[1][0]] += shared[1][1]
+    model.single = single / single.sum()
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_id: str = "doc_id", label: str = "toxic", per_class: int = PER_CLASS,
-        max_grams: int = MAX_GRAMS) -> Model:
+        label_id: str = "doc_id", label: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """The model from the labelled texts (see the module's bounds).  The curve
     weighs the classes as they occur among all training labels."""
     key = uuid.uuid4().hex
-    sample, known = _sample(labels, label_id, label, per_class)
+    sample, known = training_draw(labels, label_id, label, per_class)
     sample = materialize(sample, "toxicity-sample")
     named = docs.select(F.col(id_col).alias("__doc"), text_or_empty(text_col).alias("text"))
     train = materialize(named.join(F.broadcast(sample), F.col("__doc") == F.col("__id")).select(
@@ -243,28 +275,35 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["y"]: r["n"] for r in train.where("part > 1").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Model(key, constant=float(sizes.get(1, 0) / max(1, sum(sizes.values()))))
-    model = Model(key, _tables(_count_grams(train.where("part > 1"), max_grams), shared_continuations(docs, text_col)))
+    model = build_model(_count_grams(train.where("part > 1")), shared_continuations(docs, text_col), key)
     held = with_difference(train.where("part = 1"), model, "text").select("__difference", "y").toPandas()
     if held["y"].nunique() == 2:
-        model.slope, model.offset = _logistic(held["__difference"].to_numpy(float), held["y"].to_numpy(float))
-        drawn = [min(per_class, known[c]) for c in (0, 1)]  # the draw may have thinned one class
-        model.offset += float(np.log(known[1] / known[0]) - np.log(drawn[1] / drawn[0]))
+        (model.slope,), model.offset = fit_logistic(held[["__difference"]].to_numpy(float), held["y"].to_numpy(float))
+        model.offset += prior_shift(known, per_class)
     return model
 
 
-def with_difference(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+def with_difference(docs: DataFrame, model: Model, text_col: str, out: str = "__difference") -> DataFrame:
     @F.pandas_udf("double")
     def difference(texts: pd.Series) -> pd.Series:
         return texts.map(model.difference, na_action=None).astype("float64")
-    return docs.withColumn("__difference", difference(text_or_empty(text_col)))
+    return docs.withColumn(out, difference(text_or_empty(text_col)))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``docs`` has such a column."""
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    return name
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text, 0 to 1."""
     if model.constant is not None:
         return docs.withColumn(out, F.lit(model.constant))
-    z = F.lit(model.slope) * F.col("__difference") + F.lit(model.offset)
-    return with_difference(docs, model, text_col).withColumn(out, 1 / (1 + F.exp(-z))).drop("__difference")
+    at = _free(docs, "__difference")
+    z = F.lit(model.slope) * F.col(at) + F.lit(model.offset)
+    return with_difference(docs, model, text_col, at).withColumn(out, 1 / (1 + F.exp(-z))).drop(at)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -280,4 +319,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
-    return with_score(docs, model, text_col, "__score").where("__score < 0.5").drop("__score")
+    at = _free(docs, "__score")
+    return with_score(docs, model, text_col, at).where(F.col(at) < 0.5).drop(at)
