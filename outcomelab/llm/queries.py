@@ -28,13 +28,17 @@ def _store(spark: SparkSession, name: str) -> str:
 
 
 def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Totals after three deliveries: all documents inserted, the later copies
-    of a text deleted, and the first batch delivered once more."""
+    """Totals of all documents after six deliveries: all inserted with estimated
+    counts, all revised to their true counts, the later copies of a text deleted, these
+    inserted again, and the first two batches delivered once more."""
     docs, store = _read(spark, sf, "documents"), _store(spark, "token-rollup")
     counted = materialize(token_rollup.count_tokens(docs, tokenizer("byte_bpe_50k.json"), "byte_bpe_50k@1"), "counted")
-    token_rollup.apply_batch(token_rollup.inserts(counted), store, "load")
-    token_rollup.apply_batch(token_rollup.copy_deletes(docs), store, "copies")
-    token_rollup.apply_batch(token_rollup.inserts(counted), store, "load")
+    estimated = counted.withColumn("tokens", F.floor(F.col("bytes") / 4))
+    copies = materialize(counted.join(token_rollup.later_copies(docs), "doc_id", "left_semi"), "copies")
+    for batch, changes in [("load", token_rollup.inserts(estimated)), ("true counts", token_rollup.revisions(counted)),
+                           ("copies out", token_rollup.deletes(copies)), ("copies back", token_rollup.inserts(copies)),
+                           ("load", token_rollup.inserts(estimated)), ("true counts", token_rollup.revisions(counted))]:
+        token_rollup.apply_batch(changes, store, batch)
     return token_rollup.totals(spark, store)
 
 
@@ -55,8 +59,11 @@ def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_secret_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _read(spark, sf, "documents")
-    ledger = secret_scan.update_ledger(docs, "text", _store(spark, "secret-ledger"), "load")
+    """All documents are delivered twice; the second delivery finds every pair in
+    the ledger and scans nothing."""
+    docs, folder = _read(spark, sf, "documents"), _store(spark, "secret-ledger")
+    secret_scan.update_ledger(docs, "text", folder, "load")
+    ledger = secret_scan.update_ledger(docs, "text", folder, "load again")
     found = secret_scan.findings_by_path(docs, "doc_id", "text", ledger)
     text = secret_scan.spans_text()
     return found.select("doc_id", "n_assign", "n_access", "n_hex",

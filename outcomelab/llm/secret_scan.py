@@ -12,29 +12,38 @@ match whose ``group`` is shorter than ``least`` characters is dropped and is
 not retried.  Offsets count code points, end exclusive.  They come from the
 lengths of the pieces between the matches, summed along the text.
 
-A batch is written to a folder of its own name in overwrite mode: writing it
-again after a failure leaves one copy.  Blobs move once, after a map-side
+A delivery first compares the narrow list of its blobs with the ledger.  Where
+nothing is unseen, no text is moved or scanned; where little is, only these texts
+are; otherwise texts move once, after a map-side
 combine by content, so a blob that a third of all rows share costs one row
-per map task.
+per map task.  Each delivery is a commit of its own (:mod:`outcomelab.sources.store`): one
+that failed half way is invisible, and one that comes again, or under
+a name used before, adds what it holds of unseen pairs and loses nothing.
 
 Defined results.  A null text is the empty blob, which is scanned like any
-other.  Null paths are kept.  Repeated rows are repeated in the result.  An
-empty table gives an empty result and an empty batch.  Only the named columns
-are read.
+other.  Null paths are kept.  Texts of any length are scanned whole; one text is held by
+one task.  Repeated rows are repeated in the result.  A version whose blob the ledger lacks
+has no findings: counts of 0 and no spans.  An
+empty table gives an empty result and an empty delivery.  Only the named columns
+are read; a path column may have any name, ``blob`` too (the result then has
+no blob column of its own).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from outcomelab.llm.common import text_or_empty
+from outcomelab.llm.common import materialize, text_or_empty
+from outcomelab.operators.hot_keys import join_groups
+from outcomelab.sources.store import ResultStore
 
+FEW = 50_000     # unseen blobs that are few: their names, about 100 bytes each, are broadcast
 LEDGER_SCHEMA = "blob string, rule string, version string, spans array<struct<start:int,end:int>>, batch string"
 
 
@@ -76,14 +85,16 @@ def blob_id(text_col: str) -> Column:
     return F.sha2(text_or_empty(text_col), 256)
 
 
+def _store(spark: SparkSession, folder: str) -> ResultStore:
+    return ResultStore(spark, folder, ["batch", "delivery"])
+
+
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger, empty when no batch has been written yet."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The ledger, empty when nothing has been delivered yet."""
+    rows = _store(spark, folder).read()
+    if rows is None:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _schema()])
+    return rows.select(*_schema().names)
 
 
 def _scan(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -113,19 +124,23 @@ def _scan(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def update_ledger(versions: DataFrame, text_col: str, folder: str, batch: str,
-                  rules: list[Rule] = RULES) -> DataFrame:
+                  rules: list[Rule] = RULES, few: int = FEW) -> DataFrame:
     """Scan the (blob, rule version) pairs of ``versions`` that the ledger in
-    ``folder`` lacks, append them as ``batch`` and return the ledger."""
+    ``folder`` lacks, commit them under ``batch`` and return the ledger."""
     spark = versions.sparkSession
-    ledger = read_ledger(spark, folder).where(F.col("batch").isNull() | (F.col("batch") != batch))
-    seen = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws("@", "rule", "version")).alias("seen"))
-    blobs = (versions.select(blob_id(text_col).alias("blob"), text_or_empty(text_col).alias("text"))
-             .groupBy("blob").agg(F.first("text").alias("text")))
+    seen = read_ledger(spark, folder).groupBy("blob").agg(F.collect_set(F.concat_ws("@", "rule", "version")).alias("seen"))
+    texts = versions.select(blob_id(text_col).alias("blob"), text_or_empty(text_col).alias("text"))
     every = F.array(*[F.lit(r.key) for r in rules])
-    todo = (blobs.join(seen, "blob", "left")
-            .withColumn("todo", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))))
+    todo = (texts.select("blob").distinct().join(seen, "blob", "left")
+            .select("blob", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo"))
             .where(F.size("todo") > 0))
-    _scan(todo, rules).write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+    todo = materialize(todo, "unseen-blobs")
+    if todo.count() <= few:
+        blobs = texts.join(F.broadcast(todo), "blob").groupBy("blob").agg(F.first("text").alias("text"),
+                                                                          F.first("todo").alias("todo"))
+    else:
+        blobs = texts.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
+    _store(spark, folder).commit(_scan(blobs, rules), batch=batch, delivery=uuid.uuid4().hex)
     return read_ledger(spark, folder)
 
 
@@ -136,6 +151,8 @@ def findings_by_blob(ledger: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     names = F.create_map(*[F.lit(x) for k, i in rank.items() for x in (k, i)])
     key = F.concat_ws("@", "rule", "version")
     mine = ledger.where(key.isin(list(rank))).withColumn("rank", names[key])
+    # two deliveries at the same time may both have scanned a pair
+    mine = mine.groupBy("blob", "rule", "rank").agg(F.first("spans").alias("spans"))
     each = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), F.col("rank"), s["end"].alias("end"), F.col("rule").alias("kind")))
     counts = [F.sum(F.when(F.col("rank") == i, F.size("spans")).otherwise(0)).cast("long").alias(f"n_{r.name}")
@@ -145,10 +162,16 @@ def findings_by_blob(ledger: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
 def findings_by_path(versions: DataFrame, path_col: str, text_col: str, ledger: DataFrame,
                      rules: list[Rule] = RULES) -> DataFrame:
-    """One row per version: its path, blob, counts and spans."""
-    paths = versions.select(path_col, blob_id(text_col).alias("__blob"))
-    found = findings_by_blob(ledger, rules)
-    return paths.join(found, F.col("__blob") == F.col("blob"), "left").drop("__blob")
+    """One row per version: its path, blob, counts and spans.  Blobs of many
+    paths meet their findings by broadcast."""
+    paths = materialize(versions.select(F.col(path_col).alias("__path"), blob_id(text_col).alias("blob")), "paths")
+    sizes = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("__paths"))
+    found = sizes.join(findings_by_blob(ledger, rules), "blob", "left")
+    counts = [F.coalesce(f"n_{r.name}", F.lit(0)).alias(f"n_{r.name}") for r in rules]
+    none = F.array().cast(found.schema["spans"].dataType)
+    found = found.select("blob", "__paths", *counts, F.coalesce("spans", none).alias("spans"))
+    out = join_groups(paths, found, "blob", "__paths", "left")
+    return out.select(F.col("__path").alias(path_col), *[c for c in out.columns if c not in ("__path", "__paths", path_col)])
 
 
 def spans_text(spans: str = "spans") -> Column:
