@@ -444,7 +444,11 @@ def _half(digest: Column, start: int) -> Column:
 
 def remove_repeats(table: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256.
+    ``length`` is at least ``gram`` and less than ``gram`` + 255: a chunk's windows
+    are counted in 8 bits."""
+    if not 0 < gram <= length < gram + (1 << _NW_BITS) - 1:
+        raise ValueError(f"a length of {length} does not go with grams of {gram}: {gram} to {gram + (1 << _NW_BITS) - 2} do")
     text = text_or_empty(text_col)
     docs = table.select(F.col(id_col).alias("id"),
                         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc"),
