@@ -21,6 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class ResultStore:
@@ -36,9 +37,11 @@ class ResultStore:
         path = f"{self.root}/rows/{folder}"
         rows.write.parquet(path)
         n = self.spark.read.parquet(path).count()
-        marker = [tuple(str(values[k]) for k in self.keys) + (time.time_ns(), n, folder)]
+        marker = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(str(values[k])).alias(k) for k in self.keys], F.lit(time.time_ns()).alias("seq"),
+            F.lit(n).cast("long").alias("rows"), F.lit(folder).alias("folder"))
         # a marker's file appears when its write is committed, in a folder no other writer uses
-        self.spark.createDataFrame(marker, self._marker).coalesce(1).write.parquet(f"{self.root}/commits/marker={folder}")
+        marker.write.parquet(f"{self.root}/commits/marker={folder}")
         return folder
 
     def history(self) -> DataFrame:
@@ -48,7 +51,8 @@ class ResultStore:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self._marker)
+            every = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                                 for f in T.StructType.fromDDL(self._marker).fields])
         return every.select(*self.keys, "seq", "rows", "folder")
 
     def commits(self) -> DataFrame:
@@ -69,12 +73,11 @@ class ResultStore:
         """The committed rows, with the key columns, of all keys that have
         the given values; None where nothing is committed.  Only the folders
         of these commits are read."""
-        found = self._committed(values).collect()   # one row per key
+        marks = self._committed(values)
+        found = marks.select("folder").collect()   # one row per key
         if not found:
             return None
         rows = self.spark.read.option("basePath", f"{self.root}/rows").parquet(
             *[f"{self.root}/rows/{r['folder']}" for r in found])
         rows = rows.withColumn("folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-        names = self.spark.createDataFrame([tuple(r[k] for k in (*self.keys, "folder")) for r in found],
-                                           ", ".join(f"`{k}` string" for k in (*self.keys, "folder")))
-        return rows.join(F.broadcast(names), "folder").drop("folder")
+        return rows.join(F.broadcast(marks.drop("seq", "rows")), "folder").drop("folder")
