@@ -11,7 +11,9 @@ Configuration notes (library differences, recorded in the ledger):
   standardisation equals the usual C = 1 penalty on a summed log-loss;
 * tree ensembles: no node of fewer than 500 rows is split.  MLlib limits
   children, not the split node, so forests are folded after the fit and boosting
-  folds each round's tree (:mod:`outcomelab.plans.trees`);
+  folds each round's tree (:mod:`outcomelab.plans.trees`).  A forest's children have
+  at least 125 rows (1 in the reference): on small tables a thousand deep trees
+  would otherwise grow down to single rows, only to be folded;
 * boosting: depth 3, step 0.1, up to 250 or 1000 rounds; ends when the loss on a
   10 % validation flag, taken from a hash of the id, is no better than any of
   the four rounds before;
@@ -68,6 +70,7 @@ CLASSIFIERS = [
     Spec("Gradient Boost (more)", "gbt", {"maxIter": 1000}),
 ]
 MIN_SPLIT = 500
+LEAF_SHARE = 4      # a forest's children have at least MIN_SPLIT / LEAF_SHARE rows, so that little is grown to be folded
 
 
 def standardize_fit(train: DataFrame, columns: list[str]) -> DataFrame:
@@ -132,9 +135,10 @@ def _classifier(rows: DataFrame, spec: Spec, names: list[str], n_train: int, min
         model = fit_boosted(rows, names, p["maxIter"], min_split, seed=SEED, **{k: p[k] for k in ("patience",) if k in p})
         return model, {"rounds": model.rounds, "stopped_early": model.stopped, "validation_curve": model.losses}
     if spec.kind == "rf":
-        grown = RandomForestClassifier(numTrees=p["numTrees"], maxDepth=p["maxDepth"], minInstancesPerNode=1,
+        least = max(1, min_split // LEAF_SHARE)
+        grown = RandomForestClassifier(numTrees=p["numTrees"], maxDepth=p["maxDepth"], minInstancesPerNode=least,
                                        featureSubsetStrategy="sqrt", seed=SEED, **common).fit(rows)
-        return fold_forest(rows.sparkSession, grown, min_split), {"min_split": min_split}
+        return fold_forest(rows.sparkSession, grown, min_split), {"min_split": min_split, "min_leaf": least}
     if spec.kind == "mlp":
         return _net(rows, len(names), p["hidden"], p["maxIter"], p.get("segment", NET_SEGMENT))
     raise ValueError(f"unknown classifier kind {spec.kind!r}")
