@@ -7,11 +7,12 @@ not seen, is the score.
 
 A model is an interpolated Kneser-Ney model of bytes.  It gives the next byte of
 a word from up to ``ORDER - 1`` bytes before it, back to the blank before the
-word.  The longest context uses the class's counts; the order below uses the
-class's continuation counts (after how many different bytes a sequence was seen);
-from order ``SHARED`` down, both models share the continuation counts of all
-documents, labelled or not.  Every order hands the mass of its discounts down to the
-next by its context's back-off weight, so the probabilities of the 256 next bytes
+word.  The longest context uses the class's counts; the shorter ones, down to order
+``CLASS_FROM``, use the class's continuation counts (after how many different bytes a
+sequence was seen).  Below them stand the continuation counts of all documents, labelled
+or not, of orders ``SHARED`` to 1, which both models share: what a class discounts it leaves to
+what the whole corpus says after the same bytes.  Every order hands the mass of its
+discounts down by its context's back-off weight, so the probabilities of the 256 next bytes
 sum to one, and a context that a class has not seen leaves it all to the order
 below.  Inflected and rare expressions so keep the evidence of their stems,
 while a string neither class has seen gets the same probability from both and
@@ -56,8 +57,9 @@ from outcomelab.llm.common import materialize, text_or_empty, worker_cache
 from outcomelab.llm.labelled import fit_logistic, fold, prior_shift, training_draw
 
 PER_CLASS = 6_000
-ORDER = 5
+ORDER = 4
 SHARED = 3
+CLASS_FROM = 2
 DISCOUNT = 0.75
 CACHE_WORDS = 500_000
 
@@ -158,9 +160,8 @@ class Model:
         """[n, 2] probability of each sequence's last byte after the rest of it."""
         size = lengths(keys)
         p = self.single[keys & 255][:, None].repeat(2, axis=1)
-        for order in range(2, ORDER):
+        for order, at in [*sorted(self.shared.items()), *sorted(self.middle.items())]:
             rows = np.flatnonzero(size > order)
-            at = self.shared[order] if order <= SHARED else self.middle[order]
             p[rows] = at.over(keys[rows] & _mask(order), p[rows])
         return self.top.over(keys, p)
 
@@ -248,7 +249,7 @@ def build_model(counts: pd.DataFrame, shared: dict[int, tuple[np.ndarray, np.nda
         classes.append((every[n > 0], n[n > 0]))
     model = Model(key, top=Order.of(classes))
     longer = [k for k, _ in classes]           # distinct sequences of the order above, begins of words among them
-    for order in range(ORDER - 1, SHARED, -1):
+    for order in range(ORDER - 1, CLASS_FROM - 1, -1):
         size = [lengths(k) for k in longer]
         model.middle[order] = Order.of([np.unique(k[s > order] & _mask(order), return_counts=True)
                                         for k, s in zip(longer, size)])

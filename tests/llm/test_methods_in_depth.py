@@ -120,14 +120,17 @@ class PlainKneserNey:
     def __init__(self, own, corpus):
         self.counts = Counter(g for t in own for g in contexts_of(t))
         tops = {c + bytes([b]) for c, b in self.counts}
-        shared = {c + bytes([b]) for t in corpus for c, b in contexts_of(t)}
-        self.after = {}
-        for order in range(toxicity.ORDER - 1, 0, -1):
-            source = tops if order > toxicity.SHARED else shared
-            grams = {g[i:] for g in source for i in range(len(g))} | source
-            # a sequence that begins a word is only ever that long
-            longer = {g for g in grams if len(g) == order + 1 and (g[0] != 32 or g in source or order + 1 == toxicity.ORDER)}
-            self.after[order] = Counter((g[1:-1], g[-1]) for g in longer)
+        seen = {c + bytes([b]) for t in corpus for c, b in contexts_of(t)}
+        self.shared = {o: self.after(seen, o) for o in range(1, toxicity.SHARED + 1)}
+        self.own = {o: self.after(tops, o) for o in range(toxicity.CLASS_FROM, toxicity.ORDER)}
+
+    @staticmethod
+    def after(source, order):
+        """After how many different bytes each (context, byte) of that order occurs."""
+        grams = {g[i:] for g in source for i in range(len(g))}
+        # a sequence that begins a word is only ever that long
+        longer = {g for g in grams if len(g) == order + 1 and (g[0] != 32 or g in source)}
+        return Counter((g[1:-1], g[-1]) for g in longer)
 
     def smooth(self, table, context, byte, below):
         row = {b: n for (c, b), n in table.items() if c == context}
@@ -138,10 +141,13 @@ class PlainKneserNey:
         return max(row.get(byte, 0) - d, 0) / total + d * len(row) / total * below
 
     def lower(self, context, byte):
-        if not context:
-            table = self.after[1]
-            return (table[b"", byte] + 0.5) / (sum(table.values()) + 128)
-        return self.smooth(self.after[len(context) + 1], context, byte, self.lower(context[1:], byte))
+        table = self.shared[1]
+        p = (table[b"", byte] + 0.5) / (sum(table.values()) + 128)
+        for tables in (self.shared, self.own):
+            for order in sorted(tables):
+                if 1 < order <= len(context) + 1:
+                    p = self.smooth(tables[order], context[len(context) + 1 - order:], byte, p)
+        return p
 
     def p(self, context, byte):
         return self.smooth(self.counts, context, byte, self.lower(context[1:], byte))
@@ -180,7 +186,7 @@ def test_model_equals_the_plain_formula(kneser_ney):
 
 def test_probabilities_of_all_next_bytes_sum_to_one(kneser_ney):
     model, _, corpus = kneser_ney
-    some = sorted({c for t in corpus for c, _ in contexts_of(t)})[::3] + [b" zz", b"zzzz", b" "]
+    some = sorted({c for t in corpus for c, _ in contexts_of(t)})[::3] + [b" zz", b"zzz", b" "]
     for context in some:
         keys = np.array([pack_bytes(context + bytes([b])) for b in range(1, 256)], np.int64)
         rest = model.single[0]      # the zero byte, which no text has, keeps its floor
@@ -191,7 +197,7 @@ def test_probabilities_of_all_next_bytes_sum_to_one(kneser_ney):
 def test_unseen_by_both_classes_pulls_to_neither(kneser_ney):
     model, plain, _ = kneser_ney
     # after a context neither class has, both give what the shared orders give
-    context = b"zqzq"
+    context = b"zqz"
     keys = np.array([pack_bytes(context + bytes([b])) for b in b"abz "], np.int64)
     p = model.probabilities(keys)
     assert np.array_equal(p[:, 0], p[:, 1])
