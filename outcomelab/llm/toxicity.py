@@ -61,7 +61,7 @@ ORDER = 4
 SHARED = 3
 CLASS_FROM = 2
 DISCOUNT = 0.75
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
