@@ -106,6 +106,20 @@ def test_feature_sets_are_assembled_without_an_exchange(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_tables_with_a_row_per_item_are_never_broadcast(spark):
+    """Also where their estimated size is below Spark's broadcast limit, as here."""
+    from outcomelab.plans import dataset as DS
+    from outcomelab.plans.prepare import fixture_study
+    from outcomelab.plans.sweep import FeatureCache
+    st = fixture_study(spark, SF_SMALL)
+    sets = FeatureCache(st, ["label"]).sets("label")
+    frames = [DS.assemble(st, sets, "train"), DS.labels(st, "dev", "label"),
+              *DS.train_test(st, sets, "label", features=["labor", "school_pct_exciting"])]
+    for df in frames:
+        n, plan = _exchanges(df)
+        assert n == 0 and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan, plan
+
+
 def test_released_tables_are_gone(spark):
     import os
     df = spark.range(10)
