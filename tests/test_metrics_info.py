@@ -157,3 +157,41 @@ def test_scatter_is_one_to_one_and_takes_any_id(spark):
     assert abs(np.corrcoef(u[:-1], u[1:])[0, 1]) < 0.03 and abs(u.mean() / SCATTER_PRIME - 0.5) < 0.02
     odd = spark.createDataFrame([("x1",), (None,), ("-7",)], "id string").select(scatter("id").alias("u")).collect()
     assert all(0 <= r.u < SCATTER_PRIME for r in odd)
+
+
+def test_neighbour_counts_over_partition_ends(spark):
+    """Intervals that reach over many partitions, tied values, a rare label and repeated ids."""
+    from outcomelab.operators import info
+    rng = np.random.default_rng(5)
+    n, k = 240, 3
+    x = np.round(rng.normal(size=n), 1) + np.where(np.arange(n) % 3 == 0, 0.0, rng.normal(size=n))
+    y = np.where(np.arange(n) % 60 == 0, 2, np.arange(n) % 2)
+    f = np.arange(n) // 120
+    pts = spark.createDataFrame([(int(a), i, int(b), float(v)) for i, (a, b, v) in enumerate(zip(f, y, x))],
+                                "_f int, _id long, _y int, _x double")
+    size = {(a, b): int(((f == a) & (y == b)).sum()) for a in (0, 1) for b in (0, 1, 2)}
+    of = {key: min(k, v - 1) for key, v in size.items()}
+    pts = pts.withColumn("_k", F.when(F.col("_y") == 2, min(of[0, 2], of[1, 2])).otherwise(k))
+    want = {}
+    for i in range(n):
+        own = [j for j in range(n) if f[j] == f[i] and y[j] == y[i] and j != i]
+        kk = min(of[0, 2], of[1, 2]) if y[i] == 2 else k
+        d, nb = sorted((abs(x[j] - x[i]), x[j]) for j in own)[kk - 1]
+        lo, hi = (nb if nb < x[i] else x[i] - d), (nb if nb > x[i] else x[i] + d)
+        every = x[f == f[i]]
+        want[i] = float((every == x[i]).sum() if d == 0 else ((every > lo) & (every < hi)).sum())
+    near = info._intervals(pts, k)
+    got = info._counts_inside(near, n, 12).groupBy("_id").agg(F.sum("_m").alias("m"))     # 20 partitions
+    assert {r["_id"]: r["m"] for r in got.collect()} == want
+    again = info._counts_inside(info._intervals(pts.unionByName(pts.where("_id = 7")), k), n, 12)
+    assert again.where("_id = 7").count() >= 2
+
+
+def test_each_point_is_ordered_twice_not_as_three_events(spark, monkeypatch):
+    from outcomelab.operators import info
+    sizes = []
+    real = info.sorted_checkpoint
+    monkeypatch.setattr(info, "sorted_checkpoint", lambda df, *a: sizes.append(df.count()) or real(df, *a))
+    df = spark.range(400).select("id", (F.col("id") % 2 == 0).alias("y"), F.sin("id").alias("a"), F.cos("id").alias("b"))
+    assert info.mi_continuous(df, ["a", "b"], "y").count() == 2
+    assert sizes == [800, 800]
