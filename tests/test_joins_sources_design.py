@@ -120,6 +120,18 @@ def test_tables_with_a_row_per_item_are_never_broadcast(spark):
         assert n == 0 and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan, plan
 
 
+def test_cache_builds_only_the_sets_that_are_read(spark, monkeypatch):
+    from outcomelab.plans import sweep as SW
+    from outcomelab.plans.prepare import fixture_study
+    built = []
+    real = SW.materialize_by_key
+    monkeypatch.setattr(SW, "materialize_by_key", lambda df, name, key: built.append(name) or real(df, name, key))
+    cache = SW.FeatureCache(fixture_study(spark, SF_SMALL), ["label"])
+    assert list(cache.sets("label", ("project",))) == ["project"] and built == ["project_features"]
+    assert list(cache.sets("label")) == list(SW.FT.ENTITIES)
+    assert sorted(built) == ["geo_features", "project_features", "school_features", "teacher_features"]
+
+
 def test_released_tables_are_gone(spark):
     import os
     df = spark.range(10)
