@@ -76,3 +76,25 @@ def test_a_broken_configuration_does_not_take_its_family_along(frame):
     rows = {s.name: models.attempt(ready, frame, NAMES, "y", s, ["x"])[0] for s in specs}
     assert rows["too deep"]["error"] and not rows["flat"]["error"]
     ready.release()
+
+
+def test_deep_forests_are_counted_by_kept_nodes_and_stay_the_same(spark, frame, monkeypatch):
+    asked, real = [], models.RandomForestClassifier
+
+    def seen(**kw):
+        asked.append((kw["maxDepth"], kw["cacheNodeIds"]))
+        return real(**kw)
+
+    monkeypatch.setattr(models, "RandomForestClassifier", seen)
+    ready = Ready(frame, [Spec(f"d{d}", "rf", {"numTrees": 5, "maxDepth": d}) for d in (2, 9)])
+    kept = {s.name: fit_pipeline(ready, NAMES, "y", s, min_split=20) for s in ready.specs}
+    fit_pipeline(frame, NAMES, "y", ready.specs[0], min_split=20)
+    assert asked == [(9, True), (2, False)]
+    monkeypatch.setattr(models, "DEEP", 99)      # walking down the trees at each level
+    for s in ready.specs:
+        walked = fit_pipeline(frame, NAMES, "y", s, min_split=20)
+        assert asked.pop() == (s.params["maxDepth"], False)
+        a, b = (_nodes(node_table(spark, saved(spark, m.classifier))) for m in (kept[s.name], walked))
+        assert a == b and max(t.depth for t in walked.classifier.trees) == min(s.params["maxDepth"], 9)
+        assert models.params_of(kept[s.name]) == models.params_of(walked)
+    ready.release()
