@@ -195,3 +195,39 @@ def test_each_point_is_ordered_twice_not_as_three_events(spark, monkeypatch):
     df = spark.range(400).select("id", (F.col("id") % 2 == 0).alias("y"), F.sin("id").alias("a"), F.cos("id").alias("b"))
     assert info.mi_continuous(df, ["a", "b"], "y").count() == 2
     assert sizes == [800, 800]
+
+
+def test_kth_neighbour_equals_the_sorted_list():
+    """Ties, values whose distances round alike, rare labels, infinities and NaN; and no full sort for ordinary rows."""
+    from outcomelab.operators import info
+
+    def plain(f, y, x, k_of, k):
+        n, out = len(x), []
+        for i in range(n):
+            near = [(x[i] - x[i - j], x[i - j]) for j in range(1, k + 1) if i - j >= 0 and (f[i], y[i]) == (f[i - j], y[i - j])]
+            near += [(x[i + j] - x[i], x[i + j]) for j in range(1, k + 1) if i + j < n and (f[i], y[i]) == (f[i + j], y[i + j])]
+            near = sorted((p for p in near if p[0] == p[0]))
+            out.append(near[k_of[i] - 1] if len(near) >= k_of[i] else (np.nan, None))
+        return out
+
+    rng = np.random.default_rng(3)
+    with np.errstate(invalid="ignore"):
+        for k in (1, 3, 5):
+            n = 400
+            x = np.concatenate([rng.integers(0, 9, 200) / 4, rng.normal(size=100), 1e6 + rng.integers(0, 5, 50) * 1e-10,
+                                rng.integers(0, 5, 44) * 1e-17, [np.inf, np.inf, -np.inf, np.nan, np.nan, -1e6]])
+            f, y = rng.integers(0, 2, n), np.where(rng.random(n) < 0.03, 2, rng.integers(0, 2, n))
+            order = np.lexsort((x, y, f))
+            f, y, x = f[order], y[order], x[order]
+            k_of = np.where(rng.random(n) < 0.1, rng.integers(1, k + 1, n), k)
+            d, nb = info._kth(f, y, x, k_of, k)
+            for i, (wd, wv) in enumerate(plain(f, y, x, k_of, k)):
+                assert (np.isnan(d[i]) and np.isnan(wd)) or (d[i] == wd and nb[i] == wv), (k, i)
+
+
+def test_ordinary_neighbours_are_not_sorted(monkeypatch):
+    from outcomelab.operators import info
+    x = np.sort(np.random.default_rng(2).normal(size=5000))
+    monkeypatch.setattr(info.np, "lexsort", lambda *a, **b: pytest.fail("rows were sorted"))
+    one = np.ones(5000, int)
+    assert len(info._kth(one, one, x, 3 * one, 3)[0]) == 5000

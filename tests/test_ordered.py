@@ -59,3 +59,22 @@ def test_null_sums_add_nothing_whatever_the_partitioning(spark):
     for n in (1, 2, 7):
         got = running_totals(df, order=["id"], group_cols=["e"], sum_cols=["y"], num_partitions=n).collect()
         assert [r["before_y"] for r in sorted(got, key=lambda r: r["id"])] == [0, 1, 1, 2, 3, 4]
+
+
+def test_packed_checkpoint_keeps_partitions_and_order(spark):
+    """A few rows are checkpointed, not one for each of the 5,000; empty partitions stay empty."""
+    from outcomelab.operators.ordered import PID, sorted_checkpoint, unpacked
+    df = spark.range(5000).selectExpr("id", "(id * 7919) % 5000 AS x", "if(id % 5 = 0, null, cast(id AS string)) AS s")
+    packed = sorted_checkpoint(df, ["x"], 4, True)
+    assert packed.count() <= 8 and packed.columns == [PID, "_rows"]
+    plain = sorted_checkpoint(df, ["x"], 4)
+
+    def same(batches):
+        yield from batches
+
+    got = packed.mapInArrow(unpacked(same), plain.schema)
+    rows = got.collect()      # range bounds are sampled anew, so partitions may end elsewhere
+    assert [r[:-1] for r in rows] == [r[:-1] for r in plain.collect()]
+    assert [r[PID] for r in rows] == sorted(r[PID] for r in rows) and {r[PID] for r in rows} == {0, 1, 2, 3}
+    assert got.where("s IS NULL").count() == 1000
+    assert sorted_checkpoint(df.where("id < 0"), ["x"], 4, True).mapInArrow(unpacked(same), plain.schema).count() == 0
