@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outcomelab.operators import impute as imp
+from outcomelab.plans import features as FT, sweep as SW
 from outcomelab.sources import fixtures as fx
 
 
@@ -50,3 +51,56 @@ def test_modes_read_the_input_once_per_type(spark, tmp_path):
         m.setattr(type(df), "collect", collect)
         imp.modes(df, ["x", "y", "e"])
     assert reads == [1]
+
+
+@pytest.fixture(scope="module")
+def study(spark):
+    from outcomelab.plans.prepare import fixture_study
+    return fixture_study(spark, "/root/testdata/sf0.001")
+
+
+def test_fits_of_the_feature_sets_read_written_rows(study, monkeypatch):
+    seen = []
+    for step in ("downsize", "one_hot"):
+        real = getattr(FT, step)
+        monkeypatch.setattr(FT, step, lambda df, *a, real=real, **k: seen.append(
+            df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a, **k))
+    for build in (FT.project_features, FT.geo_features, lambda s: FT.teacher_features(s, ["label", "flag_r"]),
+                  lambda s: FT.school_features(s, "label")):
+        build(study)
+    assert len(seen) == 8
+    assert not [p for p in seen if "Join" in p or "MapInPandas" in p or "Aggregate" in p]
+
+
+def test_cached_sets_leave_no_intermediate_tables(spark, study):
+    def written():
+        return {t.name.rsplit("_", 1)[0] for t in spark.catalog.listTables() if "_rows_" in t.name} & \
+            {f"outcomelab_{e}_rows" for e in FT.ENTITIES}
+    for t in spark.catalog.listTables():
+        if "_rows_" in t.name:
+            spark.sql(f"DROP TABLE {t.name}")
+    sets = SW.FeatureCache(study, ["label"]).sets("label")
+    assert not written()
+    n = study.items.count()
+    assert [sets[e].count() for e in FT.ENTITIES] == [n] * 4      # the sets themselves stay readable
+    assert FT.project_features(study).count() == n and written()  # alone, a set is read from its rows
+
+
+def test_median_makes_its_ordered_pass_once(spark, monkeypatch):
+    from outcomelab.operators import entity
+    df = spark.createDataFrame([(g, float(v)) for g in "ab" for v in range(9 if g == "a" else 4)] + [(None, 5.0), ("a", None)],
+                               "g string, v double")
+    runs = spark.sparkContext.accumulator(0)
+    real = entity.running_totals
+
+    def counted(*a, **k):
+        ranked = real(*a, **k)
+
+        def note(batches):
+            for b in batches:
+                runs.add(len(b))
+                yield b
+        return ranked.mapInPandas(note, ranked.schema)
+    monkeypatch.setattr(entity, "running_totals", counted)
+    assert sorted(tuple(r) for r in entity.exact_median(df, "v", ["g"]).collect()) == [("a", 4.0), ("b", 1.5)]
+    assert runs.value == 13
